@@ -44,8 +44,13 @@ COMMON_WORDS_K = 500     # size of the common-word list derived from the data
 
 
 def word_table(spark: SparkSession, words, column: str = "word") -> DataFrame:
-    """A one-column table from a (small, fixed) list of words."""
-    return spark.createDataFrame([(w,) for w in words], f"{column} string")
+    """A one-column table of distinct words from a (small, fixed) list.
+
+    Built as an inline array in the JVM: no Python worker, no shuffle.
+    """
+    distinct = list(dict.fromkeys(words))
+    arr = F.array(*[F.lit(w) for w in distinct]) if distinct else F.array().cast("array<string>")
+    return spark.range(1).select(F.explode(arr).alias(column))
 
 
 def stop_words(spark: SparkSession, words=ENGLISH_STOP_WORDS, topic: str | None = None,
@@ -54,17 +59,17 @@ def stop_words(spark: SparkSession, words=ENGLISH_STOP_WORDS, topic: str | None
     if path is not None:
         from .files import read_word_list
         base = read_word_list(spark, path)
-    else:
-        base = word_table(spark, words)
-    if topic:
-        base = base.union(word_table(spark, [topic]))
-    return base.distinct()
+        return base.union(word_table(spark, [topic])).distinct() if topic else base
+    return word_table(spark, list(words) + ([topic] if topic else []))
 
 
 def stop_words_kept(spark: SparkSession, words=ENGLISH_STOP_WORDS,
-                    kept=KEPT_WORDS) -> DataFrame:
+                    kept=KEPT_WORDS, path: str | None = None) -> DataFrame:
     """Stop list for the model: the list minus the words that carry sentiment."""
-    return word_table(spark, words).subtract(word_table(spark, kept))
+    if path is not None:
+        from .files import read_word_list
+        return read_word_list(spark, path).subtract(word_table(spark, kept))
+    return word_table(spark, [w for w in words if w not in set(kept)])
 
 
 def common_words_from_tokens(tokens: DataFrame, k: int = COMMON_WORDS_K,

@@ -26,7 +26,23 @@ ENGLISH = "en"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan is too coarse to use it.
+
+    A big table already splits into many more scan tasks than there are cores,
+    and is returned as is (no shuffle).  A file with a single row group (or an
+    unsplittable file) gives one scan task; then the per-row work — regexes,
+    tokenising — would run on one core, so the rows are spread first.  Filters
+    and column pruning still reach the scan below the exchange.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def origin() -> Column:
