@@ -31,7 +31,7 @@ def short_cloud(latest: DataFrame, weights: DataFrame, topic: str | None) -> Dat
     """(word, n, size, half_step, bucket): size 72..168 %, colour class from the word's weight."""
     base = with_spread(drop_topic(latest.select("word", "n"), topic))
     w = weights.select(F.col("term").alias("word"), "weight")
-    out = base.join(F.broadcast(w), "word", "left").withColumn(
+    out = base.join(w, "word", "left").withColumn(
         "weight", F.coalesce("weight", F.lit(0.0)))
     steps = shape.half_steps("weight")
     return out.select(

@@ -21,17 +21,21 @@ def explode_words(df: DataFrame, tokens: Column, keep: list[str] | tuple = (),
 
 
 def drop_words(words: DataFrame, stop: DataFrame | None, word_col: str = "word") -> DataFrame:
-    """Anti join with a small word list (broadcast: the list is a bounded constant)."""
+    """Anti join with a word list.
+
+    The lists of ``sources.lexicon`` carry their broadcast hint (see
+    ``operators.sizing``), so this is a map-side hash join with no shuffle.
+    """
     if stop is None:
         return words
     stop = stop.select(F.col(stop.columns[0]).alias(word_col))
-    return words.join(F.broadcast(stop), word_col, "left_anti")
+    return words.join(stop, word_col, "left_anti")
 
 
 def keep_words(words: DataFrame, allowed: DataFrame, word_col: str = "word") -> DataFrame:
-    """Semi join with a bounded word list (set membership)."""
+    """Semi join with a word list (set membership)."""
     allowed = allowed.select(F.col(allowed.columns[0]).alias(word_col))
-    return words.join(F.broadcast(allowed), word_col, "left_semi")
+    return words.join(allowed, word_col, "left_semi")
 
 
 def word_counts(words: DataFrame, by: list[str] | tuple = (), word_col: str = "word") -> DataFrame:

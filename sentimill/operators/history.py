@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import first_chars, to_twitter_date
+from .sizing import bounded
 
 SHORT_HISTORY = 15
 LONG_HISTORY = 60
@@ -46,12 +47,12 @@ def newest_batch_ids(df: DataFrame, n: int, batch_col: str = "batch_id",
                      order_col: str = "batch_start") -> DataFrame:
     """Ids of the ``n`` newest non-empty batches of a long table."""
     batches = df.select(batch_col, order_col).distinct()
-    return newest(batches, n, order_col).select(batch_col)
+    return bounded(newest(batches, n, order_col).select(batch_col))  # at most n rows
 
 
 def in_batches(df: DataFrame, batch_ids: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Rows of the given batches; ``batch_ids`` is bounded (a limit), so broadcast."""
-    return df.join(F.broadcast(batch_ids), batch_col, "left_semi")
+    """Rows of the given batches (a semi join; ``newest_batch_ids`` is broadcast)."""
+    return df.join(batch_ids, batch_col, "left_semi")
 
 
 def chronological(last: DataFrame, order_col: str = "batch_start", pos_col: str = "x") -> DataFrame:

@@ -1,7 +1,7 @@
 """Term frequencies, the linear sentiment score and logistic-regression training.
 
-Scoring is plain SQL: explode the tokens, hash-join the (bounded, broadcast)
-weight table on the term, and sum per document.  All tokens of a document sit
+Scoring is plain SQL: explode the tokens, hash-join the weight table (one
+row per vocabulary term, broadcast) on the term, and sum per document.  All tokens of a document sit
 in one partition, so the partial aggregate leaves one row per document for the
 shuffle.  A document with no vocabulary token keeps its row (outer explode and
 left join) and scores 0, which is negative, as the reference's predict does.
@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tweet_tokens
+from .sizing import bounded, broadcast_if_small
+
+ROWS_PER_TASK = 100_000     # training rows per partition
 
 
 def doc_tokens(docs: DataFrame, keys: list[str] | tuple, text_col: str = "text") -> DataFrame:
@@ -24,14 +27,14 @@ def vocab_tokens(docs: DataFrame, keys: list[str] | tuple, allowed: DataFrame,
                  text_col: str = "text") -> DataFrame:
     """Tokens kept by set membership in ``allowed`` (common words + placeholders)."""
     allowed = allowed.select(F.col(allowed.columns[0]).alias("token"))
-    return doc_tokens(docs, keys, text_col).join(F.broadcast(allowed), "token", "left_semi")
+    return doc_tokens(docs, keys, text_col).join(allowed, "token", "left_semi")
 
 
 def term_frequency(docs: DataFrame, keys: list[str] | tuple, vocab: DataFrame,
                    text_col: str = "text") -> DataFrame:
     """(keys..., term, idx, tf): the sparse term-frequency vector in long form."""
     toks = doc_tokens(docs, keys, text_col).withColumnRenamed("token", "term")
-    return (toks.join(F.broadcast(vocab.select("term", "idx")), "term")
+    return (toks.join(vocab.select("term", "idx"), "term")
             .groupBy(*keys, "term", "idx").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -42,7 +45,7 @@ def score(docs: DataFrame, keys: list[str] | tuple, weights: DataFrame,
     The stored intercept is not used, as in the reference's streaming model.
     """
     toks = docs.select(*keys, F.explode_outer(tweet_tokens(text_col)).alias("term"))
-    joined = toks.join(F.broadcast(weights.select("term", "weight")), "term", "left")
+    joined = toks.join(weights.select("term", "weight"), "term", "left")
     agg = joined.groupBy(*keys).agg(
         F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"),
         F.count("weight").alias("n_tokens"))
@@ -88,14 +91,23 @@ def fit_logistic(rows: DataFrame, vocab: DataFrame, max_iter: int = 100, reg: fl
     terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]  # bounded
     vectoriser = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")
     data = vectoriser.transform(rows).select(F.col("label").cast("double").alias("label"), "features")
-    lr = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=0.0,
-                            fitIntercept=False, standardization=False, family="binomial")
-    model = lr.fit(data)
+    # Each of the ~100 iterations is a job over every partition: size the
+    # partitions to the data (ROWS_PER_TASK rows each) so that small training
+    # sets do not pay per-task overhead 100 times, and big ones keep their spread.
+    data = data.persist()
+    try:
+        n = data.count()
+        parts = max(1, min(data.rdd.getNumPartitions(), -(-n // ROWS_PER_TASK)))
+        lr = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=0.0,
+                                fitIntercept=False, standardization=False, family="binomial")
+        model = lr.fit(data.coalesce(parts))
+    finally:
+        data.unpersist()
     coefficients = model.coefficients.toArray().tolist()
     spark = rows.sparkSession
-    weights = spark.createDataFrame(
+    weights = bounded(spark.createDataFrame(
         [(t, i, float(w)) for i, (t, w) in enumerate(zip(terms, coefficients))],
-        "term string, idx int, weight double")
+        "term string, idx int, weight double"))  # one row per vocabulary term
     return weights, float(model.intercept)
 
 
@@ -107,6 +119,6 @@ def save_model(weights: DataFrame, intercept: float, path: str) -> None:
 
 
 def load_model(spark, path: str):
-    weights = spark.read.parquet(f"{path}/weights")
+    weights = broadcast_if_small(spark.read.parquet(f"{path}/weights"))
     intercept = spark.read.parquet(f"{path}/intercept").first()["intercept"]
     return weights, intercept

@@ -22,12 +22,17 @@ from pyspark.sql import functions as F
 
 _BUCKET = "_pos_bucket"
 _OFFSET = "_pos_offset"
+ROWS_PER_BUCKET = 200_000    # rows sorted by one task; the bucket count follows the data
+MAX_BUCKETS = 200_000        # bounds the cut points on the driver and the offsets broadcast
 
 
 def default_buckets(df: DataFrame) -> int:
+    """At least one bucket per core (and per shuffle partition), more as the data grows."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(4 * spark.sparkContext.defaultParallelism, parts)
+    floor = max(4 * spark.sparkContext.defaultParallelism, parts)
+    n = df.count()  # answered from Parquet footers when nothing is filtered
+    return int(min(MAX_BUCKETS, max(floor, -(-n // ROWS_PER_BUCKET))))
 
 
 def with_row_index(df: DataFrame, order_cols: list[str] | tuple, index_col: str = "idx",

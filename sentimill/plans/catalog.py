@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import shape
 from ..functions.text import clean_text, tweet_tokens, words
-from ..operators import backfill, clouds, counts, history, model
+from ..operators import backfill, clouds, counts, history, model, sizing
 from ..session import checkpoint_dir
 from ..sources import lexicon, messages, tables
 
@@ -138,9 +138,9 @@ def q_vocab_tokens(spark, sf_dir):
 
 def _list_hits(tokens: DataFrame, word_list: DataFrame) -> DataFrame:
     """(word, n) for every word of a bounded list, with its occurrences (0 if none)."""
-    hits = counts.word_counts(counts.keep_words(tokens, word_list))
+    hits = counts.word_counts(counts.keep_words(tokens, word_list))  # at most one row per listed word
     lst = word_list.select(F.col(word_list.columns[0]).alias("word"))
-    return (F.broadcast(lst).join(hits, "word", "left")
+    return (lst.join(sizing.bounded(hits), "word", "left")
             .select("word", F.coalesce("n", F.lit(0)).alias("n")))
 
 

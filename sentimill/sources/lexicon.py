@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PLACEHOLDERS
+from ..operators.sizing import bounded, broadcast_if_small
 
 # --- Fixed values. ---------------------------------------------------------------
 # The common English stop-word list (the 179 words of the widely used NLTK
@@ -50,7 +51,7 @@ def word_table(spark: SparkSession, words, column: str = "word") -> DataFrame:
     """
     distinct = list(dict.fromkeys(words))
     arr = F.array(*[F.lit(w) for w in distinct]) if distinct else F.array().cast("array<string>")
-    return spark.range(1).select(F.explode(arr).alias(column))
+    return bounded(spark.range(1).select(F.explode(arr).alias(column)))
 
 
 def stop_words(spark: SparkSession, words=ENGLISH_STOP_WORDS, topic: str | None = None,
@@ -59,7 +60,8 @@ def stop_words(spark: SparkSession, words=ENGLISH_STOP_WORDS, topic: str | None
     if path is not None:
         from .files import read_word_list
         base = read_word_list(spark, path)
-        return base.union(word_table(spark, [topic])).distinct() if topic else base
+        base = base.union(word_table(spark, [topic])).distinct() if topic else base
+        return broadcast_if_small(base)
     return word_table(spark, list(words) + ([topic] if topic else []))
 
 
@@ -68,20 +70,20 @@ def stop_words_kept(spark: SparkSession, words=ENGLISH_STOP_WORDS,
     """Stop list for the model: the list minus the words that carry sentiment."""
     if path is not None:
         from .files import read_word_list
-        return read_word_list(spark, path).subtract(word_table(spark, kept))
+        return broadcast_if_small(read_word_list(spark, path).subtract(word_table(spark, kept)))
     return word_table(spark, [w for w in words if w not in set(kept)])
 
 
 def common_words_from_tokens(tokens: DataFrame, k: int = COMMON_WORDS_K,
                              token_col: str = "token") -> DataFrame:
     """The ``k`` most frequent tokens, ties by word: a global top-k (TakeOrderedAndProject)."""
-    return (tokens.groupBy(F.col(token_col).alias("term")).count()
-            .orderBy(F.desc("count"), F.asc("term")).limit(k).select("term"))
+    return bounded(tokens.groupBy(F.col(token_col).alias("term")).count()
+                   .orderBy(F.desc("count"), F.asc("term")).limit(k).select("term"))
 
 
 def read_common_words(spark: SparkSession, path: str) -> DataFrame:
     from .files import read_word_list
-    return read_word_list(spark, path, column="term")
+    return broadcast_if_small(read_word_list(spark, path, column="term"))
 
 
 def with_placeholders(common: DataFrame) -> DataFrame:
@@ -96,9 +98,9 @@ def vocabulary(common: DataFrame, stop: DataFrame) -> DataFrame:
     The input is bounded (top-k plus three words), so one ordered window is fine.
     """
     terms = with_placeholders(common).subtract(stop.select(F.col(stop.columns[0]).alias("term")))
-    return terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"))
+    return bounded(terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx")))
 
 
 def fixture_weights(vocab: DataFrame) -> DataFrame:
     """Stand-in model weights by term: ``(idx % 3) - 1`` (FIXTURES.md)."""
-    return vocab.select("term", "idx", ((F.col("idx") % 3) - 1).cast("double").alias("weight"))
+    return bounded(vocab.select("term", "idx", ((F.col("idx") % 3) - 1).cast("double").alias("weight")))

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import parse_twitter_date, words
 from ..operators import counts, history, model
+from ..operators.sizing import broadcast_if_small
 from ..session import checkpoint_dir
 from ..sources import messages, tables
 
@@ -69,7 +70,7 @@ class HistorySink:
     def __init__(self, out_dir: str, weights: DataFrame, stop: DataFrame | None,
                  top_k: int = counts.TOP_WORDS, recent: int = history.RECENT_TEXTS):
         self.out_dir = out_dir.rstrip("/")
-        self.weights = weights
+        self.weights = broadcast_if_small(weights)
         self.stop = stop
         self.top_k = top_k
         self.recent = recent
