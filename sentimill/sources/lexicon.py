@@ -87,17 +87,23 @@ def read_common_words(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_placeholders(common: DataFrame) -> DataFrame:
-    """Common words plus the three placeholder words (set union)."""
+    """Common words plus the three placeholder words (set union).
+
+    ``common`` is referenced once: a second reference would recompute the
+    top-k from the raw text.  The DISTINCT shuffles at most k + 3 rows.
+    """
     spark = common.sparkSession
-    return common.select("term").union(word_table(spark, PLACEHOLDERS, "term")).distinct()
+    return bounded(common.select("term").union(word_table(spark, PLACEHOLDERS, "term")).distinct())
 
 
 def vocabulary(common: DataFrame, stop: DataFrame) -> DataFrame:
     """(term, idx): common words + placeholders − stop words, indexed in term order.
 
-    The input is bounded (top-k plus three words), so one ordered window is fine.
+    Set difference by a broadcast anti join; the input is bounded (top-k plus
+    three words), so the one ordered window that numbers the terms is small.
     """
-    terms = with_placeholders(common).subtract(stop.select(F.col(stop.columns[0]).alias("term")))
+    terms = with_placeholders(common).join(
+        stop.select(F.col(stop.columns[0]).alias("term")), "term", "left_anti")
     return bounded(terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx")))
 
 
