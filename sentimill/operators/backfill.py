@@ -55,7 +55,7 @@ def window_word_counts(win: DataFrame, stop: DataFrame | None, k: int = TOP_WORD
     counting the concatenated window text.
     """
     exploded = win.select("window_id", F.explode(words(text_col)).alias("word"))
-    counts = word_counts(drop_words(exploded, stop), ["window_id"])
+    counts = drop_words(word_counts(exploded, ["window_id"]), stop)
     return top_words_per_group(counts, ["window_id"], k)
 
 

@@ -83,7 +83,7 @@ class Views:
     # word counts per batch --------------------------------------------------------
     def batch_words(self, stop: DataFrame | None) -> DataFrame:
         exploded = counts.explode_words(self.english, words("text"), ["batch_id"])
-        return counts.word_counts(counts.drop_words(exploded, stop), ["batch_id"])
+        return counts.drop_words(counts.word_counts(exploded, ["batch_id"]), stop)
 
     def top_by_batch(self, stop: DataFrame | None) -> DataFrame:
         top = counts.top_words_per_group(self.batch_words(stop), ["batch_id"])
@@ -189,7 +189,7 @@ def q_decode_messages(spark, sf_dir):
 def q_word_count(spark, sf_dir):
     v = _v(spark, sf_dir)
     exploded = counts.explode_words(v.english, words("text"))
-    return counts.top_words(counts.word_counts(counts.drop_words(exploded, v.stop)))
+    return counts.top_words(counts.drop_words(counts.word_counts(exploded), v.stop))
 
 
 def q_word_count_by_batch(spark, sf_dir):

@@ -82,7 +82,7 @@ class HistorySink:
         """The per-batch results; ``batch`` carries ``batch_id`` and ``batch_start`` columns."""
         keys = ["batch_id", "batch_start"]
         exploded = counts.explode_words(batch, words("text"), keys)
-        wc = counts.word_counts(counts.drop_words(exploded, self.stop), keys)
+        wc = counts.drop_words(counts.word_counts(exploded, keys), self.stop)
         top = counts.top_words_per_group(wc, keys, self.top_k)
         recent = history.recent_per_batch(batch, self.recent)
         last = history.last_per_batch(batch, cols=("batch_start", "created_at", "author", "text"))
