@@ -27,10 +27,15 @@ MAX_BUCKETS = 200_000        # bounds the cut points on the driver and the offse
 
 
 def default_buckets(df: DataFrame) -> int:
-    """At least one bucket per core (and per shuffle partition), more as the data grows."""
+    """Many buckets per core, more as the data grows.
+
+    Buckets are hashed onto shuffle partitions; with many buckets per partition
+    the partitions come out even, and the per-row work after the index (e.g.
+    tokenising) is spread evenly over the cores.
+    """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    floor = max(4 * spark.sparkContext.defaultParallelism, parts)
+    floor = 16 * max(spark.sparkContext.defaultParallelism, parts)
     n = df.count()  # answered from Parquet footers when nothing is filtered
     return int(min(MAX_BUCKETS, max(floor, -(-n // ROWS_PER_BUCKET))))
 

@@ -31,8 +31,8 @@ class Views:
         self.spark = spark
         self.sf_dir = sf_dir
 
-    def table(self, name: str) -> DataFrame:
-        return tables.read_table(self.spark, self.sf_dir, name)
+    def table(self, name: str, spread_rows: bool = True) -> DataFrame:
+        return tables.read_table(self.spark, self.sf_dir, name, spread_rows)
 
     @cached_property
     def tweets(self) -> DataFrame:
@@ -102,7 +102,8 @@ class Views:
     # backfill ---------------------------------------------------------------------
     @cached_property
     def windowed(self) -> DataFrame:
-        return backfill.windowed(self.table("documents").select("doc_id", "text"))
+        # the row index shuffles the rows into quantile buckets right away: no spread first
+        return backfill.windowed(self.table("documents", spread_rows=False).select("doc_id", "text"))
 
 
 def written(df: DataFrame) -> DataFrame:

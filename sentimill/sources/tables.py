@@ -25,8 +25,10 @@ ENGLISH = "en"
 # ------------------------------------------------------------------------------
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+    """A driver table; ``spread_rows=False`` when the next step shuffles the rows anyway."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -39,10 +41,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     and column pruning still reach the scan below the exchange.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
         return df
-    return df.repartition(target)
+    return df if parts >= target else df.repartition(target)
 
 
 def origin() -> Column:

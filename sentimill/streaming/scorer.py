@@ -117,8 +117,42 @@ def start_scorer(values: DataFrame, out_dir: str, weights: DataFrame, stop: Data
     return writer.start()
 
 
+HISTORY_SCHEMAS = {
+    WORDS_TABLE: "batch_start timestamp_ntz, word string, n bigint, rank int, batch_id bigint",
+    TEXTS_TABLE: "doc_id bigint, created_ts timestamp, created_at string, author string, text string, "
+                 "batch_start timestamp_ntz, rank int, batch_id bigint",
+    LAST_TABLE: "doc_id bigint, batch_start timestamp_ntz, created_at string, author string, text string, "
+                "batch_id bigint",
+    SENTIMENT_TABLE: "batch_start timestamp_ntz, positive bigint, negative bigint, volume bigint, "
+                     "batch_id bigint",
+}
+
+
+def reset_history(spark: SparkSession, out_dir: str) -> None:
+    """Drop and re-create the history tables: empty, with their fixed schemas."""
+    for table, schema in HISTORY_SCHEMAS.items():
+        (spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("batch_id")
+         .parquet(f"{out_dir.rstrip('/')}/{table}"))
+
+
 def read_history(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir.rstrip('/')}/{table}")
+    """A history table, read with its fixed schema (so an empty table reads too)."""
+    reader = spark.read
+    if table in HISTORY_SCHEMAS:
+        reader = reader.schema(HISTORY_SCHEMAS[table])
+    return reader.parquet(f"{out_dir.rstrip('/')}/{table}")
+
+
+def retain(spark: SparkSession, out_dir: str, table: str, dest_dir: str,
+           n: int = history.RETAINED_BATCHES) -> DataFrame:
+    """Retention: write the rows of the n newest batches of a history table to ``dest_dir``.
+
+    A table cannot be overwritten while it is read, so the retained copy goes to
+    a new folder (the caller swaps folders).  Returns the retained table.
+    """
+    kept = history.retain_latest(read_history(spark, out_dir, table), n)
+    kept.write.mode("overwrite").partitionBy("batch_id").parquet(f"{dest_dir.rstrip('/')}/{table}")
+    return read_history(spark, dest_dir, table)
 
 
 def console_predictions(values: DataFrame, weights: DataFrame, seq_col: str = "key") -> StreamingQuery:

@@ -109,3 +109,28 @@ def test_event_time_windows_equal_batch_on_closed_windows(spark, scratch):
     last = ev.agg(F.max("ts")).first()[0]
     closed = want.filter(F.col("window_start") < F.lit(last) - F.expr("INTERVAL 1 DAY"))
     assert closed.exceptAll(got).count() == 0       # every window closed by the watermark arrived
+
+
+def test_reset_and_retention(spark, scratch):
+    v = catalog.Views(spark, SF_SMALL)
+    out = f"{scratch}/h"
+    scorer.reset_history(spark, out)
+    for table in scorer.HISTORY_SCHEMAS:
+        assert scorer.read_history(spark, out, table).count() == 0
+    sink = scorer.HistorySink(out, catalog.written(v.weights), v.stop)
+    for epoch, b in enumerate([1, 2, 3, 4]):
+        sink(scorer.incoming_tweets(messages.encode_messages(v.tweets.filter(F.col("batch_id") == b))), epoch)
+    kept = scorer.retain(spark, out, scorer.SENTIMENT_TABLE, f"{scratch}/kept", n=2)
+    assert sorted(r[0] for r in kept.select("batch_id").collect()) == [2, 3]
+    words = scorer.read_history(spark, out, scorer.WORDS_TABLE)
+    assert set(words.columns) == {"batch_start", "word", "n", "rank", "batch_id"}
+
+
+def test_console_view_runs(spark, scratch):
+    v = catalog.Views(spark, SF_SMALL)
+    src = f"{scratch}/m"
+    scorer.write_replay_files(messages.encode_messages(v.tweets.filter("batch_id < 2")), src)
+    q = (scorer.incoming_tweets(scorer.replay_files(spark, src)).writeStream.format("console")
+         .option("checkpointLocation", f"{scratch}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
