@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpoints written by a query are removed once nothing refers to them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # keep compiled whole-stage code for the ~40 query shapes instead of recompiling
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
