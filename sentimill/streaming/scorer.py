@@ -8,8 +8,9 @@ tables.  Each table gets the micro-batch as its own ``batch_id=<epoch>``
 folder, written in overwrite mode, so a micro-batch replayed after a failure
 replaces its earlier output instead of adding to it.
 
-``event_time_counts`` is the event-time twin: a tumbling window with a
-watermark, whose closed windows equal the batch answer.
+``start_event_time_words`` and ``event_time_counts`` are the event-time twins:
+tumbling windows with a watermark, whose closed windows equal the batch answer
+for any split of the input into micro-batches.
 """
 
 from __future__ import annotations
@@ -161,6 +162,47 @@ def console_predictions(values: DataFrame, weights: DataFrame, seq_col: str = "k
     return scored.writeStream.format("console").outputMode("append").start()
 
 
+class WindowTopWords:
+    """``foreachBatch`` function: top-k words of each closed event-time window.
+
+    The streaming aggregation upstream emits a window's counts once, when the
+    watermark passes its end (append mode), so ranking inside the micro-batch
+    sees whole windows.  One folder per epoch, overwritten on replay.
+    """
+
+    def __init__(self, out_dir: str, top_k: int = counts.TOP_WORDS):
+        self.out_dir = out_dir.rstrip("/")
+        self.top_k = top_k
+
+    def __call__(self, closed: DataFrame, epoch_id: int) -> None:
+        top = counts.top_words_per_group(closed, ["window_start"], self.top_k)
+        top.write.mode("overwrite").parquet(f"{self.out_dir}/epoch={epoch_id}")
+
+
+def event_time_word_counts(tweets: DataFrame, stop: DataFrame | None,
+                           window: str = f"{BATCH_SECONDS} second",
+                           watermark: str = "2 seconds") -> DataFrame:
+    """(window_start, word, n) per event-time window; state is dropped behind the watermark."""
+    timed = tweets.withWatermark("created_ts", watermark)
+    exploded = timed.select(F.window("created_ts", window).alias("w"), F.explode(words("text")).alias("word"))
+    kept = counts.drop_words(exploded, stop)  # stream-static anti join, before the stateful step
+    return (kept.groupBy("w", "word").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.col("w.start").alias("window_start"), "word", "n"))
+
+
+def start_event_time_words(values: DataFrame, out_dir: str, stop: DataFrame | None,
+                           checkpoint: str | None = None, trigger: dict | None = None,
+                           watermark: str = "2 seconds", seq_col: str = "key") -> StreamingQuery:
+    """Top words per 1-second event-time window, whatever the micro-batch boundaries."""
+    spark = values.sparkSession
+    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "event_time_words")
+    agg = event_time_word_counts(incoming_tweets(values, seq_col), stop, watermark=watermark)
+    writer = (agg.writeStream.outputMode("append").foreachBatch(WindowTopWords(out_dir))
+              .option("checkpointLocation", ckpt))
+    writer = writer.trigger(**(trigger or {"processingTime": f"{BATCH_SECONDS} second"}))
+    return writer.start()
+
+
 def event_time_counts(events: DataFrame, ts_col: str = "ts", keys: tuple = ("event_type",),
                       window: str = f"{BATCH_SECONDS} second", watermark: str = "10 seconds") -> DataFrame:
     """Tumbling event-time counts with a watermark (append mode emits closed windows only)."""

@@ -134,3 +134,23 @@ def test_console_view_runs(spark, scratch):
          .option("checkpointLocation", f"{scratch}/c").trigger(availableNow=True).start())
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_event_time_top_words_equal_batch_for_any_split(spark, scratch):
+    v = catalog.Views(spark, SF_SMALL)
+    src = f"{scratch}/m"
+    enc = messages.encode_messages(v.tweets)
+    # 4 files of uneven size, so micro-batches cut through the 1-second batches
+    enc.repartitionByRange(4, "key").write.json(src)
+    _order_files(src, "*.json", key=lambda p: p)
+    out = f"{scratch}/et"
+    q = scorer.start_event_time_words(scorer.replay_files(spark, src, 1), out, v.stop,
+                                      checkpoint=f"{scratch}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.parquet(out).select(
+        F.col("window_start").cast("timestamp_ntz").alias("batch_start"), "word", "n", "rank")
+    want = catalog.q_top_words_by_batch(spark, SF_SMALL).select("batch_start", "word", "n", "rank")
+    assert got.exceptAll(want).count() == 0                      # every emitted window is exact
+    last = want.agg(F.max("batch_start")).first()[0]
+    closed = want.filter(F.col("batch_start") < F.lit(last) - F.expr("INTERVAL 3 SECONDS"))
+    assert closed.exceptAll(got).count() == 0                    # and every closed window is there
