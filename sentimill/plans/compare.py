@@ -35,13 +35,34 @@ def _normalise(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns), na_position="first").reset_index(drop=True)
 
 
+SPARK_TO_DUCKDB = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def duckdb_types(sql: str, sf_dir: str) -> dict[str, str]:
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "labels", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    rows = con.execute("DESCRIBE " + sql).fetchall()
+    return {r[0]: r[1] for r in rows}
+
+
 def compare(spark, name: str, sf_dir: str) -> tuple[bool, str]:
     t0 = time.time()
-    left = catalog.QUERIES[name](spark, sf_dir).toPandas()
+    df = catalog.QUERIES[name](spark, sf_dir)
+    left = df.toPandas()
     t1 = time.time()
     right = duckdb_frame(oracle.SQL[name], sf_dir)
     if sorted(left.columns) != sorted(right.columns):
         return False, f"columns {sorted(left.columns)} != {sorted(right.columns)}"
+    want = duckdb_types(oracle.SQL[name], sf_dir)
+    got = {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes}
+    if got != want:
+        return False, f"types {got} != {want}"
     if len(left) != len(right):
         return False, f"rows {len(left)} != {len(right)}"
     a, b = _normalise(left), _normalise(right)

@@ -179,8 +179,8 @@ def _hist(n: int) -> str:
 
 
 def _tweet_json(src: str) -> str:
-    return ("to_json({'created_at': strftime(created_at, " + TWITTER_FMT + "), 'lang': lang, "
-            "'text': text, 'user': {'screen_name': author}})")
+    return ("CAST(to_json({'created_at': strftime(created_at, " + TWITTER_FMT + "), 'lang': lang, "
+            "'text': text, 'user': {'screen_name': author}}) AS VARCHAR)")
 
 
 SQL: dict[str, str] = {
