@@ -25,8 +25,8 @@ def drop_words(words: DataFrame, stop: DataFrame | None, word_col: str = "word")
 
     The lists of ``sources.lexicon`` carry their broadcast hint (see
     ``operators.sizing``), so this is a map-side hash join with no shuffle.
-    Apply it to counted rows rather than to every token: removing a word
-    commutes with counting by word, and there are far fewer (word, n) rows.
+    Removing a word commutes with counting by word, so it may go before or
+    after the count; Catalyst pushes it below the partial aggregate either way.
     """
     if stop is None:
         return words
