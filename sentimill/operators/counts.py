@@ -31,13 +31,13 @@ def drop_words(words: DataFrame, stop: DataFrame | None, word_col: str = "word")
     if stop is None:
         return words
     stop = stop.select(F.col(stop.columns[0]).alias(word_col))
-    return words.join(stop, word_col, "left_anti")
+    return words.join(stop, word_col, "left_anti").select(*words.columns)
 
 
 def keep_words(words: DataFrame, allowed: DataFrame, word_col: str = "word") -> DataFrame:
     """Semi join with a word list (set membership)."""
     allowed = allowed.select(F.col(allowed.columns[0]).alias(word_col))
-    return words.join(allowed, word_col, "left_semi")
+    return words.join(allowed, word_col, "left_semi").select(*words.columns)
 
 
 def word_counts(words: DataFrame, by: list[str] | tuple = (), word_col: str = "word") -> DataFrame:

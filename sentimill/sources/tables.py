@@ -25,20 +25,28 @@ ENGLISH = "en"
 # ------------------------------------------------------------------------------
 
 
+# Unique row ids of the tables: hashing on them spreads rows evenly.
+UNIQUE_KEYS = {"documents": "doc_id", "labels": "doc_id", "events": "event_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """A driver table; ``spread_rows=False`` when the next step shuffles the rows anyway."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+    return spread(df, UNIQUE_KEYS.get(name)) if spread_rows else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan is too coarse to use it.
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread the rows over the cluster when the scan is too coarse to use it.
 
     A big table already splits into many more scan tasks than there are cores,
     and is returned as is (no shuffle).  A file with a single row group (or an
     unsplittable file) gives one scan task; then the per-row work — regexes,
     tokenising — would run on one core, so the rows are spread first.  Filters
     and column pruning still reach the scan below the exchange.
+
+    With a unique ``key`` the rows are hash-partitioned on it: even, retry-safe
+    without the sort a round-robin needs, and later per-key aggregates (e.g.
+    the score per document) reuse the partitioning instead of shuffling again.
     """
     spark = df.sparkSession
     try:
@@ -46,7 +54,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         parts = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
         return df
-    return df if parts >= target else df.repartition(target)
+    if parts >= target:
+        return df
+    return df.repartition(target, key) if key and key in df.columns else df.repartition(target)
 
 
 def origin() -> Column:
