@@ -39,3 +39,28 @@ def test_model_round_trip(spark, scratch):
     model.save_model(w, 0.0, f"{scratch}/m")
     w2, b = model.load_model(spark, f"{scratch}/m")
     assert b == 0.0 and sorted(map(tuple, w2.collect())) == sorted(map(tuple, w.collect()))
+
+
+def test_fit_is_no_worse_than_plain_sgd(spark):
+    """Same objective as the 100-step SGD trainer: our L-BFGS loss must not be higher."""
+    from pyspark.ml.feature import CountVectorizerModel
+    from pyspark.mllib.classification import LogisticRegressionWithSGD
+    from pyspark.mllib.linalg import Vectors as MLlibVectors
+    from pyspark.mllib.regression import LabeledPoint
+
+    v = catalog.Views(spark, SF_MID)
+    labelled = tables.labelled_texts(spark, SF_MID)
+    rows = model.training_rows(labelled)
+    weights, _ = model.fit_logistic(rows, v.vocab)
+
+    terms = [r["term"] for r in v.vocab.orderBy("idx").collect()]
+    feats = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="f").transform(rows)
+    points = feats.select("label", "f").rdd.map(
+        lambda r: LabeledPoint(r["label"], MLlibVectors.fromML(r["f"]))).coalesce(1).cache()
+    sgd = LogisticRegressionWithSGD.train(points, iterations=100, step=1.0, regParam=0.01,
+                                          regType="l2", intercept=False)
+    sgd_w = spark.createDataFrame([(t, float(w)) for t, w in zip(terms, sgd.weights.toArray())],
+                                  "term string, weight double")
+    ours = _loss(spark, weights, labelled, 0.01)
+    theirs = _loss(spark, sgd_w, labelled, 0.01)
+    assert ours <= theirs + 1e-9, (ours, theirs)
