@@ -48,3 +48,14 @@ def test_overwrite_table_keeps_schema(spark, scratch):
 def test_replay_reader_schema(spark, scratch):
     stream = scorer.replay_files(spark, scratch)
     assert stream.isStreaming and stream.columns == ["key", "value"]
+
+
+def test_kafka_needs_its_connector(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from sentimill.sources import messages
+
+    with pytest.raises(Exception) as err:   # the connector jar is not part of plain PySpark
+        messages.kafka_stream(spark, "localhost:1", "tweets")
+    assert "kafka" in str(err.value).lower()
+    assert isinstance(err.value, (AnalysisException, Exception))
