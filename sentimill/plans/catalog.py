@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import shape
-from ..functions.text import clean_text, tweet_tokens, words
+from ..functions.text import WORD_PATTERN, clean_text, tweet_tokens, words
 from ..operators import backfill, clouds, counts, history, model, sizing
 from ..session import checkpoint_dir
 from ..sources import lexicon, messages, tables
@@ -23,6 +23,7 @@ TOPIC = "the"                 # word dropped from the clouds, added to the backf
 TRACK_SUBJECTS = "worthless,excellent,good,bad"
 CAPTURE_N = 100
 EVENT_WINDOW = "1 second"     # the reference's micro-batch length
+WORD_CHAR = WORD_PATTERN.replace("+", "")   # one word character: the text has a word
 # ------------------------------------------------------------------------------
 
 
@@ -90,6 +91,27 @@ class Views:
         return top.select("batch_id", tables.batch_start("batch_id").alias("batch_start"),
                           "word", "n", "rank")
 
+    def latest_top(self, stop: DataFrame | None) -> DataFrame:
+        """Top words of the newest batch that has a counted word, tokenising that batch only.
+
+        A text has a word iff it matches one word character, so the newest
+        candidate batch is a cheap scalar subquery and the batch filter runs
+        before the explode.  Without a stop list the candidate is exact; with
+        one, a candidate holding only stop words (rare) falls back to the
+        written full history.
+        """
+        # the candidate is a cheap scan (no tokenising): it needs no spreading
+        plain = tables.keep_english(tables.tweet_view(self.table("documents", spread_rows=False)))
+        newest = plain.filter(F.col("text").rlike(WORD_CHAR)).select(F.max("batch_id")).scalar()
+        one = self.english.filter(F.col("batch_id") == newest)
+        exploded = counts.explode_words(one, words("text"), ["batch_id"])
+        top = counts.top_words_per_group(counts.drop_words(counts.word_counts(exploded, ["batch_id"]), stop),
+                                         ["batch_id"])
+        top = top.select("batch_id", tables.batch_start("batch_id").alias("batch_start"), "word", "n", "rank")
+        if stop is None or not top.isEmpty():
+            return top
+        return history.latest(self.word_history(stop))
+
     def word_history(self, stop: DataFrame | None) -> DataFrame:
         """The stored word-count history (what the stream sink writes), as a written table.
 
@@ -211,7 +233,7 @@ def q_wide_word_rows(spark, sf_dir):
 
 def q_latest_word_count(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return history.latest(v.word_history(v.stop)).select("batch_id", "word", "n", "rank")
+    return v.latest_top(v.stop).select("batch_id", "word", "n", "rank")
 
 
 def q_long_term_word_count(spark, sf_dir):
@@ -317,8 +339,7 @@ def q_half_step_label(spark, sf_dir):
 
 def q_word_cloud_short(spark, sf_dir):
     v = _v(spark, sf_dir)
-    latest = history.latest(v.word_history(None))
-    return clouds.short_cloud(latest, v.weights, TOPIC)
+    return clouds.short_cloud(v.latest_top(None), v.weights, TOPIC)
 
 
 def q_word_cloud_long(spark, sf_dir):
