@@ -91,26 +91,30 @@ class Views:
         return top.select("batch_id", tables.batch_start("batch_id").alias("batch_start"),
                           "word", "n", "rank")
 
-    def latest_top(self, stop: DataFrame | None) -> DataFrame:
-        """Top words of the newest batch that has a counted word, tokenising that batch only.
-
-        A text has a word iff it matches one word character, so the newest
-        candidate batch is a cheap scalar subquery and the batch filter runs
-        before the explode.  Without a stop list the candidate is exact; with
-        one, a candidate holding only stop words (rare) falls back to the
-        written full history.
+    def recent_top(self, stop: DataFrame | None, n: int) -> DataFrame:
+        """Top-words history of the ``n`` newest batches that have a counted word.
+
+        Only those batches are tokenised.  A text has a word iff it matches one
+        word character, so the n newest candidate batches come from a cheap
+        scan (no tokenising, no spreading) and are semi-joined (n ids,
+        broadcast) before the explode.  Without a stop list the candidates are
+        exact; with one, if a candidate holds only stop words (rare), the
+        answer falls back to the written full history.
         """
-        # the candidate is a cheap scan (no tokenising): it needs no spreading
         plain = tables.keep_english(tables.tweet_view(self.table("documents", spread_rows=False)))
-        newest = plain.filter(F.col("text").rlike(WORD_CHAR)).select(F.max("batch_id")).scalar()
-        one = self.english.filter(F.col("batch_id") == newest)
-        exploded = counts.explode_words(one, words("text"), ["batch_id"])
+        ids = sizing.bounded(plain.filter(F.col("text").rlike(WORD_CHAR)).select("batch_id").distinct()
+                             .orderBy(F.desc("batch_id")).limit(n))
+        some = self.english.join(ids, "batch_id", "left_semi")
+        exploded = counts.explode_words(some, words("text"), ["batch_id"])
         top = counts.top_words_per_group(counts.drop_words(counts.word_counts(exploded, ["batch_id"]), stop),
                                          ["batch_id"])
         top = top.select("batch_id", tables.batch_start("batch_id").alias("batch_start"), "word", "n", "rank")
-        if stop is None or not top.isEmpty():
+        if stop is None:
             return top
-        return history.latest(self.word_history(stop))
+        # every candidate kept a word: they are the n newest non-empty batches
+        if top.select("batch_id").distinct().count() == ids.count():
+            return top
+        return history.retain_latest(self.word_history(stop), n)
 
     def word_history(self, stop: DataFrame | None) -> DataFrame:
         """The stored word-count history (what the stream sink writes), as a written table.
@@ -233,17 +237,17 @@ def q_wide_word_rows(spark, sf_dir):
 
 def q_latest_word_count(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return v.latest_top(v.stop).select("batch_id", "word", "n", "rank")
+    return v.recent_top(v.stop, 1).select("batch_id", "word", "n", "rank")
 
 
 def q_long_term_word_count(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return history.long_term_words(v.word_history(v.stop))
+    return history.long_term_words(v.recent_top(v.stop, history.WORD_HISTORY))
 
 
 def q_retain_latest(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return history.retain_latest(v.word_history(v.stop)).select("batch_id", "word", "n", "rank")
+    return v.recent_top(v.stop, history.RETAINED_BATCHES).select("batch_id", "word", "n", "rank")
 
 
 # ---- model ---------------------------------------------------------------------------------
@@ -339,12 +343,12 @@ def q_half_step_label(spark, sf_dir):
 
 def q_word_cloud_short(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return clouds.short_cloud(v.latest_top(None), v.weights, TOPIC)
+    return clouds.short_cloud(v.recent_top(None, 1), v.weights, TOPIC)
 
 
 def q_word_cloud_long(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return clouds.long_cloud(history.long_term_words(v.word_history(None)), TOPIC)
+    return clouds.long_cloud(history.long_term_words(v.recent_top(None, history.WORD_HISTORY)), TOPIC)
 
 
 # ---- backfill ------------------------------------------------------------------------------

@@ -81,3 +81,25 @@ def test_zero_vector_is_negative(spark):
     docs = spark.createDataFrame([(1, "zzzz qqqq"), (2, None)], "doc_id long, text string")
     out = model.score(docs, ["doc_id"], v.weights).collect()
     assert all(r["score"] == 0.0 and r["label"] == 0 and r["n_tokens"] == 0 for r in out)
+
+
+def test_recent_batches_fall_back_when_newest_has_only_stop_words(spark, scratch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    last = docs.agg(F.max("doc_id")).first()[0]
+    extra = spark.createDataFrame(
+        [(last + 40, "The and of the.", "en", "srcx", 15)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    folder = f"{scratch}/sf"
+    docs.unionByName(extra).write.parquet(f"{folder}/documents.parquet")
+    v = catalog.Views(spark, folder)
+    fast = catalog.q_latest_word_count(spark, folder)
+    full = history.latest(v.word_history(v.stop)).select("batch_id", "word", "n", "rank")
+    assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0
+    # the stop-word-only batch is skipped: the newest non-empty batch is an older one
+    assert fast.select("batch_id").distinct().first()[0] < (last + 40) // 20
+    # without a stop list the newest batch is the stop-word-only one
+    nostop = v.recent_top(None, 1).select("batch_id").distinct().collect()
+    assert [r[0] for r in nostop] == [(last + 40) // 20]
+    long_fast = catalog.q_long_term_word_count(spark, folder)
+    long_full = history.long_term_words(v.word_history(v.stop))
+    assert long_fast.exceptAll(long_full).count() == 0 and long_full.exceptAll(long_fast).count() == 0
