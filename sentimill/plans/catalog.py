@@ -91,6 +91,28 @@ class Views:
         return top.select("batch_id", tables.batch_start("batch_id").alias("batch_start"),
                           "word", "n", "rank")
 
+    def newest_ids(self, n: int, words_only: bool = False) -> DataFrame:
+        """Ids of the n newest batches with an English text (holding a word character if asked).
+
+        A cheap scan (no tokenising, no spreading) and an ordered limit: n rows, broadcast.
+        """
+        plain = tables.keep_english(tables.tweet_view(self.table("documents", spread_rows=False)))
+        if words_only:
+            plain = plain.filter(F.col("text").rlike(WORD_CHAR))
+        return sizing.bounded(plain.select("batch_id").distinct().orderBy(F.desc("batch_id")).limit(n))
+
+    def recent_by_batch(self, n: int) -> DataFrame:
+        """Sentiment counts of the n newest batches; only their texts are scored.
+
+        Every English text is scored (a text without vocabulary words scores 0),
+        so the newest batches of the history are exactly the newest batches
+        with an English text.
+        """
+        some = self.english.join(self.newest_ids(n), "batch_id", "left_semi")
+        out = history.sentiment_by_batch(model.score(some, ["doc_id", "batch_id"], self.weights))
+        return out.select("batch_id", tables.batch_start("batch_id").alias("batch_start"),
+                          "positive", "negative", "volume")
+
     def recent_top(self, stop: DataFrame | None, n: int) -> DataFrame:
         """Top-words history of the ``n`` newest batches that have a counted word.
 
@@ -101,9 +123,7 @@ class Views:
         exact; with one, if a candidate holds only stop words (rare), the
         answer falls back to the written full history.
         """
-        plain = tables.keep_english(tables.tweet_view(self.table("documents", spread_rows=False)))
-        ids = sizing.bounded(plain.filter(F.col("text").rlike(WORD_CHAR)).select("batch_id").distinct()
-                             .orderBy(F.desc("batch_id")).limit(n))
+        ids = self.newest_ids(n, words_only=True)
         some = self.english.join(ids, "batch_id", "left_semi")
         exploded = counts.explode_words(some, words("text"), ["batch_id"])
         top = counts.top_words_per_group(counts.drop_words(counts.word_counts(exploded, ["batch_id"]), stop),
@@ -287,19 +307,23 @@ def q_train_sentiment(spark, sf_dir):
 # ---- history read path -----------------------------------------------------------
 
 def q_history_short(spark, sf_dir):
-    return history.history(_v(spark, sf_dir).by_batch, history.SHORT_HISTORY)
+    n = history.SHORT_HISTORY
+    return history.history(_v(spark, sf_dir).recent_by_batch(n), n)
 
 
 def q_history_long(spark, sf_dir):
-    return history.history(_v(spark, sf_dir).by_batch, history.LONG_HISTORY)
+    n = history.LONG_HISTORY
+    return history.history(_v(spark, sf_dir).recent_by_batch(n), n)
 
 
 def q_sentiment_totals(spark, sf_dir):
-    return history.totals(_v(spark, sf_dir).by_batch, history.LONG_HISTORY)
+    n = history.LONG_HISTORY
+    return history.totals(_v(spark, sf_dir).recent_by_batch(n), n)
 
 
 def q_history_ranges(spark, sf_dir):
-    return history.ranges(_v(spark, sf_dir).by_batch, history.SHORT_HISTORY)
+    n = history.SHORT_HISTORY
+    return history.ranges(_v(spark, sf_dir).recent_by_batch(n), n)
 
 
 def q_recent_per_batch(spark, sf_dir):
@@ -313,7 +337,10 @@ def q_last_per_batch(spark, sf_dir):
 
 
 def q_recent_tweets(spark, sf_dir):
-    return history.recent_tweets(history.last_per_batch(_v(spark, sf_dir).english))
+    v = _v(spark, sf_dir)
+    n = history.RECENT_TEXTS
+    some = v.english.join(v.newest_ids(n), "batch_id", "left_semi")   # only the n newest batches
+    return history.recent_tweets(history.last_per_batch(some), n)
 
 
 # ---- dashboard numbers -------------------------------------------------------------
