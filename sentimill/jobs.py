@@ -80,14 +80,17 @@ def read_job(spark: SparkSession, history_dir: str, out: str | None = None,
     words = scorer.read_history(spark, history_dir, scorer.WORDS_TABLE)
     senti = scorer.read_history(spark, history_dir, scorer.SENTIMENT_TABLE)
     last = scorer.read_history(spark, history_dir, scorer.LAST_TABLE)
+    # stored tables are partitioned by batch: read only the partitions asked for
+    short, long_ = history.SHORT_HISTORY, history.LONG_HISTORY
     report = {
-        "latest_words": history.latest(words).select("word", "n"),
-        "long_term_words": history.long_term_words(words),
-        "history_short": history.history(senti, history.SHORT_HISTORY),
-        "history_long": history.history(senti, history.LONG_HISTORY),
-        "totals": history.totals(senti, history.LONG_HISTORY),
-        "ranges": history.ranges(senti, history.SHORT_HISTORY),
-        "recent_tweets": history.newest(last, history.RECENT_TEXTS, "batch_start").select(
+        "latest_words": history.newest_partitions(words, 1).select("word", "n"),
+        "long_term_words": history.long_term_words(history.newest_partitions(words, history.WORD_HISTORY)),
+        "history_short": history.history(history.newest_partitions(senti, short), short),
+        "history_long": history.history(history.newest_partitions(senti, long_), long_),
+        "totals": history.totals(history.newest_partitions(senti, long_), long_),
+        "ranges": history.ranges(history.newest_partitions(senti, short), short),
+        "recent_tweets": history.newest(history.newest_partitions(last, history.RECENT_TEXTS),
+                                        history.RECENT_TEXTS, "batch_start").select(
             F.substring("created_at", 1, 19).alias("Time"), F.col("text").alias("Tweet"),
             F.col("author").alias("Author")),
     }

@@ -50,9 +50,22 @@ def newest_batch_ids(df: DataFrame, n: int, batch_col: str = "batch_id",
     return bounded(newest(batches, n, order_col).select(batch_col))  # at most n rows
 
 
+def newest_partitions(table: DataFrame, n: int, batch_col: str = "batch_id") -> DataFrame:
+    """Rows of the n newest batches of a stored history partitioned by ``batch_col``.
+
+    The n ids (a bounded list) are fetched first and applied as a literal
+    ``IN`` filter, which Spark turns into a static partition filter: only those
+    partitions are listed and read — the point get of a keyed table.  (A semi
+    join against an ordered limit does not trigger dynamic partition pruning.)
+    """
+    ids = [r[0] for r in table.select(batch_col).distinct()
+           .orderBy(F.desc(batch_col)).limit(n).collect()]
+    return table.filter(F.col(batch_col).isin(ids))
+
+
 def in_batches(df: DataFrame, batch_ids: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """Rows of the given batches (a semi join; ``newest_batch_ids`` is broadcast)."""
-    return df.join(batch_ids, batch_col, "left_semi")
+    return df.join(batch_ids, batch_col, "left_semi").select(*df.columns)
 
 
 def chronological(last: DataFrame, order_col: str = "batch_start", pos_col: str = "x") -> DataFrame:

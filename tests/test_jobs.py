@@ -58,3 +58,20 @@ def test_job_cli_parses(spark, scratch):
     import pytest
     with pytest.raises(SystemExit):
         jobs.main(["nonsense"])
+
+
+def test_history_point_get_prunes_partitions(spark, scratch):
+    from sentimill.operators import history
+    v = catalog.Views(spark, SF_SMALL)
+    hist = f"{scratch}/h"
+    sink = scorer.HistorySink(hist, catalog.written(v.weights), v.stop)
+    for epoch, b in enumerate(range(4)):
+        sink(scorer.incoming_tweets(messages.encode_messages(v.tweets.filter(F.col("batch_id") == b))), epoch)
+    words = scorer.read_history(spark, hist, scorer.WORDS_TABLE)
+    got = history.newest_partitions(words, 1)
+    import re
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert filters and re.search(r"batch_id#\d+L = 3\)", filters[0]), filters   # only the newest partition
+    want = history.latest(words)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
