@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "_pos_bucket"
+_SUB = "_pos_sub"
 _OFFSET = "_pos_offset"
 ROWS_PER_BUCKET = 200_000    # rows sorted by one task; the bucket count follows the data
 MAX_BUCKETS = 200_000        # bounds the cut points on the driver and the offsets broadcast
@@ -40,11 +41,48 @@ def default_buckets(df: DataFrame) -> int:
     return int(min(MAX_BUCKETS, max(floor, -(-n // ROWS_PER_BUCKET))))
 
 
+def _hot_values(cuts: list[float]) -> list[float]:
+    """Values filling two or more quantile cuts: each holds more than about 1/K of the rows."""
+    seen: dict[float, int] = {}
+    for c in cuts:
+        seen[c] = seen.get(c, 0) + 1
+    return sorted(v for v, m in seen.items() if m >= 2)
+
+
+def _sub_bucket(df: DataFrame, key_d, order_cols: list[str], hot: list[float], k: int):
+    """Split the rows of hot first-key values by quantiles of the second order column.
+
+    Returns a column: for a row whose first key is hot, the number of the
+    value's sub-cuts at or below its second key; for every other row a number
+    past all of them (in a hot value's bucket those rows have larger first
+    keys, so they come after).  Order by (bucket, sub-bucket) stays the
+    global order.  One aggregation fetches the cuts: at most ``k`` in total.
+    """
+    second = order_cols[1]
+    m = max(2, min(1024, k // len(hot)))
+    probs = [i / m for i in range(1, m)]
+    second_d = F.col(second).cast("double")
+    first_d = F.col(order_cols[0]).cast("double")
+    rows = (df.filter(first_d.isin(hot)).groupBy(first_d.alias("_v"))
+            .agg(F.percentile_approx(second_d, probs, max(10_000, 4 * m)).alias("_c")).collect())
+    pairs = []
+    for r in rows:
+        pairs += [F.lit(r["_v"]), F.array(*[F.lit(float(c)) for c in sorted(set(r["_c"]))])]
+    if not pairs:
+        return F.lit(0)
+    cuts_of = F.element_at(F.create_map(*pairs), key_d)
+    return (F.when(key_d.isin(hot), F.size(F.filter(cuts_of, lambda c: c <= second_d)))
+            .otherwise(F.lit(m + 1)))
+
+
 def with_row_index(df: DataFrame, order_cols: list[str] | tuple, index_col: str = "idx",
                    buckets: int | None = None) -> DataFrame:
     """Add ``index_col`` = 0-based position of the row in ``order_cols`` order.
 
     The first order column must be numeric; the full list must be unique per row.
+    A first-key value holding more than about 1/K of the rows (it fills several
+    quantile cuts) is split further by a numeric second order column, so a hot
+    value does not land in one task.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -58,13 +96,22 @@ def with_row_index(df: DataFrame, order_cols: list[str] | tuple, index_col: str
         splits = [float("-inf"), 0.0, float("inf")]
     keyed = df.withColumn("_pos_key", F.col(key).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="_pos_key", outputCol=_BUCKET,
-                          handleInvalid="keep").transform(keyed).drop("_pos_key")
+                          handleInvalid="keep").transform(keyed)
+
+    hot = _hot_values(cuts)
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    if hot and len(order_cols) > 1 and dict(df.dtypes)[order_cols[1]] in numeric:
+        sub = _sub_bucket(df, F.col("_pos_key"), order_cols, hot, k)
+    else:
+        sub = F.lit(0)
+    bucketed = bucketed.withColumn(_SUB, sub).drop("_pos_key")
+    keys = [_BUCKET, _SUB]
 
-    sizes = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET))
+    sizes = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))   # at most 2K rows
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET))
 
-    inner = Window.partitionBy(_BUCKET).orderBy(*order_cols)
-    return (bucketed.join(F.broadcast(offsets), _BUCKET)
+    inner = Window.partitionBy(*keys).orderBy(*order_cols)
+    return (bucketed.join(F.broadcast(offsets), keys)
             .withColumn(index_col, F.col(_OFFSET) + F.row_number().over(inner) - 1)
-            .drop(_BUCKET, _OFFSET))
+            .drop(_BUCKET, _SUB, _OFFSET))

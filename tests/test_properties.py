@@ -103,3 +103,22 @@ def test_recent_batches_fall_back_when_newest_has_only_stop_words(spark, scratch
     long_fast = catalog.q_long_term_word_count(spark, folder)
     long_full = history.long_term_words(v.word_history(v.stop))
     assert long_fast.exceptAll(long_full).count() == 0 and long_full.exceptAll(long_fast).count() == 0
+
+
+def test_row_index_splits_a_hot_first_key(spark):
+    # a third of the rows share one first-key value; the second key orders them
+    hot = spark.range(0, 3000).select(F.lit(5).alias("a"), F.col("id").alias("b"))
+    rest = spark.range(0, 6000).select((F.col("id") + 10).alias("a"), F.lit(0).alias("b"))
+    df = hot.union(rest)
+    idx = with_row_index(df, ["a", "b"], buckets=16)
+    rows = idx.orderBy("a", "b").select("idx").collect()
+    assert [r[0] for r in rows] == list(range(9000))
+    # the hot value is spread over many buckets, none holding more than a small share
+    from sentimill.operators import position
+    k = 16
+    cuts = df.select(F.col("a").cast("double").alias("a")).approxQuantile("a", [i / k for i in range(1, k)],
+                                                                       0.25 / k)
+    assert position._hot_values(cuts) == [5.0]
+    sub = position._sub_bucket(df, F.col("a").cast("double"), ["a", "b"], [5.0], k)
+    biggest = df.filter("a = 5").groupBy(sub.alias("s")).count().agg(F.max("count")).first()[0]
+    assert biggest <= 3000 // 4
