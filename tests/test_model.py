@@ -64,3 +64,10 @@ def test_fit_is_no_worse_than_plain_sgd(spark):
     ours = _loss(spark, weights, labelled, 0.01)
     theirs = _loss(spark, sgd_w, labelled, 0.01)
     assert ours <= theirs + 1e-9, (ours, theirs)
+
+
+def test_registered_training_query(spark):
+    from conftest import SF_SMALL
+    df = catalog.q_train_sentiment(spark, SF_SMALL)
+    assert df.columns == ["term", "idx", "weight"]
+    assert df.count() == catalog.Views(spark, SF_SMALL).vocab.count()
