@@ -84,10 +84,12 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "top_all": ("SELECT batch_id, " + BATCH_START + " AS batch_start, word, n, rank FROM ("
                 "SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY n DESC, word) AS rank "
                 "FROM bw_all) WHERE rank <= " + str(counts.TOP_WORDS), ("bw_all",)),
-    "long_top": ("SELECT word, CAST(sum(n) AS BIGINT) AS n FROM top WHERE batch_id IN (SELECT batch_id FROM top "
+    "long_top": ("SELECT word, CAST(sum(n) AS BIGINT) AS n FROM top "
+                 "WHERE batch_id IN (SELECT batch_id FROM top "
                  "GROUP BY batch_id ORDER BY max(batch_start) DESC LIMIT " + str(history.WORD_HISTORY)
                  + ") GROUP BY word", ("top",)),
-    "long_all": ("SELECT word, CAST(sum(n) AS BIGINT) AS n FROM top_all WHERE batch_id IN (SELECT batch_id FROM top_all "
+    "long_all": ("SELECT word, CAST(sum(n) AS BIGINT) AS n FROM top_all "
+                 "WHERE batch_id IN (SELECT batch_id FROM top_all "
                  "GROUP BY batch_id ORDER BY max(batch_start) DESC LIMIT " + str(history.WORD_HISTORY)
                  + ") GROUP BY word", ("top_all",)),
     "wdocs": ("SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS idx, "
@@ -139,7 +141,8 @@ def _bucket(x: str) -> str:
 
 def _size(n: str, low: str, spread: str) -> str:
     hund = _round_ratio("(" + n + " - " + low + ") * 200 - " + spread + " * 100", spread)
-    return "((" + hund + ") / 100 * " + repr(shape.MAX_SIZE_CHANGE) + " + 1) * " + str(shape.BASE_SIZE_PERCENT)
+    return ("((" + hund + ") / 100 * " + repr(shape.MAX_SIZE_CHANGE) + " + 1) * "
+            + str(shape.BASE_SIZE_PERCENT))
 
 
 def _cloud_long() -> str:
@@ -224,8 +227,10 @@ SQL: dict[str, str] = {
     "sentiment_by_batch": _with("SELECT * FROM by_batch", ("by_batch",)),
     "history_short": _with(_hist(history.SHORT_HISTORY), ("by_batch",)),
     "history_long": _with(_hist(history.LONG_HISTORY), ("by_batch",)),
-    "sentiment_totals": _with("SELECT CAST(sum(volume) AS BIGINT) AS volume, CAST(sum(positive) AS BIGINT) AS positive, "
-                              "CAST(sum(negative) AS BIGINT) AS negative, count(*) AS batches FROM (SELECT * FROM by_batch "
+    "sentiment_totals": _with("SELECT CAST(sum(volume) AS BIGINT) AS volume, "
+                              "CAST(sum(positive) AS BIGINT) AS positive, "
+                              "CAST(sum(negative) AS BIGINT) AS negative, count(*) AS batches "
+                              "FROM (SELECT * FROM by_batch "
                               "ORDER BY batch_start DESC LIMIT " + str(history.LONG_HISTORY) + ")",
                               ("by_batch",)),
     "history_ranges": _with("SELECT min(volume) AS volume_min, max(volume) AS volume_max, "
