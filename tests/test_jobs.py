@@ -75,3 +75,14 @@ def test_history_point_get_prunes_partitions(spark, scratch):
     assert filters and re.search(r"batch_id#\d+L = 3\)", filters[0]), filters   # only the newest partition
     want = history.latest(words)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_read_cli_end_to_end(spark, scratch):
+    v = catalog.Views(spark, SF_SMALL)
+    hist = f"{scratch}/h"
+    sink = scorer.HistorySink(hist, catalog.written(v.weights), v.stop)
+    for epoch, b in enumerate(range(3)):
+        sink(scorer.incoming_tweets(messages.encode_messages(v.tweets.filter(F.col("batch_id") == b))), epoch)
+    assert jobs.main(["read", "--history", hist, "--out", f"{scratch}/r", "--topic", "the"]) == 0
+    assert spark.read.parquet(f"{scratch}/r/history_short").count() == 3
+    assert spark.read.parquet(f"{scratch}/r/latest_words").filter("word = 'the'").count() == 0
