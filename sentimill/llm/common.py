@@ -70,6 +70,42 @@ def join_spread(left: DataFrame, right: DataFrame, key: str | list[str], hot: Da
     return left.join(hot, key, "left_semi").join(F.broadcast(few), key, "left").unionByName(cold)
 
 
+BITMAP_BITS = 32768      # bits in one row of a bitmap, as bitmap_construct_agg makes them
+MOST_BITS = 1 << 27      # bits of a whole bitmap: 16 MB
+
+
+def seen_in(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``df`` with ``__sm_seen``: false where ``key`` (a long) surely is not in ``keys.key``.
+
+    The test is a bitmap of the keys, of 16 bits per key and MOST_BITS at most,
+    so its broadcast is bounded whatever the number of keys; with more keys
+    more rows are seen in vain.  Meant to spare a shuffle of wide rows: what is seen
+    goes on to an exact join.
+    """
+    n = max(1, keys.count())
+    bits = min(MOST_BITS, max(BITMAP_BITS, 1 << (16 * n).bit_length()))
+    slot = F.pmod(F.coalesce(F.col("key"), F.lit(0)), F.lit(bits))
+    rows = (keys.select(slot.alias("slot"))
+            .groupBy(F.floor(F.col("slot") / BITMAP_BITS).cast("int").alias("__sm_row"))
+            .agg(F.bitmap_construct_agg(F.col("slot") % BITMAP_BITS).alias("__sm_bits")))
+    rows = written(rows, "bitmap")
+    at = F.pmod(F.coalesce(key, F.lit(0)), F.lit(bits))
+    put = df.withColumn("__sm_at", at).withColumn("__sm_row", F.floor(F.col("__sm_at") / BITMAP_BITS).cast("int"))
+    byte = "conv(hex(substring(__sm_bits, cast(__sm_at % 32768 div 8 as int) + 1, 1)), 16, 10)"
+    seen = F.expr(f"coalesce(shiftright(cast({byte} as int), cast(__sm_at % 8 as int)) & 1 = 1, false)")
+    return (put.join(F.broadcast(rows), "__sm_row", "left").withColumn("__sm_seen", seen)
+            .drop("__sm_row", "__sm_at", "__sm_bits"))
+
+
+def without_rows(df: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` (a long) is not in ``dropped.key``: only rows that a bitmap
+    of the dropped keys can't clear are shuffled."""
+    marked = seen_in(df, key, dropped).withColumn("__sm_key", key)
+    gone = dropped.select(F.col("key").alias("__sm_key")).distinct()
+    maybe = marked.filter("__sm_seen").join(gone, "__sm_key", "left_anti")
+    return marked.filter("not __sm_seen").unionByName(maybe).drop("__sm_seen", "__sm_key")
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """Smallest ``label`` reachable from each node: (node, label).
 

@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, documents, join_spread, written
+from .common import HOT_SHARE, documents, join_spread, seen_in, without_rows, written
 
 BUCKET_KEYS = 20_000     # keys a bucket may hold before it splits ...
 MOST_BUCKETS = 10_000    # ... or, beyond this many buckets, so many that the directory stays this small
@@ -64,15 +64,24 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def build_index(rows: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+def build_index(rows: DataFrame, own: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """The index on shared files: bucket, depth, key, link, sha, keep_id, group_size.
 
-    ``rows``: doc_id, text, key.  One entry for each different text; ``link``
-    numbers the entries that are chained under one key.
+    ``rows``: doc_id, text, key; ``own``: what ``digests`` makes of them.  One entry
+    for each different text; ``link`` numbers the entries chained under one key.
+    A key that one row has needs no comparison (and has no digest here); only
+    rows that may share their key are shuffled with their texts.
     """
-    entries = written(rows.groupBy("key", "text")
-                      .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-                      .select("key", F.sha2("text", 256).alias("sha"), "keep_id", "group_size"), "entries")
+    keys = written(own.groupBy("key").agg(F.sum("times").alias("rows"), F.max("doc_id").alias("keep_id")), "keys")
+    shared = keys.filter("rows > 1").select("key")
+    texts = (seen_in(rows, F.col("key"), shared).filter("__sm_seen")
+             .groupBy("key", "text")                       # this compares the bytes
+             .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+             .select("key", F.sha2("text", 256).alias("sha"), "keep_id", "group_size")
+             .join(shared, "key", "left_semi"))
+    alone = keys.filter("rows = 1").select("key", F.lit(None).cast("string").alias("sha"), "keep_id",
+                                           F.col("rows").alias("group_size"))
+    entries = written(texts.unionByName(alone), "entries")
     table = directory(entries, bucket_keys)
     cell = F.shiftrightunsigned("key", 64 - table.bits)
     chain = Window.partitionBy("bucket", "key").orderBy("sha")
@@ -80,6 +89,12 @@ def build_index(rows: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
                    .repartition("bucket").withColumn("link", F.row_number().over(chain)), "index")
 
 
+def digests(rows: DataFrame) -> DataFrame:
+    """(doc_id, key, sha, times): repeated rows collapse to a count, so not even they can pile up."""
+    return (rows.groupBy("doc_id", "key", F.sha2("text", 256).alias("sha"))
+            .agg(F.count(F.lit(1)).alias("times")))
+
+
 def exact_dedup(docs: DataFrame, key: Callable[[Column], Column] = text_key,
                 bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """One row per document row: doc_id, keep_id, group_size, kept, text_sha256.
@@ -88,10 +103,8 @@ def exact_dedup(docs: DataFrame, key: Callable[[Column], Column] = text_key,
     the key's chain, by the digest of its text.
     """
     rows = documents(docs).withColumn("key", key(F.col("text")))
-    index = build_index(rows, bucket_keys)
-    # repeated rows collapse to a count, so not even they can pile up in a task
-    own = written(rows.groupBy("doc_id", "key", F.sha2("text", 256).alias("sha"))
-                  .agg(F.count(F.lit(1)).alias("times")), "own")
+    own = written(digests(rows), "own")
+    index = build_index(rows, own, bucket_keys)
     copies = index.filter("group_size > 1").select("key", "sha", "keep_id", "group_size")
     total = index.agg(F.sum("group_size")).first()[0] or 0
     hot = copies.filter(F.col("group_size") * HOT_SHARE > total).select("key", "sha")
@@ -108,13 +121,15 @@ def exact_dedup(docs: DataFrame, key: Callable[[Column], Column] = text_key,
 
 def keep_first_copies(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops, all columns as they are."""
-    kept = written(exact_dedup(docs, **options).filter("kept").select("doc_id", "text_sha256"), "kept")
-    key = kept.select(F.col("doc_id").alias("__sm_id"), F.col("text_sha256").alias("__sm_sha"))
-    marked = docs.withColumn("__sm_own", F.sha2(F.coalesce("text", F.lit("")), 256))
-    out = marked.join(key, marked["doc_id"].eqNullSafe(key["__sm_id"]) & (marked["__sm_own"] == key["__sm_sha"]),
-                      "left_semi")
-    again = (documents(docs).groupBy("doc_id", F.sha2("text", 256)).agg(F.count(F.lit(1)).alias("times"))
-             .filter("times > 1"))
-    if not again.isEmpty():                  # rows repeated as a whole: one of them
-        out = out.dropDuplicates(["doc_id", "__sm_own"])
-    return out.drop("__sm_own")
+    found = written(exact_dedup(docs, **options).select("doc_id", "keep_id", "kept", "text_sha256"), "found")
+    row = F.xxhash64("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256))
+    own = F.xxhash64("doc_id", "text_sha256")
+    # a document goes if it isn't the one that stays; of one that is repeated as a whole, one row stays
+    dropped = found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(own.alias("key")).distinct()
+    repeated = found.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & ~F.col("kept")).select(own.alias("key")).distinct()
+    out = without_rows(docs, row, dropped)
+    if repeated.isEmpty():
+        return out
+    single = seen_in(out, row, repeated).withColumn("__sm_key", row)
+    again = single.filter("__sm_seen").dropDuplicates(["__sm_key"])
+    return single.filter("not __sm_seen").unionByName(again).drop("__sm_seen", "__sm_key")

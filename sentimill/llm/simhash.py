@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, documents, hot_keys, join_spread, written
+from .common import components, documents, hot_keys, join_spread, without_rows, written
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -290,8 +290,10 @@ def hex64(col: str) -> Column:
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without near duplicates: of each class the row(s) whose doc_id names it stay."""
-    kept = (near_dedup(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("__sm_id")).distinct())
-    kept = written(kept, "kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__sm_id"]), "left_semi")
+    """``docs`` without near duplicates: of each class the row whose doc_id names it stays.
+
+    Rows with the same doc_id are one document and share its fate.
+    """
+    named = near_dedup(docs, **options).select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("names"))
+    dropped = named.groupBy(F.xxhash64("doc_id").alias("key")).agg(F.max("names").alias("names")).filter("not names")
+    return without_rows(docs, F.xxhash64("doc_id"), written(dropped.select("key"), "dropped"))
