@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import HOT_SHARE, documents, join_spread, seen_in, without_rows, written
 
-BUCKET_KEYS = 20_000     # keys a bucket may hold before it splits ...
+BUCKET_KEYS = 4_096      # keys a bucket may hold before it splits ...
 MOST_BUCKETS = 10_000    # ... or, beyond this many buckets, so many that the directory stays this small
 
 

@@ -22,19 +22,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import documents, fold, process_cache, slices
+from .common import documents, fold, slices
 
 BITS = 20
 PER_LABEL = 3000
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.0005, 0.001       # FTRL: rate, its start, and the two penalties
+SCALE = 16.0                                        # a feature's value is SCALE times its share of the words
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.001         # FTRL: rate, its start, and the two penalties
 FOLDS, HELD_OUT = 3, 1                              # held out: crc32(doc_id as text) mod 3 is 1
 KNOWN_WORDS = 200_000                               # words whose hashes a worker remembers
 
@@ -80,11 +83,11 @@ def features(texts: list[str | None], known: dict) -> tuple[np.ndarray, np.ndarr
     ]
     place = np.concatenate([g >> np.uint64(64 - BITS) for g, _ in grams]).astype(np.int64)
     owner = np.concatenate([t for _, t in grams])
-    return place, owner, 1.0 / np.maximum(sizes, 1)[owner]
+    return place, owner, SCALE / np.maximum(sizes, 1)[owner]
 
 
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """FTRL-proximal over (label, places, values) in the given order; returns (weights, bias)."""
+    """FTRL-proximal over (label, places, values), shuffled by a fixed seed; returns (weights, bias)."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)     # the last place is the bias
 
     def weights(i):
@@ -103,20 +106,87 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS)
             z[places] += g - (np.sqrt(n[places] + g2) - np.sqrt(n[places])) / ALPHA * w
             n[places] += g2
     w = weights(np.arange(len(z)))
-    return w[:-1].astype(np.float32), float(w[-1])
+    return w[:-1], float(w[-1])
 
 
 def training_row(label: int, text: str, known: dict) -> tuple[int, np.ndarray, np.ndarray]:
     place, _, value = features([text], known)
     places, inverse = np.unique(place, return_inverse=True)
-    values = np.sqrt(np.bincount(inverse, weights=value, minlength=len(places)))
+    values = np.bincount(inverse, weights=value, minlength=len(places))
     return label, np.append(places, 1 << BITS), np.append(values, 1.0)
 
 
-def score(texts: list[str | None], weights: np.ndarray, bias: float, known: dict) -> np.ndarray:
-    place, owner, value = features(texts, known)
-    # a feature's value is the root of its share: sum each (text, place) first
-    key, inverse = np.unique(owner << BITS | place, return_inverse=True)
-    share = np.sqrt(np.bincount(inverse, weights=value, minlength=len(key)))
-    total = np.bincount(key >> BITS, weights=share * weights[key & ((1 << BITS) - 1)], minlength=len(texts))
-    return 1.0 / (1.0 + np.exp(-np.clip(total + bias, -30, 30)))
+class Model(NamedTuple):
+    places: np.ndarray       # of the weights that aren't 0
+    weights: np.ndarray
+    bias: float
+
+    def score(self, texts: list[str | None], known: dict) -> np.ndarray:
+        dense = known.get("weights")
+        if dense is None:
+            dense = np.zeros(1 << BITS)
+            dense[self.places] = self.weights
+        place, owner, value = features(texts, known.setdefault("words", {}))
+        known["weights"] = dense
+        total = np.bincount(owner, weights=value * dense[place], minlength=len(texts))
+        return 1.0 / (1.0 + np.exp(-np.clip(total + self.bias, -30, 30)))
+
+
+# ---- Spark ---------------------------------------------------------------------
+
+def training_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
+    """(label, text, draw): at most ``per_label`` labelled documents of each label."""
+    own = (labels.filter(F.col("quality").isin(0, 1) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+           .groupBy("doc_id").agg(F.min("quality").alias("label"))
+           .withColumn("draw", F.xxhash64("doc_id")))
+    drawn = None
+    for label in (0, 1):                     # two ordered limits: per_label rows each
+        some = own.filter(F.col("label") == label).orderBy("draw", "doc_id").limit(per_label)
+        drawn = some if drawn is None else drawn.union(some)
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return (documents(docs).join(F.broadcast(drawn), "doc_id")
+            .withColumn("nth", F.row_number().over(first)).filter("nth = 1")     # of rows with one id: one
+            .select("label", "text", "draw"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
+    """Train in one task on the bounded sample; only the weights that aren't 0 come back."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, known = [], {}
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows.append(training_row(label, text.as_py(), known))
+        weights, bias = train(rows)
+        places = np.append(np.flatnonzero(weights), 1 << BITS)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(np.append(weights, bias)[places].astype(np.float64))],
+                                         names=["place", "weight"])
+
+    sample = training_sample(docs, labels, per_label).repartition(1).sortWithinPartitions("draw", "text")
+    rows = sample.mapInArrow(run, "place long, weight double").collect()
+    rows = [r for r in rows if r[0] < 1 << BITS], sum(r[1] for r in rows if r[0] == 1 << BITS)
+    return Model(np.array([r[0] for r in rows[0]], np.int64), np.array([r[1] for r in rows[0]]), rows[1])
+
+
+def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` and a column ``__sm_score``."""
+    @F.pandas_udf("double")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict = {}
+        for series in texts:
+            batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
+            parts = [model.score(some.column(0).to_pylist(), known) for some in slices([batch], "text")]
+            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+
+    return docs.withColumn("__sm_score", run(F.col(text)))
+
+
+def classify(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
+    """One row per document row: doc_id, held_out, score (of label 1), predicted."""
+    return scored(documents(docs), fit(docs, labels, per_label)).select(
+        "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col("__sm_score").alias("score"),
+        (F.col("__sm_score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
+    """``docs`` without those that the classifier rejects (score under 0.5), all columns as they are."""
+    return scored(docs, fit(docs, labels, per_label)).filter("__sm_score >= 0.5").drop("__sm_score")
