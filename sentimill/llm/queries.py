@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, pieces, quality, simhash
+from . import exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, warc
 from .common import read
 
 
@@ -12,6 +12,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan_secrets(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
@@ -20,6 +28,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -29,7 +41,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op5_mix_sources, op7_sentencepiece, op9_quality, op10_exact_dedup)}
+    op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op5_mix_sources, op7_sentencepiece,
+    op8_warc, op9_quality, op10_exact_dedup)}
 
 SQL = {
     "op10_exact_dedup": """
@@ -40,4 +53,20 @@ SQL = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    # base32 of the 160 bits: 5-bit groups cut from pairs of hexadecimal digits
+    "op8_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+        tops AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS top FROM payloads)
+        SELECT page_id,
+               strlen(payload) AS payload_bytes,
+               list_aggregate([
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((
+                       (instr('0123456789abcdef', substr(hex, 5 * i // 4 + 1, 1)) - 1) * 16
+                       + instr('0123456789abcdef', substr(hex, 5 * i // 4 + 2, 1)) - 1)
+                       >> (3 - 5 * i % 4)) & 31)::INT, 1)
+                   FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM tops""",
 }
