@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, warc
+from . import exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, vafile, warc
 from .common import read
 
 
@@ -20,6 +20,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op5_mix_sources, op7_sentencepiece,
+    op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op4_top_k, op5_mix_sources, op7_sentencepiece,
     op8_warc, op9_quality, op10_exact_dedup)}
 
 SQL = {
@@ -53,6 +57,17 @@ SQL = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op4_top_k": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec))
+        SELECT query_id, rank::INT AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+        WHERE rank <= 5""",
     # base32 of the 160 bits: 5-bit groups cut from pairs of hexadecimal digits
     "op8_warc": """
         WITH payloads AS (
