@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, vafile, warc
+from . import exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, toxicity, vafile, warc
 from .common import read
 
 
@@ -28,6 +28,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op4_top_k, op5_mix_sources, op7_sentencepiece,
+    op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op4_top_k, op5_mix_sources, op6_toxicity, op7_sentencepiece,
     op8_warc, op9_quality, op10_exact_dedup)}
 
 SQL = {
