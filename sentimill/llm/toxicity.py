@@ -37,7 +37,7 @@ WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 15
 GRAMS = (3, 5)
 PER_LABEL = 1500
 DRAWN = 32
-EPOCHS = 8
+STEPS = 750                             # batches learnt from; a sample that is smaller is gone through more often
 CLEAN_WINDOWS = 3
 BATCH = 64
 RATE, EMBED_RATE = 0.01, 0.05
@@ -246,7 +246,7 @@ def pack(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, sizes[order], order
 
 
-def train(rows: list[tuple[int, list[bytes]]], epochs: int = EPOCHS, seed: int = 0) -> dict[str, np.ndarray]:
+def train(rows: list[tuple[int, list[bytes]]], steps: int = STEPS, seed: int = 0) -> dict[str, np.ndarray]:
     """Weights from (label, words of the text)."""
     trainer, rng = Trainer(seed), np.random.default_rng(seed)
     if len({label for label, _ in rows}) < 2:
@@ -259,9 +259,9 @@ def train(rows: list[tuple[int, list[bytes]]], epochs: int = EPOCHS, seed: int =
         for w in rng.permutation(len(first))[:DRAWN]:
             found.append((k, label, codes[first[w]:first[w] + size[w]]))
     vocabulary = list(known)
-    for epoch in range(epochs):
+    while trainer.steps < steps:
         chosen = found
-        if epoch:                                                   # each document's highest windows
+        if trainer.steps:                                                   # each document's highest windows
             logits = _logits(trainer.p, vocabulary, [c for _, _, c in found])
             best: dict[int, list[int]] = {}
             for at in np.argsort(-logits, kind="stable").tolist():

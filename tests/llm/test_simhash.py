@@ -1,0 +1,139 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sentimill.llm import simhash as s
+
+
+def brute_fingerprint(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 4]) for i in range(len(words) - 3)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_classes(codes, max_bits):
+    """Smallest index reachable from each code."""
+    codes = np.array(codes, np.uint64)
+    best, todo = [None] * len(codes), range(len(codes))
+    for i in todo:
+        if best[i] is None:
+            stack = [i]
+            best[i] = i
+            while stack:
+                for j in np.flatnonzero(np.bitwise_count(codes ^ codes[stack.pop()]) <= max_bits).tolist():
+                    if best[j] is None:
+                        best[j] = i
+                        stack.append(j)
+    return best
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aB \t\n\x0b é,.漢", max_size=60))
+def test_fingerprint(text):
+    assert s.fingerprint(text) == brute_fingerprint(text)
+
+
+def test_fingerprint_of_long_text():
+    text = " ".join(f"w{i * i % 977}" for i in range(3000))
+    assert s.fingerprint(text) == brute_fingerprint(text)
+
+
+def clusters(seed, n):
+    rng = np.random.default_rng(seed)
+    codes = rng.integers(0, 1 << 63, n, dtype=np.uint64) * 2
+    for _ in range(3 * n):      # chains: each new code is a few bits from some other
+        flips = rng.integers(0, 64, rng.integers(1, 7)).astype(np.uint64)
+        codes = np.append(codes, codes[rng.integers(len(codes))] ^ np.bitwise_or.reduce(np.uint64(1) << flips))
+    return np.unique(codes)
+
+
+@pytest.mark.parametrize("max_bits", [0, 2, 4, 9])
+def test_index_equals_brute_force(max_bits):
+    for seed in range(4):
+        codes = clusters(seed, 60)
+        group = np.sort(np.random.default_rng(seed).integers(0, 3, len(codes)))
+        order = np.lexsort((s.gray_rank(codes), group))
+        codes, group = codes[order], group[order]
+        root = s.classes(codes, group, max_bits)
+        for g in range(3):
+            own = np.flatnonzero(group == g)
+            want = brute_classes(codes[own], max_bits)
+            pairs = {(want[i], root[own[i]]) for i in range(len(own))}
+            assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})     # the same partition
+
+
+def test_gray_rank_orders_the_gray_sequence():
+    i = np.arange(256, dtype=np.uint64)
+    assert (s.gray_rank(i ^ (i >> np.uint64(1))) == i).all()
+
+
+@pytest.mark.parametrize("most_leaves", [s.MOST_LEAVES, 3], ids=["one deal", "keys dealt again"])
+def test_links_lose_nothing(spark, most_leaves):
+    codes = clusters(9, 40)
+    fps = spark.createDataFrame([(int(x),) for x in codes.view(np.int64)], "fp long")
+    links = s.links(fps, 4, most_leaves).collect()
+    par = {int(x): int(x) for x in codes.view(np.int64)}
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    for r in links:
+        par[find(r.root)] = find(r.member)
+    want = brute_classes(codes, 4)
+    pairs = {(want[i], find(int(x))) for i, x in enumerate(codes.view(np.int64))}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
+def test_masks_cover_all_bits():
+    for used in (0, (1 << 13) - 1, 0xFF00FF00FF00FF00):
+        masks = s.deal_masks(used, 5)
+        assert sum(masks) == (1 << 64) - 1 - used and all(a & b == 0 for a in masks for b in masks if a is not b)
+
+
+def brute_report(rows, max_bits=4):
+    codes = [brute_fingerprint(r.text) for r in rows]
+    best = brute_classes(codes, max_bits)
+    ids = defaultdict(list)
+    for r, b in zip(rows, best):
+        ids[b].append(r.doc_id)
+    return Counter((r.doc_id, format(c, "016x"), min((i for i in ids[b] if i is not None), default=None))
+                   for r, c, b in zip(rows, codes, best))
+
+
+def test_odd_documents(odd_docs, odd_rows):
+    assert Counter(map(tuple, s.near_dedup(odd_docs).collect())) == brute_report(odd_rows)
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert Counter(map(tuple, s.near_dedup(docs).collect())) == brute_report(docs.collect())
+
+
+def test_stage_keeps_one_of_each(odd_docs, odd_rows, no_docs):
+    out = s.keep_one_of_each(odd_docs)
+    assert out.columns == odd_docs.columns
+    want = {k[0] for k in brute_report(odd_rows) if k[0] == k[2]}
+    assert {r.doc_id for r in out.collect()} == want
+    assert s.near_dedup(no_docs).collect() == [] and s.keep_one_of_each(no_docs).collect() == []
+
+
+def test_long_chain_is_one_class(spark):
+    """Fingerprints that differ by 4 bits from one to the next: far ends share nothing."""
+    from sentimill.llm.common import components
+
+    n = 200
+    nodes = spark.range(n).select((F.col("id") * 7 % n).alias("node"), F.col("id").alias("label"))
+    links = spark.range(n - 1).select(F.col("id").alias("root"), (F.col("id") + 1).alias("member"))
+    assert components(nodes, links).select("label").distinct().collect() == [(0,)]
