@@ -8,9 +8,10 @@ Distribution: of ``max_bits + 1`` disjoint groups of bits, two linked
 fingerprints agree in at least one.  So each different fingerprint is dealt out
 once per group of bits, keyed by the bits it has there, and both ends of every
 link meet under some key.  A key with over ``MOST_LEAVES`` fingerprints is dealt
-again over the bits not used yet (the same argument holds for those), until all
-are small: different fingerprints can't share all bits, so this ends and no
-link is lost.
+again over the bits not used yet (the same argument holds for those) if that at
+least halves the pairs under it; if not, as in a large group of near copies, its
+fingerprints are split into shares, and each task searches the key's whole
+tree for one share.  No link is lost either way.
 
 Under each key the fingerprints form a tree: sorted by Gray rank, so that
 neighbours share bits; a node factors out the bits on which all its leaves agree
@@ -28,6 +29,7 @@ null component_id.  Repeated rows each give a row.  An empty table gives none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +37,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, documents, hot_keys, join_spread, without_rows, written
+from .common import HOT_SHARE, components, documents, hot_keys, join_spread, without_rows, written
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
-MOST_LEAVES = 4096       # fingerprints under one key before it is dealt again
+MOST_LEAVES = 4096       # fingerprints under one key before it is dealt again or split into shares
+DEALS = 4                # times a fingerprint is dealt at most
 FAN_OUT = 8              # children of a node
 PAIRS = 1 << 21          # (fingerprint, node) pairs looked at together
 HASHES = 1 << 16         # shingles hashed together
@@ -154,23 +157,25 @@ def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def classes(codes: np.ndarray, group_of: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
+def classes(codes: np.ndarray, group_of: np.ndarray, max_bits: int = MAX_BITS, asks: np.ndarray | None = None) -> np.ndarray:
     """Index of the first code of each code's class; codes link within their group only.
 
-    Input sorted by group and, in it, by Gray rank.
+    Input sorted by group and, in it, by Gray rank.  ``asks``: the codes (ascending) that
+    look for the codes after them; all, if not given.
     """
+    asks = np.arange(len(codes)) if asks is None else asks
     root = np.arange(len(codes))
     if len(codes) < 2:
         return root
     levels = _tree(codes, group_of)
     tops = np.concatenate(([True], group_of[1:] != group_of[:-1])).cumsum() - 1    # the root node of each leaf's group
     sizes = np.bincount(tops)
-    load = np.cumsum(sizes[tops])                                                   # pairs in the worst case
+    load = np.cumsum(sizes[tops[asks]])                                             # pairs in the worst case
     fused = [np.zeros(len(level[0]), bool) for level in levels]
     at = 0
-    while at < len(codes):
+    while at < len(asks):
         end = max(at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + PAIRS, "right")))
-        query, node = np.arange(at, end), tops[at:end]
+        query, node = asks[at:end], tops[asks[at:end]]
         apart = np.zeros(end - at, np.int16)
         at = end
         for no, (own, pattern, open_bits, child, child_end, first, last) in enumerate(levels):
@@ -212,63 +217,76 @@ def _signed(x: int) -> int:
 
 
 def _deal(rows: DataFrame, used: dict[int, int], parts: int) -> tuple[DataFrame, dict[int, int]]:
-    """Deal (path, fp) again: (path, key, fp), one row for each group of unused bits."""
+    """Deal (path, fp, parent) again: one row with a key for each group of unused bits."""
     masks = {path * parts + k: mask | new
              for path, mask in used.items() for k, new in enumerate(deal_masks(mask, parts))}
     steps = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.col("path") * parts + k)
     table = F.create_map(*[F.lit(x) for path, mask in masks.items() for x in (path, _signed(mask))])
-    out = rows.select("fp", F.explode(steps).alias("path"))
+    out = rows.select("fp", "parent", F.explode(steps).alias("path"))
     bits = F.col("fp").bitwiseAND(table[F.col("path")])
-    return out.select("path", F.xxhash64("path", bits).alias("key"), "fp"), masks
+    return out.select("path", F.xxhash64("path", bits).alias("key"), "fp", "parent"), masks
+
+
+def _shares(rows: DataFrame, share: int) -> DataFrame:
+    """(key, fp, asks) of (key, fp, n): a key's fingerprints in each of its shares, where one share asks."""
+    shares = F.ceil(F.col("n") / share)
+    out = rows.withColumn("shares", shares).withColumn("share", F.explode(F.sequence(F.lit(1).cast("long"), "shares")))
+    return out.select(F.xxhash64("key", "share").alias("key"), "fp",
+                      (F.pmod(F.xxhash64("fp"), "shares") + 1 == F.col("share")).alias("asks"))
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, most_leaves: int = MOST_LEAVES) -> DataFrame:
     """(root, member): stars that connect the linked fingerprints of ``fps`` (fp, unique)."""
     parts = max_bits + 1
-    dealt, used = _deal(fps.select("fp", F.lit(0).alias("path")), {0: 0}, parts)
+    first = fps.select("fp", F.lit(0).alias("path"), F.lit(0).cast("long").alias("parent"))
+    dealt, used = _deal(first, {0: 0}, parts)
     leaves = []
-    while True:
+    for deal in range(1, DEALS + 1):
         sizes = written(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key-sizes")
-        large = sizes.filter(F.col("n") > most_leaves).select("key", F.lit(True).alias("large"))
-        if large.isEmpty() or min(map(_free, used.values())) <= parts:
-            leaves.append(dealt.select("key", "fp"))
+        large = sizes.filter(F.col("n") > most_leaves)
+        if large.isEmpty():
             break
-        marked = written(join_spread(dealt, large, "key", hot_keys(dealt, "key")), "dealt")
-        leaves.append(marked.filter("large is null").select("key", "fp"))
-        dealt, used = _deal(marked.filter("large").select("fp", "path"), used, parts)
-    rows = leaves[0]
-    for more in leaves[1:]:
-        rows = rows.union(more)
-    rows = rows.repartition("key").sortWithinPartitions("key")
+        total = sizes.agg(F.sum("n")).first()[0]
+        hot = large.filter(F.col("n") * HOT_SHARE > total).select("key")
+        marked = written(join_spread(dealt, large, "key", hot), "dealt")
+        leaves.append(marked.filter("n is null").select("key", "fp", F.lit(True).alias("asks")))
+        crowd = marked.filter("n is not null")
+        dealt, used = _deal(crowd.select("fp", "path", F.col("key").alias("parent")), used, parts)
+        pairs = (dealt.groupBy("parent", "key").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("parent").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs")))
+        pays = (pairs.join(large, pairs["parent"] == large["key"])
+                .filter((2 * F.col("pairs") < F.col("n").cast("double") * F.col("n")) & F.lit(deal < DEALS))
+                .select("parent", F.lit(True).alias("pays")))
+        pays = written(pays, "pays")
+        kept = join_spread(crowd, pays.withColumnRenamed("parent", "key"), "key", hot)
+        leaves.append(_shares(kept.filter("pays is null"), most_leaves))
+        dealt = written(join_spread(dealt, pays, "parent", hot.withColumnRenamed("key", "parent")).filter("pays").drop("pays"), "dealt")
+    leaves.append(dealt.select("key", "fp", F.lit(True).alias("asks")))
+    rows = reduce(DataFrame.union, leaves).repartition("key").sortWithinPartitions("key")
     return rows.mapInArrow(_link_groups(max_bits), "root long, member long").distinct()
 
 
-def _free(used: int) -> int:
-    return 64 - used.bit_count()
-
-
 def _link_groups(max_bits: int):
-    def stars(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    def stars(key: np.ndarray, fp: np.ndarray, asks: np.ndarray) -> pa.RecordBatch:
         codes = fp.view(np.uint64)
         order = np.lexsort((gray_rank(codes), key))
         key, codes = key[order], codes[order]
-        root = classes(codes, key, max_bits)
+        root = classes(codes, key, max_bits, np.flatnonzero(asks[order]))
         linked = np.flatnonzero(root != np.arange(len(root)))
         return pa.RecordBatch.from_arrays(
             [pa.array(codes[root[linked]].view(np.int64)), pa.array(codes[linked].view(np.int64))],
             names=["root", "member"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, fp = np.empty(0, np.int64), np.empty(0, np.int64)
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]
         for batch in batches:                     # sorted by key: the last key may go on in the next batch
-            key = np.concatenate((key, batch.column(0).to_numpy(zero_copy_only=False)))
-            fp = np.concatenate((fp, batch.column(1).to_numpy(zero_copy_only=False)))
-            done = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            held = [np.concatenate((old, c.to_numpy(zero_copy_only=False))) for old, c in zip(held, batch.columns)]
+            done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if done:
-                yield stars(key[:done], fp[:done])
-                key, fp = key[done:], fp[done:]
-        if len(key):
-            yield stars(key, fp)
+                yield stars(*(x[:done] for x in held))
+                held = [x[done:] for x in held]
+        if len(held[0]):
+            yield stars(*held)
 
     return run
 

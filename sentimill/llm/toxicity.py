@@ -339,8 +339,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> dict[
         yield pa.RecordBatch.from_arrays([pa.array([held.getvalue()], pa.binary())], names=["weights"])
 
     sample = training_sample(docs, labels, per_label).repartition(1).sortWithinPartitions("draw", "text")
-    (row,) = sample.mapInArrow(run, "weights binary").collect()
-    return dict(np.load(io.BytesIO(bytes(row[0]))))
+    rows = sample.mapInArrow(run, "weights binary").collect()            # none, if there is nothing to learn from
+    return dict(np.load(io.BytesIO(bytes(rows[0][0])))) if rows else new_weights()
 
 
 def classify(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
