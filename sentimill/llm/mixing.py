@@ -213,7 +213,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     m = mix(docs.select("doc_id", "text", "source"), **options)
     parts = (m.pieces.groupBy("source_no", "at").agg(F.collect_list(F.struct("first", "end", "taken")).alias("parts"))
-             .join(m.rows.select("source_no", "at", "doc_id", "size", "text_key", "copy", "times"), ["source_no", "at"])
+             .join(m.rows.filter("size > 0").select("source_no", "at", "doc_id", "size", "text_key", "copy", "times"),
+                   ["source_no", "at"])
              .join(F.broadcast(m.sources.select("source_no", "source")), "source_no"))
     # of rows repeated as a whole, one brings the text for all of them
     parts = written(parts.select(_row_key("text_key").alias("__sm_key"), "size", "copy", "times", "parts"), "parts")
