@@ -66,15 +66,8 @@ def to_twitter_date(ts: Column | str) -> Column:
 
 
 def parse_twitter_date(col: Column | str) -> Column:
-    """Parse ``created_at`` text.  Spark's parser refuses the day name, so drop it."""
-    return F.to_timestamp(F.substring(_c(col), 5, 64), "MMM dd HH:mm:ss Z yyyy")
+    """Parse ``created_at`` text; what is no such date is null.
 
-
-def split_list(col: Column | str, sep: str = ",") -> Column:
-    """Split a separated list (track subjects, word files) into an array."""
-    return F.split(_c(col), sep)
-
-
-def matches_any(tokens: Column | str, subjects: Column) -> Column:
-    """True when the token array shares at least one element with ``subjects``."""
-    return F.arrays_overlap(_c(tokens), subjects)
+    Spark's parser refuses the day name, so the first word is dropped.
+    """
+    return F.try_to_timestamp(F.regexp_replace(_c(col), r"^\w+ ", ""), F.lit("MMM dd HH:mm:ss Z yyyy"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import backfill, history, model
-from .session import checkpoint_dir
+from .session import checkpoint_dir, written
 from .sources import files, lexicon, messages, tables
 from .streaming import scorer
 
@@ -41,16 +41,15 @@ def train_job(spark: SparkSession, labels_csv: str, vocab_path: str, out: str,
 
 def score_job(spark: SparkSession, messages_path: str, model_dir: str, out: str,
               stop_path: str | None = None, kafka: str | None = None, topic: str | None = None,
-              once: bool = False):
+              once: bool = False, checkpoint: str | None = None):
     """Start the live scorer on a Kafka topic or on a folder of message files."""
     weights, _ = model.load_model(spark, model_dir)
     if kafka:
-        raw = messages.kafka_stream(spark, kafka, topic or "tweets")
-        values = raw.select(F.col("offset").alias("key"), F.col("value").cast("string").alias("value"))
+        values = messages.kafka_values(messages.kafka_stream(spark, kafka, topic or "tweets"))
     else:
         values = scorer.replay_files(spark, messages_path)
     trigger = {"availableNow": True} if once else None
-    return scorer.start_scorer(values, out, weights, _stop(spark, stop_path), trigger=trigger)
+    return scorer.start_scorer(values, out, weights, _stop(spark, stop_path), checkpoint=checkpoint, trigger=trigger)
 
 
 def backfill_job(spark: SparkSession, tweets_path: str, model_dir: str, out: str,
@@ -58,20 +57,21 @@ def backfill_job(spark: SparkSession, tweets_path: str, model_dir: str, out: str
                  n_windows: int = backfill.N_WINDOWS, multiline: bool = True) -> None:
     """Stored tweet file → per-window tables: windows, top words, per-tweet cells.
 
-    Arrival order is the order in the file: one JSON array (or one JSON-lines
-    file) is read in order, and ``monotonically_increasing_id`` numbers it so.
+    Arrival order is the order of the file names, and within a file the order of its
+    records.  The file is read once: with that order it is landed as a table, and
+    everything else reads the table.
     """
     reader = files.read_tweet_file if multiline else files.read_tweet_lines
-    tweets = reader(spark, tweets_path).select(
-        F.monotonically_increasing_id().alias("doc_id"), "text")  # file order, unique
-    win = backfill.windowed(tweets, n_windows=n_windows)
+    tweets = written(reader(spark, tweets_path).select(*files.arrival_order(), "text"), "tweets")
+    cuts = backfill.cut_windows(tweets, files.ARRIVAL_ORDER, n_windows)
+    win = backfill.windowed(tweets, cuts)
     weights, _ = model.load_model(spark, model_dir)
-    scores = model.with_sentiment(model.score(tweets, ["doc_id"], weights))
+    placed = backfill.positioned(tweets, cuts)
+    scores = model.with_sentiment(model.score(placed, ["window_id", "pos", "text"], weights))
     backfill.windows(win, tables.origin()).write.mode("overwrite").parquet(f"{out}/windows")
     backfill.window_word_counts(win, _stop(spark, stop_path, topic)) \
         .write.mode("overwrite").parquet(f"{out}/word_count")
-    backfill.tweet_rows(win.join(scores.select("doc_id", "sentiment"), "doc_id")) \
-        .write.mode("overwrite").parquet(f"{out}/tweets")
+    backfill.tweet_rows(scores).write.mode("overwrite").parquet(f"{out}/tweets")
 
 
 def read_job(spark: SparkSession, history_dir: str, out: str | None = None,
@@ -80,16 +80,20 @@ def read_job(spark: SparkSession, history_dir: str, out: str | None = None,
     words = scorer.read_history(spark, history_dir, scorer.WORDS_TABLE)
     senti = scorer.read_history(spark, history_dir, scorer.SENTIMENT_TABLE)
     last = scorer.read_history(spark, history_dir, scorer.LAST_TABLE)
-    # stored tables are partitioned by batch: read only the partitions asked for
+    batches = scorer.read_history(spark, history_dir, scorer.BATCHES_TABLE).persist()    # a row per batch
+
+    def part(table: DataFrame, n: int) -> DataFrame:
+        return history.newest_partitions(table, batches, n)          # only the partitions asked for
+
     short, long_ = history.SHORT_HISTORY, history.LONG_HISTORY
     report = {
-        "latest_words": history.newest_partitions(words, 1).select("word", "n"),
-        "long_term_words": history.long_term_words(history.newest_partitions(words, history.WORD_HISTORY)),
-        "history_short": history.history(history.newest_partitions(senti, short), short),
-        "history_long": history.history(history.newest_partitions(senti, long_), long_),
-        "totals": history.totals(history.newest_partitions(senti, long_), long_),
-        "ranges": history.ranges(history.newest_partitions(senti, short), short),
-        "recent_tweets": history.newest(history.newest_partitions(last, history.RECENT_TEXTS),
+        "latest_words": part(words, 1).select("word", "n"),
+        "long_term_words": history.long_term_words(part(words, history.WORD_HISTORY)),
+        "history_short": history.history(part(senti, short), short),
+        "history_long": history.history(part(senti, long_), long_),
+        "totals": history.totals(part(senti, long_), long_),
+        "ranges": history.ranges(part(senti, short), short),
+        "recent_tweets": history.newest(part(last, history.RECENT_TEXTS),
                                         history.RECENT_TEXTS, "batch_start").select(
             F.substring("created_at", 1, 19).alias("Time"), F.col("text").alias("Tweet"),
             F.col("author").alias("Author")),
@@ -118,6 +122,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--stop")
     s.add_argument("--out", required=True)
     s.add_argument("--once", action="store_true")
+    s.add_argument("--checkpoint")
     b = sub.add_parser("backfill")
     b.add_argument("--tweets", required=True)
     b.add_argument("--model", required=True)
@@ -135,7 +140,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "train":
         train_job(spark, a.labels, a.vocab, a.out, a.stop)
     elif a.job == "score":
-        q = score_job(spark, a.messages, a.model, a.out, a.stop, a.kafka, a.topic, a.once)
+        q = score_job(spark, a.messages, a.model, a.out, a.stop, a.kafka, a.topic, a.once, a.checkpoint)
         q.awaitTermination()
     elif a.job == "backfill":
         backfill_job(spark, a.tweets, a.model, a.out, a.stop, a.topic)

@@ -8,26 +8,66 @@ holding all its texts, so no window is ever gathered into a single value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.text import words
 from .counts import TOP_WORDS, drop_words, top_words_per_group, word_counts
-from .position import with_row_index
+from .position import row_index
 
 N_WINDOWS = 100
 WINDOW_SECONDS = 10
 
 
-def windowed(docs: DataFrame, order_cols=("doc_id",), n_windows: int = N_WINDOWS) -> DataFrame:
-    """Adds window_id and pos (position inside the window) to every kept record."""
-    size = F.floor(docs.select(F.count(F.lit(1))).scalar() / n_windows)
-    indexed = with_row_index(docs, order_cols, "_idx")
-    wid = F.when(size > 0, F.floor(F.col("_idx") / size))
-    return (indexed.withColumn("window_id", wid.cast("int"))
-            .filter(F.col("window_id") < n_windows)
-            .withColumn("pos", (F.col("_idx") - F.col("window_id") * size).cast("int"))
-            .drop("_idx"))
+class Cuts(NamedTuple):
+    """Where the windows begin in the order of the keys."""
+
+    order_cols: tuple
+    n_windows: int
+    size: int              # records of a window; 0: too few for any
+    index: DataFrame       # order columns, idx
+    starts: list           # keys of the first record of each window (n_windows rows at most)
+    last: Row | None       # key of the last record that is in a window
+
+
+def cut_windows(docs: DataFrame, order_cols=("doc_id",), n_windows: int = N_WINDOWS) -> Cuts:
+    """Index the key columns and fetch the boundary keys; texts are not read."""
+    cols = tuple(order_cols)
+    index = row_index(docs, cols, "idx")
+    size = index.count() // n_windows
+    if not size:
+        return Cuts(cols, n_windows, 0, index, [], None)
+    end = size * n_windows
+    rows = (index.filter((F.col("idx") < end) & ((F.col("idx") % size == 0) | (F.col("idx") == end - 1)))
+            .orderBy("idx").collect())                     # n_windows + 1 rows at most
+    return Cuts(cols, n_windows, size, index, [r for r in rows if r["idx"] % size == 0], rows[-1])
+
+
+def windowed(docs: DataFrame, cuts: Cuts) -> DataFrame:
+    """Adds window_id to every record in a window: a comparison with the boundary keys in the
+    scan, so no text moves."""
+    if not cuts.size:
+        return docs.withColumn("window_id", F.lit(0)).limit(0)
+    kinds = [docs.schema[c].dataType for c in cuts.order_cols]
+
+    def at(row: Row) -> Column:
+        return F.struct(*[F.lit(row[c]).cast(k).alias(c) for c, k in zip(cuts.order_cols, kinds)])
+
+    key = F.struct(*cuts.order_cols)
+    starts = F.array(*[at(r) for r in cuts.starts])
+    return (docs.filter(key <= at(cuts.last))
+            .withColumn("window_id", F.size(F.filter(starts, lambda s: s <= key)) - 1))
+
+
+def positioned(docs: DataFrame, cuts: Cuts) -> DataFrame:
+    """Adds window_id and pos (position inside the window): a join on the key with the index."""
+    size = max(cuts.size, 1)
+    places = (cuts.index.filter(F.col("idx") < cuts.size * cuts.n_windows)
+              .select(*cuts.order_cols, F.expr(f"cast(idx div {size} as int)").alias("window_id"),
+                      (F.col("idx") % size).cast("int").alias("pos")))
+    return docs.join(places, list(cuts.order_cols)).select(*docs.columns, "window_id", "pos")
 
 
 def window_time(window_id, t0) -> F.Column:

@@ -50,17 +50,16 @@ def newest_batch_ids(df: DataFrame, n: int, batch_col: str = "batch_id",
     return bounded(newest(batches, n, order_col).select(batch_col))  # at most n rows
 
 
-def newest_partitions(table: DataFrame, n: int, batch_col: str = "batch_id") -> DataFrame:
-    """Rows of the n newest batches of a stored history partitioned by ``batch_col``.
+def newest_partitions(table: DataFrame, batches: DataFrame, n: int) -> DataFrame:
+    """Rows of the n newest batches of a stored history, partitioned by batch_date and batch_id.
 
-    The n ids (a bounded list) are fetched first and applied as a literal
-    ``IN`` filter, which Spark turns into a static partition filter: only those
-    partitions are listed and read — the point get of a keyed table.  (A semi
-    join against an ordered limit does not trigger dynamic partition pruning.)
+    ``batches`` is the index, one row per batch (batch_id, batch_start).  The n newest
+    (a bounded list) are applied as literals, which Spark turns into static partition
+    filters: only those partitions are read, the point get of a keyed table.
     """
-    ids = [r[0] for r in table.select(batch_col).distinct()
-           .orderBy(F.desc(batch_col)).limit(n).collect()]
-    return table.filter(F.col(batch_col).isin(ids))
+    rows = newest(batches.select("batch_id", "batch_start"), n).collect()
+    dates = sorted({r["batch_start"].date() for r in rows})
+    return table.filter(F.col("batch_date").isin(dates) & F.col("batch_id").isin([r["batch_id"] for r in rows]))
 
 
 def in_batches(df: DataFrame, batch_ids: DataFrame, batch_col: str = "batch_id") -> DataFrame:
@@ -116,19 +115,28 @@ def retain_latest(df: DataFrame, n: int = RETAINED_BATCHES) -> DataFrame:
     return in_batches(df, newest_batch_ids(df, n))
 
 
+def _names(seq_col: str | tuple) -> tuple:
+    return (seq_col,) if isinstance(seq_col, str) else tuple(seq_col)
+
+
+def newest_first(seq_col: str | tuple) -> list:
+    """Arrival order, the last first; ``seq_col`` may be several columns, the row's key first."""
+    return [F.desc(c) for c in (*_names(seq_col)[1:], *_names(seq_col)[:1])]
+
+
 def recent_per_batch(texts: DataFrame, k: int = RECENT_TEXTS, batch_col: str = "batch_id",
-                     seq_col: str = "doc_id") -> DataFrame:
+                     seq_col: str | tuple = "doc_id") -> DataFrame:
     """The k last records of each batch, rank 1 = newest (partial limit before the shuffle)."""
-    w = Window.partitionBy(batch_col).orderBy(F.desc(seq_col))
+    w = Window.partitionBy(batch_col).orderBy(*newest_first(seq_col))
     return texts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def last_per_batch(texts: DataFrame, batch_col: str = "batch_id", seq_col: str = "doc_id",
+def last_per_batch(texts: DataFrame, batch_col: str = "batch_id", seq_col: str | tuple = "doc_id",
                    cols: tuple = ("created_at", "author", "text")) -> DataFrame:
     """The last record of each batch (what survives when five share one row key)."""
-    agg = texts.groupBy(batch_col).agg(
-        F.max_by(F.struct(F.col(seq_col), *[F.col(c) for c in cols]), F.col(seq_col)).alias("r"))
-    return agg.select(batch_col, *[F.col("r." + c).alias(c) for c in (seq_col,) + tuple(cols)])
+    last = Window.partitionBy(batch_col).orderBy(*newest_first(seq_col))
+    return (texts.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1")
+            .select(batch_col, *_names(seq_col)[:1], *cols))
 
 
 def recent_tweets(last: DataFrame, n: int = RECENT_TEXTS, order_col: str = "created_at") -> DataFrame:

@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tweet_tokens
-from .sizing import bounded, broadcast_if_small
 
-ROWS_PER_TASK = 100_000     # training rows per partition
+ROW = "_row"
 
 
 def doc_tokens(docs: DataFrame, keys: list[str] | tuple, text_col: str = "text") -> DataFrame:
@@ -42,14 +41,16 @@ def score(docs: DataFrame, keys: list[str] | tuple, weights: DataFrame,
           text_col: str = "text") -> DataFrame:
     """(keys..., score, n_tokens, label): ``score = w · tf``, ``label = score > 0``.
 
+    One result per input row: rows with equal or null keys are not merged.
     The stored intercept is not used, as in the reference's streaming model.
     """
-    toks = docs.select(*keys, F.explode_outer(tweet_tokens(text_col)).alias("term"))
+    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    toks = numbered.select(*keys, ROW, F.explode_outer(tweet_tokens(text_col)).alias("term"))
     joined = toks.join(weights.select("term", "weight"), "term", "left")
-    agg = joined.groupBy(*keys).agg(
+    agg = joined.groupBy(*keys, ROW).agg(
         F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"),
         F.count("weight").alias("n_tokens"))
-    return agg.withColumn("label", (F.col("score") > 0).cast("int"))
+    return agg.drop(ROW).withColumn("label", (F.col("score") > 0).cast("int"))
 
 
 def with_sentiment(scored: DataFrame) -> DataFrame:
@@ -78,36 +79,35 @@ def training_rows(labelled: DataFrame, key: str = "doc_id") -> DataFrame:
         tweet_tokens("text").alias("tokens"))
 
 
-def fit_logistic(rows: DataFrame, vocab: DataFrame, max_iter: int = 100, reg: float = 0.01):
+def fit_logistic(rows: DataFrame, vocab: DataFrame, max_iter: int = 100, reg: float = 0.01,
+                 partitions: int | None = None):
     """Binary logistic regression without intercept on term frequencies.
 
     Same objective as the reference's trainer (L2 0.01, no intercept, 100
     iterations); Spark ML's L-BFGS reaches a lower loss than plain SGD.
-    Returns ``(weights DataFrame(term, idx, weight), intercept)``.
+    The classifier holds the vocabulary and a weight per term on the driver, as
+    any dense linear model does.  ``partitions``: spread the rows anew (else they stay
+    as they are).  Returns ``(weights DataFrame(term, idx, weight), intercept)``.
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel
 
-    terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]  # bounded
+    terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]
     vectoriser = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")
     data = vectoriser.transform(rows).select(F.col("label").cast("double").alias("label"), "features")
-    # Each of the ~100 iterations is a job over every partition: size the
-    # partitions to the data (ROWS_PER_TASK rows each) so that small training
-    # sets do not pay per-task overhead 100 times, and big ones keep their spread.
-    data = data.persist()
+    # each of the ~100 iterations is a job over every partition: kept in memory, as they are
+    data = (data.repartition(partitions) if partitions else data).persist()
     try:
-        n = data.count()
-        parts = max(1, min(data.rdd.getNumPartitions(), -(-n // ROWS_PER_TASK)))
         lr = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=0.0,
                                 fitIntercept=False, standardization=False, family="binomial")
-        model = lr.fit(data.coalesce(parts))
+        model = lr.fit(data)
     finally:
         data.unpersist()
     coefficients = model.coefficients.toArray().tolist()
     spark = rows.sparkSession
-    weights = bounded(spark.createDataFrame(
+    weights = spark.createDataFrame(
         [(t, i, float(w)) for i, (t, w) in enumerate(zip(terms, coefficients))],
-        "term string, idx int, weight double"))  # one row per vocabulary term
+        "term string, idx int, weight double")  # one row per vocabulary term
     return weights, float(model.intercept)
 
 
@@ -119,6 +119,6 @@ def save_model(weights: DataFrame, intercept: float, path: str) -> None:
 
 
 def load_model(spark, path: str):
-    weights = broadcast_if_small(spark.read.parquet(f"{path}/weights"))
+    weights = spark.read.parquet(f"{path}/weights")
     intercept = spark.read.parquet(f"{path}/intercept").first()["intercept"]
     return weights, intercept

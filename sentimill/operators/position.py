@@ -1,18 +1,12 @@
-"""Exact global row index without a one-partition sort.
-
-``row_number().over(Window.orderBy(k))`` sends every row to one task.  Instead:
-
-1. cut the key range into ``K`` buckets at approximate quantiles (one pass over
-   the key column only; the ``K - 1`` cut points are the only driver data);
-2. count rows per bucket (K rows), running sum over those K rows → offsets;
-3. number rows inside each bucket with a window partitioned by bucket, and add
-   the bucket's offset (a broadcast join, K rows).
-
-The bucket is a pure function of the key and the fixed cut points, so a task
-that is re-run after a lost executor computes the same numbers: no
-checkpoint is needed to pin partition ids.  Rows per bucket are about
-``n / K`` for distinct keys whatever the key distribution, because the cuts
-are quantiles rather than equal widths.
+"""Exact global row index without a one-partition sort, over the key columns only.
+
+``row_number().over(Window.orderBy(k))`` sends every row to one task.  Instead the
+key columns alone are range-partitioned (Spark samples the bounds) and sorted
+within partitions, and written once to the shared folder with partition and place,
+so that a lost executor can't number them anew.  Then the rows per partition are
+counted, their running sum (a row per partition) gives offsets, and index = offset +
+place.  All order columns take part in the ranges, so a hot value of the first is
+split by the next.
 """
 
 from __future__ import annotations
@@ -20,98 +14,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET = "_pos_bucket"
-_SUB = "_pos_sub"
-_OFFSET = "_pos_offset"
-ROWS_PER_BUCKET = 200_000    # rows sorted by one task; the bucket count follows the data
-MAX_BUCKETS = 200_000        # bounds the cut points on the driver and the offsets broadcast
-
-
-def default_buckets(df: DataFrame) -> int:
-    """Many buckets per core, more as the data grows.
-
-    Buckets are hashed onto shuffle partitions; with many buckets per partition
-    the partitions come out even, and the per-row work after the index (e.g.
-    tokenising) is spread evenly over the cores.
-    """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    floor = 16 * max(spark.sparkContext.defaultParallelism, parts)
-    n = df.count()  # answered from Parquet footers when nothing is filtered
-    return int(min(MAX_BUCKETS, max(floor, -(-n // ROWS_PER_BUCKET))))
-
-
-def _hot_values(cuts: list[float]) -> list[float]:
-    """Values filling two or more quantile cuts: each holds more than about 1/K of the rows."""
-    seen: dict[float, int] = {}
-    for c in cuts:
-        seen[c] = seen.get(c, 0) + 1
-    return sorted(v for v, m in seen.items() if m >= 2)
-
-
-def _sub_bucket(df: DataFrame, key_d, order_cols: list[str], hot: list[float], k: int):
-    """Split the rows of hot first-key values by quantiles of the second order column.
-
-    Returns a column: for a row whose first key is hot, the number of the
-    value's sub-cuts at or below its second key; for every other row a number
-    past all of them (in a hot value's bucket those rows have larger first
-    keys, so they come after).  Order by (bucket, sub-bucket) stays the
-    global order.  One aggregation fetches the cuts: at most ``k`` in total.
-    """
-    second = order_cols[1]
-    m = max(2, min(1024, k // len(hot)))
-    probs = [i / m for i in range(1, m)]
-    second_d = F.col(second).cast("double")
-    first_d = F.col(order_cols[0]).cast("double")
-    rows = (df.filter(first_d.isin(hot)).groupBy(first_d.alias("_v"))
-            .agg(F.percentile_approx(second_d, probs, max(10_000, 4 * m)).alias("_c")).collect())
-    pairs = []
-    for r in rows:
-        pairs += [F.lit(r["_v"]), F.array(*[F.lit(float(c)) for c in sorted(set(r["_c"]))])]
-    if not pairs:
-        return F.lit(0)
-    cuts_of = F.element_at(F.create_map(*pairs), key_d)
-    return (F.when(key_d.isin(hot), F.size(F.filter(cuts_of, lambda c: c <= second_d)))
-            .otherwise(F.lit(m + 1)))
-
-
-def with_row_index(df: DataFrame, order_cols: list[str] | tuple, index_col: str = "idx",
-                   buckets: int | None = None) -> DataFrame:
-    """Add ``index_col`` = 0-based position of the row in ``order_cols`` order.
+from ..session import written
 
-    The first order column must be numeric; the full list must be unique per row.
-    A first-key value holding more than about 1/K of the rows (it fills several
-    quantile cuts) is split further by a numeric second order column, so a hot
-    value does not land in one task.
-    """
-    from pyspark.ml.feature import Bucketizer
+_PART, _PLACE, _BEFORE = "_pos_part", "_pos_place", "_pos_before"
+PLACE_BITS = (1 << 33) - 1      # of monotonically_increasing_id: the place within the partition
 
-    order_cols = list(order_cols)
-    key = order_cols[0]
-    k = buckets or default_buckets(df)
-    probs = [i / k for i in range(1, k)]
-    cuts = df.select(F.col(key).cast("double").alias(key)).approxQuantile(key, probs, 0.25 / k)
-    splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    keyed = df.withColumn("_pos_key", F.col(key).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_pos_key", outputCol=_BUCKET,
-                          handleInvalid="keep").transform(keyed)
 
-    hot = _hot_values(cuts)
-    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
-    if hot and len(order_cols) > 1 and dict(df.dtypes)[order_cols[1]] in numeric:
-        sub = _sub_bucket(df, F.col("_pos_key"), order_cols, hot, k)
-    else:
-        sub = F.lit(0)
-    bucketed = bucketed.withColumn(_SUB, sub).drop("_pos_key")
-    keys = [_BUCKET, _SUB]
+def row_index(df: DataFrame, order_cols: list[str] | tuple, index_col: str = "idx") -> DataFrame:
+    """(order columns, ``index_col``): 0-based position in the order of the columns, unique per row."""
+    cols = list(order_cols)
+    placed = (df.select(*cols).repartitionByRange(*cols).sortWithinPartitions(*cols)
+              .select(*cols, F.spark_partition_id().alias(_PART),
+                      F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_BITS)).alias(_PLACE)))
+    placed = written(placed, "row-index")
+    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    before = (placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"))       # a row per partition
+              .select(_PART, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(_BEFORE)))
+    return (placed.join(F.broadcast(before), _PART)
+            .select(*cols, (F.col(_BEFORE) + F.col(_PLACE)).alias(index_col)))
 
-    sizes = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))   # at most 2K rows
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET))
 
-    inner = Window.partitionBy(*keys).orderBy(*order_cols)
-    return (bucketed.join(F.broadcast(offsets), keys)
-            .withColumn(index_col, F.col(_OFFSET) + F.row_number().over(inner) - 1)
-            .drop(_BUCKET, _SUB, _OFFSET))
+def with_row_index(df: DataFrame, order_cols: list[str] | tuple, index_col: str = "idx") -> DataFrame:
+    """``df`` with its position: a join on the order columns, which must be unique per row and not null."""
+    return df.join(row_index(df, order_cols, index_col), list(order_cols)).select(*df.columns, index_col)

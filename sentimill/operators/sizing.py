@@ -1,11 +1,8 @@
 """Broadcast only what has a proven size bound.
 
-Lists that are bounded by construction (constants, a top-k, the vocabulary
-and weights derived from it, the N newest batch ids) carry a broadcast hint
-where they are built.  Anything read from outside goes through
-``broadcast_if_small``: it reads at most ``max_rows + 1`` rows to prove the
-bound, and beyond it leaves the join to Spark (sort-merge or shuffled hash,
-re-planned by AQE from the real sizes).
+Lists that are bounded by construction (constants, a top-k, the N newest batch
+ids) carry a broadcast hint where they are built.  Anything read from outside has
+none: Spark and AQE choose the join from its real size.
 """
 
 from __future__ import annotations
@@ -13,15 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 def bounded(df: DataFrame) -> DataFrame:
     """Mark a DataFrame whose size is bounded by construction for broadcasting."""
     return F.broadcast(df)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking that ``df`` has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

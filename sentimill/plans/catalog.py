@@ -1,12 +1,14 @@
 """Every registered query, built on the driver's tables.
 
-``Views`` holds the shared building blocks for one (session, table folder):
-lazy DataFrames only, so each query is one Catalyst plan from the Parquet scan
-to its result.  ``QUERIES`` maps a query name to ``fn(spark, sf_dir)``.
+``Views`` holds the shared building blocks for one (session, table folder).  Most
+queries are one Catalyst plan from the Parquet scan to its result; the row index, the
+newest batches with a counted word and the trained model run jobs while the query is
+built.  ``QUERIES`` maps a query name to ``fn(spark, sf_dir)``.
 """
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import shape
 from ..functions.text import WORD_PATTERN, clean_text, tweet_tokens, words
 from ..operators import backfill, clouds, counts, history, model, sizing
-from ..session import checkpoint_dir
+from ..session import written as stored
 from ..sources import lexicon, messages, tables
 
 # --- Parameters of the registered queries (stand-ins, see FIXTURES.md). -------
@@ -23,6 +25,9 @@ TOPIC = "the"                 # word dropped from the clouds, added to the backf
 TRACK_SUBJECTS = "worthless,excellent,good,bad"
 CAPTURE_N = 100
 EVENT_WINDOW = "1 second"     # the reference's micro-batch length
+COMMON_WORDS = 500            # stand-in for the common-word file: the most frequent tokens
+LONG_HISTORY = 30             # batches of the long history and the totals (the job's own default is 60)
+RETAINED = 20                 # batches that retention keeps (the job's own default is 100)
 WORD_CHAR = WORD_PATTERN.replace("+", "")   # one word character: the text has a word
 # ------------------------------------------------------------------------------
 
@@ -55,7 +60,7 @@ class Views:
     @cached_property
     def common(self) -> DataFrame:
         toks = self.english.select(F.explode(tweet_tokens("text")).alias("token"))
-        return lexicon.common_words_from_tokens(toks)
+        return lexicon.common_words_from_tokens(toks, COMMON_WORDS)
 
     @cached_property
     def allowed(self) -> DataFrame:
@@ -63,11 +68,11 @@ class Views:
 
     @cached_property
     def vocab(self) -> DataFrame:
-        return lexicon.vocabulary(self.common, self.stop_kept)
+        return lexicon.vocabulary(self.common, self.stop_kept, few=True)     # a top-k and three words
 
     @cached_property
     def weights(self) -> DataFrame:
-        return lexicon.fixture_weights(self.vocab)
+        return sizing.bounded(lexicon.fixture_weights(self.vocab))
 
     # scoring --------------------------------------------------------------------
     @cached_property
@@ -114,48 +119,42 @@ class Views:
                           "positive", "negative", "volume")
 
     def recent_top(self, stop: DataFrame | None, n: int) -> DataFrame:
-        """Top-words history of the ``n`` newest batches that have a counted word.
-
-        Only those batches are tokenised.  A text has a word iff it matches one
-        word character, so the n newest candidate batches come from a cheap
-        scan (no tokenising, no spreading) and are semi-joined (n ids,
-        broadcast) before the explode.  Without a stop list the candidates are
-        exact; with one, if a candidate holds only stop words (rare), the
-        answer falls back to the written full history.
-        """
-        ids = self.newest_ids(n, words_only=True)
-        some = self.english.join(ids, "batch_id", "left_semi")
-        exploded = counts.explode_words(some, words("text"), ["batch_id"])
-        top = counts.top_words_per_group(counts.drop_words(counts.word_counts(exploded, ["batch_id"]), stop),
-                                         ["batch_id"])
-        top = top.select("batch_id", tables.batch_start("batch_id").alias("batch_start"), "word", "n", "rank")
-        if stop is None:
-            return top
-        # every candidate kept a word: they are the n newest non-empty batches
-        if top.select("batch_id").distinct().count() == ids.count():
-            return top
-        return history.retain_latest(self.word_history(stop), n)
-
-    def word_history(self, stop: DataFrame | None) -> DataFrame:
-        """The stored word-count history (what the stream sink writes), as a written table.
-
-        The read path scans it twice (newest batch ids, then their rows); reading
-        a written table instead of re-deriving it from the raw text keeps that to
-        one pass over the text.
+        """Top-words history that holds the ``n`` newest batches with a counted word.
+
+        Only some newest batches are tokenised.  A text has a word iff it matches one word
+        character, so candidates come from a cheap scan (no tokenising) and are
+        semi-joined (few ids, broadcast) before the explode.  Without a stop list the
+        candidates are exact; with one, batches of stop words only don't count, so twice
+        as many candidates are taken until n of them do or there are no more.
         """
-        return written(self.top_by_batch(stop))
+        m = n
+        while True:
+            ids = self.newest_ids(m, words_only=True)
+            some = self.english.join(ids, "batch_id", "left_semi")
+            exploded = counts.explode_words(some, words("text"), ["batch_id"])
+            top = counts.top_words_per_group(counts.drop_words(counts.word_counts(exploded, ["batch_id"]), stop),
+                                             ["batch_id"])
+            top = top.select("batch_id", tables.batch_start("batch_id").alias("batch_start"), "word", "n", "rank")
+            if stop is None:
+                return top
+            top = written(top)           # its batches are counted, then their rows read
+            if top.select("batch_id").distinct().count() >= n or ids.count() < m:
+                return top
+            m *= 2
 
     # backfill ---------------------------------------------------------------------
     @cached_property
-    def windowed(self) -> DataFrame:
-        # the row index shuffles the rows into quantile buckets right away: no spread first
-        return backfill.windowed(self.table("documents", spread_rows=False).select("doc_id", "text"))
+    def keyed(self) -> DataFrame:
+        return self.table("documents").select("doc_id", "text")
+
+    @cached_property
+    def cuts(self) -> backfill.Cuts:
+        return backfill.cut_windows(self.table("documents", spread_rows=False))
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` in the shared folder and cut its lineage."""
+    return stored(df, "table")
 
 
 def _v(spark, sf_dir) -> Views:
@@ -257,7 +256,7 @@ def q_wide_word_rows(spark, sf_dir):
 
 def q_latest_word_count(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return v.recent_top(v.stop, 1).select("batch_id", "word", "n", "rank")
+    return history.latest(v.recent_top(v.stop, 1)).select("batch_id", "word", "n", "rank")
 
 
 def q_long_term_word_count(spark, sf_dir):
@@ -267,7 +266,7 @@ def q_long_term_word_count(spark, sf_dir):
 
 def q_retain_latest(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return v.recent_top(v.stop, history.RETAINED_BATCHES).select("batch_id", "word", "n", "rank")
+    return history.retain_latest(v.recent_top(v.stop, RETAINED), RETAINED).select("batch_id", "word", "n", "rank")
 
 
 # ---- model ---------------------------------------------------------------------------------
@@ -278,11 +277,9 @@ def q_term_frequency(spark, sf_dir):
 
 
 def q_training_rows(spark, sf_dir):
-    v = _v(spark, sf_dir)
-    labelled = tables.labelled_texts(spark, sf_dir).select(
-        "doc_id", model.label_from_rating("sentiment").alias("target"), "text")
-    scored = model.score(labelled, ["doc_id", "target"], v.weights)
-    return scored.select("doc_id", F.col("target").alias("label"), "n_tokens")
+    rows = model.training_rows(tables.labelled_texts(spark, sf_dir))
+    return (rows.select("doc_id", "label", F.explode("tokens").alias("token"))
+            .groupBy("doc_id", "label", "token").agg(F.count(F.lit(1)).alias("n")))
 
 
 def q_predict(spark, sf_dir):
@@ -298,10 +295,14 @@ def q_sentiment_by_batch(spark, sf_dir):
 
 
 def q_train_sentiment(spark, sf_dir):
+    """Terms and indices of the fitted model, and whether its loss is below the zero model's."""
     v = _v(spark, sf_dir)
     labelled = tables.labelled_texts(spark, sf_dir)
-    weights, _ = model.fit_logistic(model.training_rows(labelled), v.vocab)
-    return weights
+    weights, _ = model.fit_logistic(model.training_rows(labelled), written(v.vocab))
+    margin = model.score(labelled.withColumn("target", model.label_from_rating("sentiment")), ["target"], weights)
+    sign = F.when(F.col("target") == 1, F.col("score")).otherwise(-F.col("score"))
+    loss = margin.agg(F.avg(F.log1p(F.exp(-sign)))).first()[0]
+    return weights.select("term", "idx", F.lit(loss < math.log(2)).alias("better_than_zero"))
 
 
 # ---- history read path -----------------------------------------------------------
@@ -312,12 +313,12 @@ def q_history_short(spark, sf_dir):
 
 
 def q_history_long(spark, sf_dir):
-    n = history.LONG_HISTORY
+    n = LONG_HISTORY
     return history.history(_v(spark, sf_dir).recent_by_batch(n), n)
 
 
 def q_sentiment_totals(spark, sf_dir):
-    n = history.LONG_HISTORY
+    n = LONG_HISTORY
     return history.totals(_v(spark, sf_dir).recent_by_batch(n), n)
 
 
@@ -378,27 +379,36 @@ def q_word_cloud_long(spark, sf_dir):
     return clouds.long_cloud(history.long_term_words(v.recent_top(None, history.WORD_HISTORY)), TOPIC)
 
 
+def q_word_cloud_long_by_count(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    words_ = history.long_term_words(v.recent_top(None, history.WORD_HISTORY))
+    return clouds.long_cloud(words_, TOPIC, by="count")
+
+
 # ---- backfill ------------------------------------------------------------------------------
 
 def q_backfill_windows(spark, sf_dir):
-    return backfill.windows(_v(spark, sf_dir).windowed, tables.origin())
+    v = _v(spark, sf_dir)
+    return backfill.windows(backfill.windowed(v.keyed.select("doc_id"), v.cuts), tables.origin())
 
 
 def q_backfill_word_counts(spark, sf_dir):
     v = _v(spark, sf_dir)
     stop = lexicon.stop_words(spark, topic=TOPIC)
-    return backfill.window_word_counts(v.windowed, stop).select("window_id", "word", "n", "rank")
+    win = backfill.windowed(v.keyed, v.cuts)
+    return backfill.window_word_counts(win, stop).select("window_id", "word", "n", "rank")
 
 
 def q_backfill_tweet_rows(spark, sf_dir):
     v = _v(spark, sf_dir)
     # score on small keys only, then bring the text back with one join on doc_id
     scores = model.with_sentiment(model.score(v.table("documents"), ["doc_id"], v.weights))
-    return backfill.tweet_rows(v.windowed.join(scores.select("doc_id", "sentiment"), "doc_id"))
+    return backfill.tweet_rows(backfill.positioned(v.keyed, v.cuts).join(scores.select("doc_id", "sentiment"), "doc_id"))
 
 
 def q_window_text(spark, sf_dir):
-    return backfill.window_pieces(_v(spark, sf_dir).windowed)
+    v = _v(spark, sf_dir)
+    return backfill.window_pieces(backfill.positioned(v.keyed, v.cuts))
 
 
 # ---- event-time batches --------------------------------------------------------------
@@ -406,7 +416,7 @@ def q_window_text(spark, sf_dir):
 def q_events_tumbling(spark, sf_dir):
     ev = tables.read_table(spark, sf_dir, "events")
     return (ev.groupBy(F.window("ts", EVENT_WINDOW).start.alias("window_start"), "event_type")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("value_sum")))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,6)")).cast("double").alias("value_sum")))
 
 
 QUERIES = {
@@ -441,6 +451,7 @@ QUERIES = {
     "half_step_label": q_half_step_label,
     "word_cloud_short": q_word_cloud_short,
     "word_cloud_long": q_word_cloud_long,
+    "word_cloud_long_by_count": q_word_cloud_long_by_count,
     "backfill_windows": q_backfill_windows,
     "backfill_word_counts": q_backfill_word_counts,
     "backfill_tweet_rows": q_backfill_tweet_rows,

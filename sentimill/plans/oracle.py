@@ -57,7 +57,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "rtok": ("SELECT doc_id, batch_id, unnest(" + _words("text") + ") AS word FROM en", ("en",)),
     "stopkept": ("SELECT word FROM " + STOP + " EXCEPT SELECT word FROM " + KEPT, ()),
     "common": ("SELECT token AS term FROM ctok GROUP BY token ORDER BY count(*) DESC, token LIMIT "
-               + str(lexicon.COMMON_WORDS_K), ("ctok",)),
+               + str(catalog.COMMON_WORDS), ("ctok",)),
     "allowed": ("SELECT term FROM common UNION SELECT term FROM " + _values(PLACEHOLDERS, "term"),
                 ("common",)),
     "vocab": ("SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM "
@@ -145,7 +145,7 @@ def _size(n: str, low: str, spread: str) -> str:
             + str(shape.BASE_SIZE_PERCENT))
 
 
-def _cloud_long() -> str:
+def _cloud_long(order: str) -> str:
     d = "(spread - low)"
     sign = "(CASE WHEN " + d + " < 0 THEN -1 ELSE 1 END)"
     num = "(((n - low) * 100 - " + d + " * 49) * " + sign + ")"
@@ -156,7 +156,7 @@ def _cloud_long() -> str:
             + steps + " AS half_step, " + _bucket("(" + steps + ") / 2") + " AS bucket, "
             + _size("n", "low", "spread") + " AS size FROM ("
             "SELECT word, n, min(n) OVER () AS low, max(n) OVER () - min(n) OVER () + 1 AS spread "
-            "FROM long_all WHERE word <> " + _q(catalog.TOPIC) + ") ORDER BY word DESC LIMIT 100")
+            "FROM long_all WHERE word <> " + _q(catalog.TOPIC) + ") ORDER BY " + order + " LIMIT 100")
 
 
 def _cloud_short() -> str:
@@ -212,26 +212,24 @@ SQL: dict[str, str] = {
     "long_term_word_count": _with("SELECT word, n FROM long_top", ("long_top",)),
     "retain_latest": _with("SELECT batch_id, word, n, CAST(rank AS INTEGER) AS rank FROM top WHERE "
                            "batch_id IN (SELECT DISTINCT batch_id FROM top ORDER BY batch_id DESC LIMIT "
-                           + str(history.RETAINED_BATCHES) + ")", ("top",)),
+                           + str(catalog.RETAINED) + ")", ("top",)),
     "term_frequency": _with("SELECT t.doc_id, v.term, v.idx, count(*) AS tf FROM ctok t JOIN vocab v "
                             "ON t.token = v.term GROUP BY t.doc_id, v.term, v.idx", ("ctok", "vocab")),
     "training_rows": _with(
-        "SELECT l.doc_id, CASE WHEN l.quality = 0 THEN 0 ELSE 1 END AS label, count(w.weight) AS n_tokens "
-        "FROM labels l JOIN documents d ON l.doc_id = d.doc_id AND d.lang = 'en' "
-        "LEFT JOIN (SELECT t.doc_id, w.weight FROM (SELECT doc_id, unnest(" + _words(_clean("text"))
-        + ") AS token FROM documents) t JOIN weights w ON t.token = w.term) w ON l.doc_id = w.doc_id "
-        "GROUP BY l.doc_id, l.quality", ("weights",)),
+        "SELECT doc_id, label, token, count(*) AS n FROM (SELECT l.doc_id, CASE WHEN l.quality = 0 THEN 0 ELSE 1 END "
+        "AS label, unnest(" + _words(_clean("d.text")) + ") AS token FROM labels l JOIN documents d "
+        "ON l.doc_id = d.doc_id AND d.lang = 'en') GROUP BY doc_id, label, token", ()),
     "predict": _with("SELECT doc_id, batch_id, score, n_tokens, label FROM scored", ("scored",)),
     "prediction_counts": _with("SELECT batch_id, label, count(*) AS n FROM scored GROUP BY batch_id, label",
                                ("scored",)),
     "sentiment_by_batch": _with("SELECT * FROM by_batch", ("by_batch",)),
     "history_short": _with(_hist(history.SHORT_HISTORY), ("by_batch",)),
-    "history_long": _with(_hist(history.LONG_HISTORY), ("by_batch",)),
+    "history_long": _with(_hist(catalog.LONG_HISTORY), ("by_batch",)),
     "sentiment_totals": _with("SELECT CAST(sum(volume) AS BIGINT) AS volume, "
                               "CAST(sum(positive) AS BIGINT) AS positive, "
                               "CAST(sum(negative) AS BIGINT) AS negative, count(*) AS batches "
                               "FROM (SELECT * FROM by_batch "
-                              "ORDER BY batch_start DESC LIMIT " + str(history.LONG_HISTORY) + ")",
+                              "ORDER BY batch_start DESC LIMIT " + str(catalog.LONG_HISTORY) + ")",
                               ("by_batch",)),
     "history_ranges": _with("SELECT min(volume) AS volume_min, max(volume) AS volume_max, "
                             "least(min(negative), min(positive)) AS sentiment_min, "
@@ -260,7 +258,9 @@ SQL: dict[str, str] = {
                              + _labels_map("CAST(round_even(sentiment * 2, 0) AS INTEGER)")
                              + " AS label_name FROM senti", ("senti",)),
     "word_cloud_short": _with(_cloud_short(), ("top_all", "weights")),
-    "word_cloud_long": _with(_cloud_long(), ("long_all",)),
+    "word_cloud_long": _with(_cloud_long("word DESC"), ("long_all",)),
+    "word_cloud_long_by_count": _with(_cloud_long("n DESC, word"), ("long_all",)),
+    "train_sentiment": _with("SELECT term, idx, true AS better_than_zero FROM vocab", ("vocab",)),
     "backfill_windows": _with("SELECT window_id, " + ORIGIN + " + to_seconds(window_id * "
                               + str(backfill.WINDOW_SECONDS) + ") AS window_time, count(*) AS n_texts "
                               "FROM win GROUP BY window_id", ("win",)),
@@ -285,6 +285,6 @@ SQL: dict[str, str] = {
     "decode_messages": _with("SELECT doc_id, strftime(created_at, " + TWITTER_FMT + ") AS created_at, "
                              "lang, text, author, false AS corrupt FROM tw", ("tw",)),
     "events_tumbling": ("SELECT time_bucket(INTERVAL '1 second', ts) AS window_start, event_type, "
-                        "count(*) AS n, round(sum(value), 6) AS value_sum FROM events "
+                        "count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18, 6))) AS DOUBLE) AS value_sum FROM events "
                         "GROUP BY window_start, event_type"),
 }

@@ -7,10 +7,9 @@ runs only.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants.  AQE re-plans joins and coalesces
 # small shuffle partitions at runtime; skew-join splits hot partitions.
@@ -29,6 +28,10 @@ DEFAULT_CONF = {
 }
 
 
+# Partitions that scans of the driver's tables are spread over; unset: as the scan makes them.
+SCAN_PARTITIONS = "spark.sentimill.scanPartitions"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "sentimill", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -45,19 +48,30 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we read that.  Only a local
-    session (tests, benchmark) without the setting gets a fresh scratch folder.
+    A cluster names it in ``spark.checkpoint.dir``; we read that.  Where it is
+    unset (as in tests), a folder of the warehouse serves, which all executors share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for the cluster")
     current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    local = tempfile.mkdtemp(prefix="sentimill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    if not current:
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/sentimill-checkpoints")
+        current = spark.sparkContext.getCheckpointDir()
+    return current
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder of its own in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/sentimill-{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, lineage cut.
+
+    A checkpoint would compute the last stage twice and keep uncompressed rows.
+    """
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

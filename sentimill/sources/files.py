@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,15 @@ def read_tweet_lines(spark: SparkSession, path: str, schema: T.StructType = TWEE
     return spark.read.schema(schema).json(path)
 
 
+ARRIVAL_ORDER = ("file", "block", "nth")
+
+
+def arrival_order() -> list[Column]:
+    """Columns that order the records of a file read: file name, place of the block, record in it."""
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("nth")]
+
+
 def read_word_list(spark: SparkSession, path: str, column: str = "word") -> DataFrame:
     """One word per line, stripped; blank lines and duplicates dropped."""
     return (spark.read.text(path)

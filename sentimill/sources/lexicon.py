@@ -1,7 +1,7 @@
 """Word lists: stop words, kept words, common words and the vocabulary index.
 
-The lists here are small and bounded by construction (a constant, or a top-k
-with a fixed k), which is what makes broadcasting them safe.
+Constants and a top-k are bounded by construction and carry a broadcast hint;
+lists from files carry none.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PLACEHOLDERS
-from ..operators.sizing import bounded, broadcast_if_small
+from ..operators.position import row_index
+from ..operators.sizing import bounded
 
 # --- Fixed values. ---------------------------------------------------------------
 # The common English stop-word list (the 179 words of the widely used NLTK
@@ -41,9 +42,6 @@ ENGLISH_STOP_WORDS = (
 KEPT_WORDS = ("no", "not", "up", "off", "down", "yes")
 # ----------------------------------------------------------------------------------
 
-COMMON_WORDS_K = 500     # size of the common-word list derived from the data
-
-
 def word_table(spark: SparkSession, words, column: str = "word") -> DataFrame:
     """A one-column table of distinct words from a (small, fixed) list.
 
@@ -61,7 +59,7 @@ def stop_words(spark: SparkSession, words=ENGLISH_STOP_WORDS, topic: str | None
         from .files import read_word_list
         base = read_word_list(spark, path)
         base = base.union(word_table(spark, [topic])).distinct() if topic else base
-        return broadcast_if_small(base)
+        return base
     return word_table(spark, list(words) + ([topic] if topic else []))
 
 
@@ -70,12 +68,11 @@ def stop_words_kept(spark: SparkSession, words=ENGLISH_STOP_WORDS,
     """Stop list for the model: the list minus the words that carry sentiment."""
     if path is not None:
         from .files import read_word_list
-        return broadcast_if_small(read_word_list(spark, path).subtract(word_table(spark, kept)))
+        return read_word_list(spark, path).subtract(word_table(spark, kept))
     return word_table(spark, [w for w in words if w not in set(kept)])
 
 
-def common_words_from_tokens(tokens: DataFrame, k: int = COMMON_WORDS_K,
-                             token_col: str = "token") -> DataFrame:
+def common_words_from_tokens(tokens: DataFrame, k: int, token_col: str = "token") -> DataFrame:
     """The ``k`` most frequent tokens, ties by word: a global top-k (TakeOrderedAndProject)."""
     return bounded(tokens.groupBy(F.col(token_col).alias("term")).count()
                    .orderBy(F.desc("count"), F.asc("term")).limit(k).select("term"))
@@ -83,7 +80,7 @@ def common_words_from_tokens(tokens: DataFrame, k: int = COMMON_WORDS_K,
 
 def read_common_words(spark: SparkSession, path: str) -> DataFrame:
     from .files import read_word_list
-    return broadcast_if_small(read_word_list(spark, path, column="term"))
+    return read_word_list(spark, path, column="term")
 
 
 def with_placeholders(common: DataFrame) -> DataFrame:
@@ -93,20 +90,23 @@ def with_placeholders(common: DataFrame) -> DataFrame:
     top-k from the raw text.  The DISTINCT shuffles at most k + 3 rows.
     """
     spark = common.sparkSession
-    return bounded(common.select("term").union(word_table(spark, PLACEHOLDERS, "term")).distinct())
+    return common.select("term").union(word_table(spark, PLACEHOLDERS, "term")).distinct()
 
 
-def vocabulary(common: DataFrame, stop: DataFrame) -> DataFrame:
+def vocabulary(common: DataFrame, stop: DataFrame, few: bool = False) -> DataFrame:
     """(term, idx): common words + placeholders − stop words, indexed in term order.
 
-    Set difference by a broadcast anti join; the input is bounded (top-k plus
-    three words), so the one ordered window that numbers the terms is small.
+    ``few``: the caller knows the list to be bounded (a top-k), so one ordered window
+    numbers it and it may be broadcast.  Otherwise, as for a list from a file, the terms
+    are range-partitioned and numbered without a single task, and Spark picks the joins.
     """
     terms = with_placeholders(common).join(
-        stop.select(F.col(stop.columns[0]).alias("term")), "term", "left_anti")
-    return bounded(terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx")))
+        stop.select(F.col(stop.columns[0]).alias("term")), "term", "left_anti").select("term")
+    if few:
+        return bounded(terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx")))
+    return row_index(terms, ["term"], "idx")
 
 
 def fixture_weights(vocab: DataFrame) -> DataFrame:
     """Stand-in model weights by term: ``(idx % 3) - 1`` (FIXTURES.md)."""
-    return bounded(vocab.select("term", "idx", ((F.col("idx") % 3) - 1).cast("double").alias("weight")))
+    return vocab.select("term", "idx", ((F.col("idx") % 3) - 1).cast("double").alias("weight"))

@@ -15,6 +15,7 @@ from ..functions.text import to_twitter_date
 from .files import TWEET_SCHEMA
 
 CORRUPT_COLUMN = "_corrupt_record"
+MESSAGE_FIELDS = ("key", "value")     # of a stored message
 
 
 def tweet_struct(df: DataFrame) -> DataFrame:
@@ -69,10 +70,16 @@ def capture_first_n(df: DataFrame, n: int, order_col: str = "doc_id") -> DataFra
 
 def track(df: DataFrame, subjects: str, tokens_col: str = "tokens") -> DataFrame:
     """Keep records whose tokens contain any of a comma-separated list of subjects."""
-    wanted = F.split(F.lower(F.lit(subjects)), ",")
+    wanted = F.transform(F.split(F.lower(F.lit(subjects)), ","), F.trim)
     return df.filter(F.arrays_overlap(F.col(tokens_col), wanted))
 
 
+def kafka_values(raw: DataFrame) -> DataFrame:
+    """Kafka records → (key, value, part, arrived): a message is named by its partition and offset."""
+    return raw.select(F.col("offset").alias("key"), F.col("value").cast("string").alias("value"),
+                      F.col("partition").alias("part"), F.col("timestamp").alias("arrived"))
+
+
 def kafka_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
@@ -88,5 +95,5 @@ def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def write_json_lines(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """The file twin of publishing: one JSON value per line."""
-    messages.select("value").write.mode(mode).text(path)
+    """The file twin of publishing: one message per line, as the replay reads them."""
+    messages.select(*MESSAGE_FIELDS).write.mode(mode).json(path)

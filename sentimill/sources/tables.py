@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import text_or_empty
+from ..session import SCAN_PARTITIONS
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -32,31 +33,19 @@ UNIQUE_KEYS = {"documents": "doc_id", "labels": "doc_id", "events": "event_id"}
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """A driver table; ``spread_rows=False`` when the next step shuffles the rows anyway."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, UNIQUE_KEYS.get(name)) if spread_rows else df
+    partitions = spark.conf.get(SCAN_PARTITIONS, None)
+    return spread(df, int(partitions), UNIQUE_KEYS.get(name)) if spread_rows and partitions else df
 
 
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread the rows over the cluster when the scan is too coarse to use it.
+def spread(df: DataFrame, partitions: int, key: str | None = None) -> DataFrame:
+    """Spread the rows over ``partitions`` when the caller knows the scan to be too coarse.
 
-    A big table already splits into many more scan tasks than there are cores,
-    and is returned as is (no shuffle).  A file with a single row group (or an
-    unsplittable file) gives one scan task; then the per-row work — regexes,
-    tokenising — would run on one core, so the rows are spread first.  Filters
-    and column pruning still reach the scan below the exchange.
-
-    With a unique ``key`` the rows are hash-partitioned on it: even, retry-safe
-    without the sort a round-robin needs, and later per-key aggregates (e.g.
-    the score per document) reuse the partitioning instead of shuffling again.
+    A file with one row group gives one scan task; the per-row work (regexes,
+    tokenising) then runs on one core.  With a unique ``key`` the rows are
+    hash-partitioned on it: even, retry-safe without the sort a round-robin needs, and
+    later per-key aggregates reuse it.  Filters and column pruning still reach the scan.
     """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
-        return df
-    if parts >= target:
-        return df
-    return df.repartition(target, key) if key and key in df.columns else df.repartition(target)
+    return df.repartition(partitions, key) if key else df.repartition(partitions)
 
 
 def origin() -> Column:
@@ -84,19 +73,11 @@ def tweet_view(docs: DataFrame) -> DataFrame:
     )
 
 
-def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tweet_view(read_table(spark, sf_dir, "documents"))
-
-
 def keep_english(df: DataFrame, lang: str = ENGLISH) -> DataFrame:
     """Language filter, then non-empty text; a missing field fails the test."""
     return df.filter((F.col("lang") == lang) & (text_or_empty("text") != ""))
 
 
-def english_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_english(tweets(spark, sf_dir))
-
-
 def labelled_texts(spark: SparkSession, sf_dir: str, lang: str = ENGLISH) -> DataFrame:
     """Stand-in for the labelled CSV: (doc_id, sentiment, text) of rated documents."""
     docs = read_table(spark, sf_dir, "documents").filter(F.col("lang") == lang)

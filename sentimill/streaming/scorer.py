@@ -4,9 +4,10 @@ One streaming query: message values → decode → English, non-empty texts →
 ``foreachBatch``.  Each micro-batch is persisted once and written three ways
 (top words, recent texts, sentiment counts) with the same batch functions the
 batch queries use, under one batch id and one batch time for all three
-tables.  Each table gets the micro-batch as its own ``batch_id=<epoch>``
-folder, written in overwrite mode, so a micro-batch replayed after a failure
-replaces its earlier output instead of adding to it.
+tables.  Each table gets the micro-batch as its own
+``batch_date=<date>/batch_id=<epoch>`` folder, written in overwrite mode, and the
+index of batches keeps the time an epoch was given first, so a micro-batch replayed
+after a failure (or past midnight) replaces its earlier output.
 
 ``start_event_time_words`` and ``event_time_counts`` are the event-time twins:
 tumbling windows with a watermark, whose closed windows equal the batch answer
@@ -16,7 +17,6 @@ for any split of the input into micro-batches.
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +25,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import parse_twitter_date, words
 from ..operators import counts, history, model
-from ..operators.sizing import broadcast_if_small
-from ..session import checkpoint_dir
 from ..sources import messages, tables
 
 BATCH_SECONDS = 1
@@ -39,6 +37,8 @@ WORDS_TABLE = "word_count"
 TEXTS_TABLE = "recent_texts"
 LAST_TABLE = "last_text"
 SENTIMENT_TABLE = "sentiment"
+BATCHES_TABLE = "batches"          # the index: one row per batch
+ARRIVAL = ("arrived", "part")      # what orders messages before their key, where the source has it
 
 
 def replay_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -60,7 +60,7 @@ def incoming_tweets(values: DataFrame, seq_col: str = "key") -> DataFrame:
     decoded = messages.decode_messages(values)
     good = decoded.filter(F.col(messages.CORRUPT_COLUMN).isNull())
     return tables.keep_english(good).select(
-        F.col(seq_col).alias("doc_id"),
+        F.col(seq_col).alias("doc_id"), *[c for c in ARRIVAL if c in values.columns],
         parse_twitter_date("created_at").alias("created_ts"),
         "created_at", "author", "text")
 
@@ -71,13 +71,24 @@ class HistorySink:
     def __init__(self, out_dir: str, weights: DataFrame, stop: DataFrame | None,
                  top_k: int = counts.TOP_WORDS, recent: int = history.RECENT_TEXTS):
         self.out_dir = out_dir.rstrip("/")
-        self.weights = broadcast_if_small(weights)
+        self.weights = weights
         self.stop = stop
         self.top_k = top_k
         self.recent = recent
 
-    def _write(self, df: DataFrame, table: str, epoch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.out_dir}/{table}/batch_id={epoch_id}")
+    def _write(self, df: DataFrame, table: str, stamp: dt.datetime, epoch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.out_dir}/{table}/batch_date={stamp.date()}/batch_id={epoch_id}")
+
+    def _stamp(self, spark: SparkSession, epoch_id: int) -> dt.datetime:
+        """The batch time of an epoch: the one the index has, else now (and the index gets it)."""
+        path = f"{self.out_dir}/{BATCHES_TABLE}/batch_id={epoch_id}"
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target):
+            return spark.read.parquet(path).first()["batch_start"]
+        stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        (spark.range(1).select(F.lit(stamp).cast("timestamp_ntz").alias("batch_start"))
+         .write.mode("overwrite").parquet(path))
+        return stamp
 
     def outputs(self, batch: DataFrame) -> dict[str, DataFrame]:
         """The per-batch results; ``batch`` carries ``batch_id`` and ``batch_start`` columns."""
@@ -85,32 +96,36 @@ class HistorySink:
         exploded = counts.explode_words(batch, words("text"), keys)
         wc = counts.drop_words(counts.word_counts(exploded, keys), self.stop)
         top = counts.top_words_per_group(wc, keys, self.top_k)
-        recent = history.recent_per_batch(batch, self.recent)
-        last = history.last_per_batch(batch, cols=("batch_start", "created_at", "author", "text"))
-        scored = model.score(batch, keys + ["doc_id"], self.weights)
+        order = ("doc_id", *[c for c in ARRIVAL if c in batch.columns])
+        recent = history.recent_per_batch(batch, self.recent, seq_col=order)
+        last = history.last_per_batch(batch, seq_col=order, cols=("batch_start", "created_at", "author", "text"))
+        scored = model.score(batch, keys, self.weights)
         senti = history.sentiment_by_batch(scored, keys)
         return {WORDS_TABLE: top, TEXTS_TABLE: recent, LAST_TABLE: last, SENTIMENT_TABLE: senti}
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
-        stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)  # one time for all tables
-        batch = (batch_df.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
-                 .withColumn("batch_start", F.lit(stamp).cast("timestamp_ntz")))
-        batch.persist()
+        batch_df.persist()
         try:
-            if batch.isEmpty():          # an empty micro-batch writes no rows
+            if batch_df.isEmpty():       # an empty micro-batch writes no rows
                 return
+            stamp = self._stamp(batch_df.sparkSession, epoch_id)       # one time for all tables
+            batch = (batch_df.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
+                     .withColumn("batch_start", F.lit(stamp).cast("timestamp_ntz")))
             for table, df in self.outputs(batch).items():
-                self._write(df.drop("batch_id"), table, epoch_id)
+                self._write(df.drop("batch_id"), table, stamp, epoch_id)
         finally:
-            batch.unpersist()
+            batch_df.unpersist()
 
 
 def start_scorer(values: DataFrame, out_dir: str, weights: DataFrame, stop: DataFrame | None,
                  checkpoint: str | None = None, trigger: dict | None = None,
                  seq_col: str = "key") -> StreamingQuery:
-    """Start the scorer; ``trigger`` defaults to 1-second micro-batches."""
-    spark = values.sparkSession
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "scorer")
+    """Start the scorer; ``trigger`` defaults to 1-second micro-batches.
+
+    Progress is kept beside the output (``<out>/_checkpoint``) unless told otherwise, so
+    every output has its own and a restart goes on where it stopped.
+    """
+    ckpt = checkpoint or f"{out_dir.rstrip('/')}/_checkpoint"
     sink = HistorySink(out_dir, weights, stop)
     writer = (incoming_tweets(values, seq_col).writeStream
               .foreachBatch(sink).option("checkpointLocation", ckpt))
@@ -119,29 +134,30 @@ def start_scorer(values: DataFrame, out_dir: str, weights: DataFrame, stop: Data
 
 
 HISTORY_SCHEMAS = {
-    WORDS_TABLE: "batch_start timestamp_ntz, word string, n bigint, rank int, batch_id bigint",
+    WORDS_TABLE: "batch_start timestamp_ntz, word string, n bigint, rank int, batch_date date, batch_id bigint",
     TEXTS_TABLE: "doc_id bigint, created_ts timestamp, created_at string, author string, text string, "
-                 "batch_start timestamp_ntz, rank int, batch_id bigint",
+                 "batch_start timestamp_ntz, rank int, batch_date date, batch_id bigint",
     LAST_TABLE: "doc_id bigint, batch_start timestamp_ntz, created_at string, author string, text string, "
-                "batch_id bigint",
+                "batch_date date, batch_id bigint",
     SENTIMENT_TABLE: "batch_start timestamp_ntz, positive bigint, negative bigint, volume bigint, "
-                     "batch_id bigint",
+                     "batch_date date, batch_id bigint",
 }
+BATCHES_SCHEMA = "batch_start timestamp_ntz, batch_id bigint"
 
 
 def reset_history(spark: SparkSession, out_dir: str) -> None:
     """Drop and re-create the history tables: empty, with their fixed schemas."""
     for table, schema in HISTORY_SCHEMAS.items():
-        (spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("batch_id")
+        (spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("batch_date", "batch_id")
          .parquet(f"{out_dir.rstrip('/')}/{table}"))
+    (spark.createDataFrame([], BATCHES_SCHEMA).write.mode("overwrite").partitionBy("batch_id")
+     .parquet(f"{out_dir.rstrip('/')}/{BATCHES_TABLE}"))
 
 
 def read_history(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     """A history table, read with its fixed schema (so an empty table reads too)."""
-    reader = spark.read
-    if table in HISTORY_SCHEMAS:
-        reader = reader.schema(HISTORY_SCHEMAS[table])
-    return reader.parquet(f"{out_dir.rstrip('/')}/{table}")
+    schema = BATCHES_SCHEMA if table == BATCHES_TABLE else HISTORY_SCHEMAS[table]
+    return spark.read.schema(schema).parquet(f"{out_dir.rstrip('/')}/{table}")
 
 
 def retain(spark: SparkSession, out_dir: str, table: str, dest_dir: str,
@@ -151,15 +167,22 @@ def retain(spark: SparkSession, out_dir: str, table: str, dest_dir: str,
     A table cannot be overwritten while it is read, so the retained copy goes to
     a new folder (the caller swaps folders).  Returns the retained table.
     """
-    kept = history.retain_latest(read_history(spark, out_dir, table), n)
-    kept.write.mode("overwrite").partitionBy("batch_id").parquet(f"{dest_dir.rstrip('/')}/{table}")
+    batches = read_history(spark, out_dir, BATCHES_TABLE)
+    kept = history.newest_partitions(read_history(spark, out_dir, table), batches, n)
+    kept.write.mode("overwrite").partitionBy("batch_date", "batch_id").parquet(f"{dest_dir.rstrip('/')}/{table}")
     return read_history(spark, dest_dir, table)
 
 
-def console_predictions(values: DataFrame, weights: DataFrame, seq_col: str = "key") -> StreamingQuery:
-    """Print the score of each incoming text to the console (debug view)."""
-    scored = model.score(incoming_tweets(values, seq_col), ["doc_id"], weights)
-    return scored.writeStream.format("console").outputMode("append").start()
+def console_predictions(values: DataFrame, weights: DataFrame, checkpoint: str, seq_col: str = "key",
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Print how many texts of each micro-batch got which label (debug view)."""
+    def show(batch: DataFrame, epoch_id: int) -> None:
+        scored = model.score(batch.withColumn("batch_id", F.lit(epoch_id)), ["batch_id"], weights)
+        history.prediction_counts(scored).orderBy("label").show()
+
+    return (incoming_tweets(values, seq_col).writeStream.foreachBatch(show)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": f"{BATCH_SECONDS} second"})).start())
 
 
 class WindowTopWords:
@@ -194,8 +217,7 @@ def start_event_time_words(values: DataFrame, out_dir: str, stop: DataFrame | No
                            checkpoint: str | None = None, trigger: dict | None = None,
                            watermark: str = "2 seconds", seq_col: str = "key") -> StreamingQuery:
     """Top words per 1-second event-time window, whatever the micro-batch boundaries."""
-    spark = values.sparkSession
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "event_time_words")
+    ckpt = checkpoint or f"{out_dir.rstrip('/')}/_checkpoint"
     agg = event_time_word_counts(incoming_tweets(values, seq_col), stop, watermark=watermark)
     writer = (agg.writeStream.outputMode("append").foreachBatch(WindowTopWords(out_dir))
               .option("checkpointLocation", ckpt))

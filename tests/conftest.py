@@ -10,10 +10,13 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from sentimill.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    # a cluster names its shared folder; tests have one of their own
+    ckpt = str(tmp_path_factory.mktemp("checkpoints"))
+    s = build_session(master="local[*]", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "6g"})
     yield s
     s.stop()
 

@@ -68,15 +68,55 @@ def test_history_point_get_prunes_partitions(spark, scratch):
     for epoch, b in enumerate(range(4)):
         sink(scorer.incoming_tweets(messages.encode_messages(v.tweets.filter(F.col("batch_id") == b))), epoch)
     words = scorer.read_history(spark, hist, scorer.WORDS_TABLE)
-    got = history.newest_partitions(words, 1)
+    got = history.newest_partitions(words, scorer.read_history(spark, hist, scorer.BATCHES_TABLE), 1)
     import re
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = got._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    assert filters and re.search(r"batch_id#\d+L = 3\)", filters[0]), filters   # only the newest partition
+    assert filters and re.search(r"batch_date#\d+ = 2.*batch_id#\d+L = 3\)", filters[0]), filters   # only the newest partition
     want = history.latest(words)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def _messages(spark, path, first, last):
+    v = catalog.Views(spark, SF_SMALL)
+    scorer.write_replay_files(messages.encode_messages(v.tweets.filter(f"batch_id between {first} and {last}")).coalesce(1), path)
+    return v
+
+
+def test_score_cli_two_outputs_and_a_restart(spark, scratch):
+    v = _messages(spark, f"{scratch}/m", 0, 1)
+    model.save_model(catalog.written(v.weights), 0.0, f"{scratch}/model")
+
+    def score(out, *more):
+        assert jobs.main(["score", "--messages", f"{scratch}/m", "--model", f"{scratch}/model", "--out", out, "--once", *more]) == 0
+        rows = scorer.read_history(spark, out, scorer.SENTIMENT_TABLE).orderBy("batch_id").collect()
+        return [(r["batch_id"], r["volume"]) for r in rows]
+
+    volume = v.english.filter("batch_id < 2").count()
+    assert score(f"{scratch}/a") == score(f"{scratch}/b") == [(0, volume)]        # each output has its own progress
+    assert score(f"{scratch}/c", "--checkpoint", f"{scratch}/ck") == [(0, volume)]
+    more = messages.encode_messages(v.tweets.filter("batch_id = 2")).coalesce(1)
+    messages.write_json_lines(more, f"{scratch}/m")
+    assert score(f"{scratch}/a") == [(0, volume), (1, v.english.filter("batch_id = 2").count())]
+
+
+def test_backfill_of_two_files_is_in_file_order(spark, scratch):
+    import json
+    import os
+    os.makedirs(f"{scratch}/t")
+    for name, texts in (("part-0", ["a"]), ("part-1", [f"b{i} " * 50 for i in range(3)])):       # the second is larger
+        with open(f"{scratch}/t/{name}.json", "w") as f:
+            json.dump([{"text": t} for t in texts], f)
+    model.save_model(spark.createDataFrame([("a", 0, 1.0)], "term string, idx int, weight double"), 0.0, f"{scratch}/model")
+    jobs.backfill_job(spark, f"{scratch}/t", f"{scratch}/model", f"{scratch}/out", n_windows=4)
+    rows = spark.read.parquet(f"{scratch}/out/tweets").orderBy("window_id").collect()
+    assert [r["text"].split()[0] for r in rows] == ["a", "b0", "b1", "b2"]
+    words = spark.read.parquet(f"{scratch}/out/word_count").orderBy("window_id").collect()
+    assert [(r["window_id"], r["word"], r["n"]) for r in words] == [(1, "b0", 50), (2, "b1", 50), (3, "b2", 50)]
+
+
 def test_read_cli_end_to_end(spark, scratch):
     v = catalog.Views(spark, SF_SMALL)
     hist = f"{scratch}/h"

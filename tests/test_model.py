@@ -69,5 +69,5 @@ def test_fit_is_no_worse_than_plain_sgd(spark):
 def test_registered_training_query(spark):
     from conftest import SF_SMALL
     df = catalog.q_train_sentiment(spark, SF_SMALL)
-    assert df.columns == ["term", "idx", "weight"]
+    assert df.columns == ["term", "idx", "better_than_zero"]
     assert df.count() == catalog.Views(spark, SF_SMALL).vocab.count()

@@ -45,7 +45,7 @@ def test_result_unchanged_under_repartitioning(spark):
 
 def test_row_index_is_exact_and_dense(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 100003).alias("k"))  # distinct, scrambled
-    idx = with_row_index(df, ["k"], buckets=13)
+    idx = with_row_index(df, ["k"])
     rows = idx.orderBy("k").collect()
     assert [r["idx"] for r in rows] == list(range(5000))
 
@@ -55,7 +55,7 @@ def test_row_index_with_skewed_keys(spark):
     dense = spark.range(0, 3000).select(F.col("id").alias("k"))
     sparse = spark.range(0, 6000).select((F.col("id") * 1_000_003 + 10_000).alias("k"))
     df = dense.union(sparse)
-    rows = with_row_index(df, ["k"], buckets=16).orderBy("k").select("idx").collect()
+    rows = with_row_index(df, ["k"]).orderBy("k").select("idx").collect()
     assert [r[0] for r in rows] == list(range(9000))
 
 
@@ -93,7 +93,7 @@ def test_recent_batches_fall_back_when_newest_has_only_stop_words(spark, scratch
     docs.unionByName(extra).write.parquet(f"{folder}/documents.parquet")
     v = catalog.Views(spark, folder)
     fast = catalog.q_latest_word_count(spark, folder)
-    full = history.latest(v.word_history(v.stop)).select("batch_id", "word", "n", "rank")
+    full = history.latest(v.top_by_batch(v.stop)).select("batch_id", "word", "n", "rank")
     assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0
     # the stop-word-only batch is skipped: the newest non-empty batch is an older one
     assert fast.select("batch_id").distinct().first()[0] < (last + 40) // 20
@@ -101,7 +101,7 @@ def test_recent_batches_fall_back_when_newest_has_only_stop_words(spark, scratch
     nostop = v.recent_top(None, 1).select("batch_id").distinct().collect()
     assert [r[0] for r in nostop] == [(last + 40) // 20]
     long_fast = catalog.q_long_term_word_count(spark, folder)
-    long_full = history.long_term_words(v.word_history(v.stop))
+    long_full = history.long_term_words(v.top_by_batch(v.stop))
     assert long_fast.exceptAll(long_full).count() == 0 and long_full.exceptAll(long_fast).count() == 0
 
 
@@ -110,15 +110,9 @@ def test_row_index_splits_a_hot_first_key(spark):
     hot = spark.range(0, 3000).select(F.lit(5).alias("a"), F.col("id").alias("b"))
     rest = spark.range(0, 6000).select((F.col("id") + 10).alias("a"), F.lit(0).alias("b"))
     df = hot.union(rest)
-    idx = with_row_index(df, ["a", "b"], buckets=16)
+    idx = with_row_index(df, ["a", "b"])
     rows = idx.orderBy("a", "b").select("idx").collect()
     assert [r[0] for r in rows] == list(range(9000))
-    # the hot value is spread over many buckets, none holding more than a small share
-    from sentimill.operators import position
-    k = 16
-    cuts = df.select(F.col("a").cast("double").alias("a")).approxQuantile("a", [i / k for i in range(1, k)],
-                                                                       0.25 / k)
-    assert position._hot_values(cuts) == [5.0]
-    sub = position._sub_bucket(df, F.col("a").cast("double"), ["a", "b"], [5.0], k)
-    biggest = df.filter("a = 5").groupBy(sub.alias("s")).count().agg(F.max("count")).first()[0]
-    assert biggest <= 3000 // 4
+    # the ranges go by both columns: the hot value is spread over several tasks
+    ranged = df.repartitionByRange(8, "a", "b").groupBy(F.spark_partition_id().alias("p")).count()
+    assert ranged.agg(F.max("count")).first()[0] < 2000

@@ -1,42 +1,50 @@
-"""Broadcast only behind a size bound; spread only coarse scans."""
+"""Broadcast only behind a size bound; spread only when the caller says so."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sentimill.operators import counts
-from sentimill.operators.sizing import broadcast_if_small
+from sentimill import session
+from sentimill.operators import counts, model
 from sentimill.sources import lexicon, tables
 
 from conftest import SF_SMALL
 
 
-def _join_kind(df) -> str:
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return "broadcast" if "BroadcastHashJoin" in plan else "shuffle"
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_list_is_broadcast_and_big_one_is_not(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hints decide
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_constants_are_broadcast_and_lists_from_files_are_left_to_spark(spark, scratch):
+    spark.range(1_500_000).select(F.concat(F.lit("w"), F.col("id")).alias("value")).write.text(f"{scratch}/words")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
     try:
-        big = spark.range(50_000).select(F.col("id").cast("string").alias("word"))
-        small = broadcast_if_small(spark.range(10).select(F.col("id").cast("string").alias("w")), 100)
-        large = broadcast_if_small(spark.range(1000).select(F.col("id").cast("string").alias("w")), 100)
-        assert _join_kind(counts.drop_words(big, small)) == "broadcast"
-        assert _join_kind(counts.drop_words(big, large)) == "shuffle"
-        assert counts.drop_words(big, large).count() == 49_000          # same answer either way
-        # constants are bounded by construction and always carry the hint
-        assert _join_kind(counts.drop_words(big, lexicon.stop_words(spark))) == "broadcast"
+        words = spark.range(50_000).select(F.concat(F.lit("w"), F.col("id")).alias("word"))
+        assert "BroadcastHashJoin" in _plan(counts.drop_words(words, lexicon.stop_words(spark)))
+        vocab = lexicon.vocabulary(lexicon.read_common_words(spark, f"{scratch}/words"), lexicon.stop_words_kept(spark))
+        docs = spark.range(1_000_000).select(F.col("id").alias("doc_id"), F.lit("w1 w2 w2").alias("text"))
+        plan = _plan(model.term_frequency(docs, ["doc_id"], vocab))
+        # the terms are not broadcast (only the index's row per partition is), and no single task sorts them
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert model.term_frequency(docs.limit(10), ["doc_id"], vocab).count() == 20
+        assert vocab.agg(F.min("idx"), F.max("idx"), F.count_distinct("idx")).first() == (0, 1_500_002, 1_500_003)
+        before = vocab.select("term", "idx", F.lag("term").over(
+            Window.partitionBy(F.expr("idx div 1000")).orderBy("idx")).alias("prev"))
+        assert before.filter("prev >= term").isEmpty()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_spread_only_when_the_scan_is_coarse(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")          # one row group
-    assert docs.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    spread = tables.spread(docs)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=64)
-    assert tables.spread(wide) is wide                                   # no extra shuffle
-    plan = spread.filter("lang = 'en'").select("text")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan  # pushdown survives
+
+
+def test_spread_only_where_asked(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    held = spark.conf.get(session.SCAN_PARTITIONS, None)
+    try:
+        spark.conf.unset(session.SCAN_PARTITIONS)
+        assert "Exchange" not in _plan(tables.read_table(spark, SF_SMALL, "documents"))
+        spark.conf.set(session.SCAN_PARTITIONS, "5")
+        assert "hashpartitioning(doc_id" in _plan(tables.read_table(spark, SF_SMALL, "documents"))
+    finally:
+        spark.conf.unset(session.SCAN_PARTITIONS)
+        if held:
+            spark.conf.set(session.SCAN_PARTITIONS, held)
+    spread = tables.spread(docs, 5, "doc_id")
+    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in _plan(spread.filter("lang = 'en'").select("text"))

@@ -123,17 +123,61 @@ def test_reset_and_retention(spark, scratch):
     kept = scorer.retain(spark, out, scorer.SENTIMENT_TABLE, f"{scratch}/kept", n=2)
     assert sorted(r[0] for r in kept.select("batch_id").collect()) == [2, 3]
     words = scorer.read_history(spark, out, scorer.WORDS_TABLE)
-    assert set(words.columns) == {"batch_start", "word", "n", "rank", "batch_id"}
+    assert set(words.columns) == {"batch_start", "word", "n", "rank", "batch_date", "batch_id"}
 
 
-def test_console_view_runs(spark, scratch):
+def test_console_view_prints_label_counts(spark, scratch, capfd):
     v = catalog.Views(spark, SF_SMALL)
     src = f"{scratch}/m"
-    scorer.write_replay_files(messages.encode_messages(v.tweets.filter("batch_id < 2")), src)
-    q = (scorer.incoming_tweets(scorer.replay_files(spark, src)).writeStream.format("console")
-         .option("checkpointLocation", f"{scratch}/c").trigger(availableNow=True).start())
+    scorer.write_replay_files(messages.encode_messages(v.tweets.filter("batch_id < 2")).coalesce(1), src)
+    q = scorer.console_predictions(scorer.replay_files(spark, src), catalog.written(v.weights), f"{scratch}/c",
+                                   trigger={"availableNow": True})
     q.awaitTermination()
     assert q.exception() is None
+    printed = capfd.readouterr().out
+    want = catalog.q_prediction_counts(spark, SF_SMALL).filter("batch_id < 2").groupBy("label").agg(F.sum("n")).collect()
+    for label, n in want:
+        assert f"{label}|" in printed.replace(" ", "") and f"|{n}|" in printed.replace(" ", "")
+
+
+def _value(text, created="Mon Jan 01 00:00:01 +0000 2024"):
+    import json
+    return json.dumps({"created_at": created, "lang": "en", "text": text, "user": {"screen_name": "u"}})
+
+
+def test_nothing_is_merged_or_lost(spark, scratch):
+    """Equal offsets of two partitions, null keys and an odd date: every message counts."""
+    weights = spark.createDataFrame([("good", 0, 1.0), ("bad", 1, -1.0)], "term string, idx int, weight double")
+    values = spark.createDataFrame([(5, _value("good"), 0), (5, _value("bad bad"), 1), (None, _value("good"), 0),
+                                    (None, _value("good"), 0), (6, _value("good", "some day"), 0)],
+                                   "key long, value string, part int")
+    out = f"{scratch}/h"
+    scorer.HistorySink(out, weights, None)(scorer.incoming_tweets(values), 0)
+    row = scorer.read_history(spark, out, scorer.SENTIMENT_TABLE).first()
+    assert (row["volume"], row["positive"], row["negative"]) == (5, 4, 1)
+    texts = scorer.read_history(spark, out, scorer.TEXTS_TABLE).collect()
+    assert len(texts) == 5 and sum(r["created_ts"] is None for r in texts) == 1
+
+
+def test_published_files_are_replayed(spark, scratch):
+    v = catalog.Views(spark, SF_SMALL)
+    sent = messages.encode_messages(v.tweets.filter("batch_id < 3"))
+    messages.write_json_lines(sent, f"{scratch}/m")
+    q = (scorer.replay_files(spark, f"{scratch}/m", 100).writeStream.format("memory").queryName("replayed")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("replayed")
+    assert got.exceptAll(sent).isEmpty() and sent.exceptAll(got).isEmpty()
+
+
+def test_a_replayed_epoch_keeps_its_time(spark, scratch):
+    v = catalog.Views(spark, SF_SMALL)
+    sink = scorer.HistorySink(f"{scratch}/h", catalog.written(v.weights), v.stop)
+    batch = scorer.incoming_tweets(messages.encode_messages(v.tweets.filter("batch_id = 3")))
+    sink(batch, 0)
+    first = scorer.read_history(spark, f"{scratch}/h", scorer.BATCHES_TABLE).collect()
+    sink(batch, 0)
+    assert scorer.read_history(spark, f"{scratch}/h", scorer.BATCHES_TABLE).collect() == first
 
 
 def test_event_time_top_words_equal_batch_for_any_split(spark, scratch):
