@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import folder
 
 HOT_SHARE = 1000     # a key with more than 1/HOT_SHARE of the rows is hot: at most HOT_SHARE keys are
 
@@ -25,16 +24,8 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder of its own in the cluster's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/sentimill-{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, lineage cut.
-
-    A checkpoint would compute the last stage twice and keep uncompressed rows.
-    """
+    """``df`` as a table in the shared folder, for ``forget`` to delete: computed once, lineage cut."""
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)

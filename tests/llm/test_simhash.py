@@ -96,6 +96,21 @@ def test_links_lose_nothing(spark, most_leaves):
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+def test_a_crowd_of_near_copies_is_split_into_shares(spark):
+    """Dealing a tight cluster again would multiply it: its queries are split instead."""
+    rng = np.random.default_rng(5)
+    center = np.uint64(0x123456789ABCDEF1)
+    codes = np.unique(np.concatenate([[center], [center ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 2).astype(np.uint64))
+                                                 for _ in range(600)], rng.integers(0, 1 << 63, 400, dtype=np.uint64)]))
+    fps = spark.createDataFrame([(int(x),) for x in codes.view(np.int64)], "fp long")
+    links = s.links(fps, 4, 50).collect()
+    assert len(links) < 40 * len(codes)                     # stars of the shares, no pairs
+    linked = {x for r in links for x in (r.root, r.member)}
+    best = brute_classes(codes, 4)
+    sizes = Counter(best)
+    assert linked == {int(x) for x, b in zip(codes.view(np.int64), best) if sizes[b] > 1}
+
+
 def test_masks_cover_all_bits():
     for used in (0, (1 << 13) - 1, 0xFF00FF00FF00FF00):
         masks = s.deal_masks(used, 5)
