@@ -39,6 +39,7 @@ EPOCHS = 4
 SCALE = 16.0                                        # a feature's value is SCALE times its share of the words
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.001         # FTRL: rate, its start, and the two penalties
 FOLDS, HELD_OUT = 3, 1                              # held out: crc32(doc_id as text) mod 3 is 1
+SLICE = 1 << 20                                     # bytes of text whose features are held at once
 KNOWN_WORDS = 200_000                               # words whose hashes a worker remembers
 
 SIGNS = bytes((ord("a") if 97 <= c <= 122 or c >= 128 else ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57 else c)
@@ -174,7 +175,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         known: dict = {}
         for series in texts:
             batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
-            parts = [model.score(some.column(0).to_pylist(), known) for some in slices([batch], "text")]
+            parts = [model.score(some.column(0).to_pylist(), known) for some in slices([batch], "text", SLICE)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     return docs.withColumn("__sm_score", run(F.col(text)))
