@@ -36,7 +36,7 @@ SCALE = 256
 K = 5
 QUERY_EVERY = 50
 CELLS = 64               # per dimension
-SAMPLE = 10_000          # rows whose quantiles cut the cells
+SAMPLE = 4_000           # rows whose quantiles cut the cells
 BLOCK = 8192             # vectors in a row of the approximation file
 QUERIES = 1024           # queries that scan together
 CHUNK = 1024             # vectors of a block that are bounded together
