@@ -21,8 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpoints written by a query are removed once nothing refers to them
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # keep compiled whole-stage code for the ~40 query shapes instead of recompiling
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
@@ -46,20 +44,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written intermediate tables.
+    """Shared folder for written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we read that.  Where it is
-    unset (as in tests), a folder of the warehouse serves, which all executors share.
+    A cluster names it in ``spark.checkpoint.dir``; we read that.  Where none is set
+    (as in tests), a folder of the warehouse serves, which all executors share.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/sentimill-checkpoints")
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/sentimill-checkpoints"
 
 
 def folder(spark: SparkSession, name: str) -> str:
