@@ -230,7 +230,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     out = joined.withColumn("__sm_text", F.explode(texts)).withColumn("text", F.col("__sm_text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _row_key(key: str | Column) -> Column:
