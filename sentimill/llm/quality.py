@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -170,13 +169,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` and a column ``__sm_score``."""
-    @F.pandas_udf("double")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict = {}
-        for series in texts:
-            batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
+        for column in texts:
+            batch = pa.RecordBatch.from_arrays([column], names=["text"])
             parts = [model.score(some.column(0).to_pylist(), known) for some in slices([batch], "text", SLICE)]
-            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+            yield pa.array(np.concatenate(parts) if parts else np.empty(0))
 
     return docs.withColumn("__sm_score", run(F.col(text)))
 
