@@ -5,9 +5,9 @@ assignment whose value has 6 or more characters, an access key of 20 or more, a
 run of 24 or more.  Beside them, candidate strings of each character class are
 scanned with a window whose character counts are updated by the one that enters and
 the one that leaves; windows whose entropy reaches the class's threshold
-are joined to spans.  An allow-list drops such spans (never those of the patterns):
-identifiers and digests that are named as such, documentation samples, alphabets, and
-what a pattern has found already.
+are joined to spans.  An allow-list drops candidates (never spans of the patterns):
+identifiers and digests that are named as such, and by the candidate alone, whatever stands
+beside it, UUIDs, paths, documentation samples and alphabets.  What a pattern has found already isn't given again.
 
 Texts are scanned whole, each in one place, so memory is bounded by the longest
 text; there is no shuffle.  Offsets are code points, ends exclusive.  Null texts count
@@ -55,13 +55,15 @@ CLASSES = (
 
 #: What stands before an identifier or a digest that is named as such.
 NAMED = re.compile(r"(?:sha-?\d*|md5|uuid|guid|commit|digest|checksum|etag)[\"']?\s*[:=]?\s*[\"']?$", re.IGNORECASE)
-#: Strings that are no secrets whatever their entropy.
-ALLOWED = (
+#: Candidates that are no secrets whatever their entropy: as a whole an identifier or a path ...
+WHOLE = (
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"example|sample|placeholder|changeme|dummy", re.IGNORECASE),
-    re.compile(r"abcdefghij|0123456789|qwertyuiop", re.IGNORECASE),
-    re.compile(r"(?:/[a-z0-9_-]+){3,}"),      # a path
+    re.compile(r"(?:/[a-z0-9_-]+){3,}"),
 )
+#: ... or with such letters in them.  A word that is set off from the rest of a candidate is its neighbour, as one after a blank is.
+WORDS = "example|sample|placeholder|changeme|dummy"
+ALONE = re.compile(rf"(?<![A-Za-z0-9])(?:{WORDS})s?(?![A-Za-z0-9])", re.IGNORECASE)
+INSIDE = re.compile(rf"{WORDS}|abcdefghij|0123456789|qwertyuiop", re.IGNORECASE)
 
 
 def high_windows(text: str, window: int, bits: float) -> list[tuple[int, int]]:
@@ -100,8 +102,11 @@ def in_order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
 
 
 def allowed(text: str, start: int, end: int) -> bool:
-    found = text[max(0, start - 16):end + 16]
-    return bool(NAMED.search(text, max(0, start - 24), start)) or any(p.search(found) for p in ALLOWED)
+    """Whether the candidate from ``start`` to ``end`` is no secret: by itself, or as what stands before it names it."""
+    if NAMED.search(text, max(0, start - 24), start):
+        return True
+    run = text[start:end]
+    return any(p.fullmatch(run) for p in WHOLE) or bool(INSIDE.search(ALONE.sub(" ", run)))
 
 
 def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -109,7 +114,7 @@ def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int
     for runs, needs, window, bits in CLASSES:
         for m in runs.finditer(text):
             run = m.group()
-            if all(p.search(run) for p in needs):
+            if all(p.search(run) for p in needs) and not allowed(text, *m.span()):
                 spans |= {(m.start() + a, m.start() + b) for a, b in high_windows(run, window, bits)}
     out: list[tuple[int, int, str]] = []
     reach, known = 0, 0                       # how far the patterns' spans that start before this one go
@@ -118,7 +123,7 @@ def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int
             reach = max(reach, base[known][1])
             known += 1
         inside = b <= reach or (out and b <= out[-1][1])
-        if not inside and not allowed(text, a, b):
+        if not inside:
             out.append((a, b, "entropy"))
     return out
 

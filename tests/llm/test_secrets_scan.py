@@ -66,6 +66,17 @@ def test_allow_list(text):
     assert s.scan(text)[1] == []
 
 
+@pytest.mark.parametrize("text", [
+    "for example {}", "bearer {} samples", "dummy {}", "GET /api/v1/keys/{}", "/usr/local/lib {}", "https://host/a/b/c {}", "abcdefghij {}",
+    "3f2b8c1d-9a4e-4f6b-8d7c-1e2a3b4c5d6e {}", "{} 3f2b8c1d-9a4e-4f6b-8d7c-1e2a3b4c5d6e", "example/{}", "{}-sample", "/samples/{}"])
+@pytest.mark.parametrize("key", ["tG7kQ2vXz9LmB4wRy8Pc1NdF", "tG7kQ2vXz9-LmB4wRy8Pc_1NdFh5J"])
+def test_neighbours_do_not_hide_a_secret(text, key):
+    spans = s.scan(text.format(key))[1]
+    start = text.index("{}")
+    assert [k for _, _, k in spans] == ["entropy"]
+    assert spans[0][0] <= start and spans[0][1] >= start + len(key)
+
+
 def test_base_spans_are_never_suppressed():
     text = 'password = "example_0123456789"'
     assert s.scan(text) == (brute_base(text),) * 2 and len(brute_base(text)) == 1
