@@ -46,11 +46,18 @@ class CharacterClass(NamedTuple):
     bits: float             # entropy per character from which on a window counts
 
 
-DIGIT, LOWER, UPPER = re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]")
+DIGIT, LOWER, UPPER, LETTER = map(re.compile, ("[0-9]", "[a-z]", "[A-Z]", "[A-Za-z]"))
+ALNUM, JOINED = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9]{20,}"), re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Fewer characters to choose from make less entropy, so runs of one case have a lower threshold; without
+#: digits it is higher, as names of several words have both cases.  Letters of one case alone may be plain words.
 CLASSES = (
     CharacterClass(re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}"), (DIGIT, re.compile("[A-Fa-f]")), 24, 3.0),
-    CharacterClass(re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9]{20,}"), (DIGIT, LOWER, UPPER), 20, 3.6),
-    CharacterClass(re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"), (DIGIT, LOWER, UPPER), 20, 3.8),
+    CharacterClass(re.compile(r"(?<![A-Za-z0-9])[a-z0-9]{20,}+(?![A-Z])"), (DIGIT, LOWER), 20, 3.3),
+    CharacterClass(re.compile(r"(?<![A-Za-z0-9])[A-Z0-9]{20,}+(?![a-z])"), (DIGIT, UPPER), 20, 3.3),
+    CharacterClass(ALNUM, (DIGIT, LETTER), 20, 3.6),
+    CharacterClass(ALNUM, (LOWER, UPPER), 20, 3.9),
+    CharacterClass(JOINED, (DIGIT, LETTER), 20, 3.8),
+    CharacterClass(JOINED, (LOWER, UPPER), 20, 4.0),
 )
 
 #: What stands before an identifier or a digest that is named as such.

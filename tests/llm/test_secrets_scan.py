@@ -77,6 +77,20 @@ def test_neighbours_do_not_hide_a_secret(text, key):
     assert spans[0][0] <= start and spans[0][1] >= start + len(key)
 
 
+@pytest.mark.parametrize("key", [
+    "k7q2w9zx4m1t8r3v6y0p5n2j7h4g9s1d", "x3z9q1w7k5m2v8t4y6rh", "MZXW6YTBOI2KQ4TPJRSG5VLU3NHWC7DE", "JBSWY3DPEHPK3PXPQ7ZL",
+    "tGkQvXzLmBwRyPcNdFhJsZqWnKeUaYpC", "k7q2w-9zx4m1_t8r3v6y0-p5n2j7h4g9"])
+def test_keys_without_all_three_sorts_of_characters(key):
+    (a, b, kind), = s.scan(f"bearer {key} here")[1]
+    assert kind == "entropy" and "bearer "[a:] == "" and b - a >= len(key) - 4
+
+
+@pytest.mark.parametrize("text", ["some-article-title-2019-part-2-of-3", "AbstractSingletonProxyFactoryBean", "/srv/data/2019/part0001/raw",
+                                  "ONE_LONG_CONSTANT_NAME_OF_2019", "12345678901234567890", "3f2b8c1d-9a4e-4f6b-8d7c-1e2a3b4c5d6e"])
+def test_names_are_not_keys(text):
+    assert s.scan(f"see {text} here")[1] == []
+
+
 def test_base_spans_are_never_suppressed():
     text = 'password = "example_0123456789"'
     assert s.scan(text) == (brute_base(text),) * 2 and len(brute_base(text)) == 1
