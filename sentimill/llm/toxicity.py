@@ -6,10 +6,10 @@ of words; attention weighs their states into one vector, and a logistic unit sco
 it.  A text is read whole, in overlapping windows, and scores as its highest window.
 
 Training takes a bounded sample: of each label, the ``per_label`` labelled documents (not of
-the held-out fold) with the smallest hash of their id, and of each at most
-DRAWN windows.  The first round learns from all of them under the document's label; the later
+the held-out fold) with the smallest hash of their id, and every window of each.  The first
+round learns from all of them under the document's label, each document weighing the same; the later
 ones from a toxic document's highest window and a clean one's CLEAN_WINDOWS highest (a
-toxic text has toxic words in some window, a clean one in none).  It runs in one task and returns the weights (4 MB),
+toxic text has toxic words in some window, a clean one in none), of all its windows.  It runs in one task and returns the weights (4 MB),
 which go to every scoring task.  Scoring is one pass over the documents, without a shuffle.
 
 Null and empty texts are one empty window and score like any other text.  Null labels
@@ -36,10 +36,9 @@ EMBED, HIDDEN, ATTEND = 16, 12, 8
 WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 15
 GRAMS = (3, 5)
 PER_LABEL = 1500
-DRAWN = 32
-STEPS = 750                             # batches learnt from; a sample that is smaller is gone through more often
+STEPS = 750                             # batches learnt from after the first round; a sample that is smaller is gone through more often
 CLEAN_WINDOWS = 3
-BATCH = 64
+BATCH, FIRST_BATCH = 64, 256            # windows of a batch; in the first round, which has all windows
 RATE, EMBED_RATE = 0.01, 0.05
 FOLDS, HELD_OUT = 5, 0                  # held out: crc32(doc_id as text) mod 5 is 0
 TOGETHER = 2048                         # windows scored together
@@ -209,13 +208,14 @@ class Trainer:
         self.past = {"word": np.full(WORD_ROWS, 1e-6, np.float32), "gram": np.full(GRAM_ROWS, 1e-6, np.float32)}
         self.steps = 0
 
-    def step(self, words: list[bytes], code: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> float:
+    def step(self, words: list[bytes], code: np.ndarray, sizes: np.ndarray, labels: np.ndarray,
+             weights: np.ndarray | float = 1.0) -> float:
         p = self.p
         inputs = word_inputs(words)
         x, factor = embed(p, inputs)
         keep: dict = {}
         logits = forward(p, (x @ p["Wf"] + p["bf"], x @ p["Wb"] + p["bb"]), code, sizes, keep)
-        error = ((sigmoid(logits) - labels) / len(labels)).astype(np.float32)
+        error = (weights * (sigmoid(logits) - labels) / len(labels)).astype(np.float32)
         grads, d_gates = backward(p, code, sizes, keep, error, len(words))
         d_word = np.zeros_like(x)
         for way, d_x in zip("fb", d_gates):
@@ -236,61 +236,58 @@ class Trainer:
         return float(np.mean(np.logaddexp(0, np.where(labels > 0, -logits, logits))))
 
 
-def pack(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes padded, sizes, order) of windows, the longest first."""
-    sizes = np.array([len(c) for c in codes], np.int64)
-    order = np.argsort(-sizes, kind="stable")
-    code = np.zeros((len(codes), max(1, int(sizes.max()))), np.int64)
-    for row, k in enumerate(order):
-        code[row, :sizes[k]] = codes[k]
-    return code, sizes[order], order
-
-
 def train(rows: list[tuple[int, list[bytes]]], steps: int = STEPS, seed: int = 0) -> dict[str, np.ndarray]:
     """Weights from (label, words of the text)."""
     trainer, rng = Trainer(seed), np.random.default_rng(seed)
     if len({label for label, _ in rows}) < 2:
         return trainer.p
     known: dict[bytes, int] = {}
-    found: list[tuple[int, int, np.ndarray]] = []                    # (document, label, window)
-    for k, (label, words) in enumerate(rows):
-        codes = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
-        _, first, size = windows(np.array([len(words)]))
-        for w in rng.permutation(len(first))[:DRAWN]:
-            found.append((k, label, codes[first[w]:first[w] + size[w]]))
-    vocabulary = list(known)
-    while trainer.steps < steps:
-        chosen = found
-        if trainer.steps:                                                   # each document's highest windows
-            logits = _logits(trainer.p, vocabulary, [c for _, _, c in found])
-            best: dict[int, list[int]] = {}
-            for at in np.argsort(-logits, kind="stable").tolist():
-                k, label, _ = found[at]
-                if len(best.setdefault(k, [])) < (1 if label else CLEAN_WINDOWS):
-                    best[k].append(at)
-            chosen = [found[at] for k in sorted(best) for at in best[k]]
-        elif len(found) > 2 * len(rows):
-            chosen = [found[i] for i in np.sort(rng.permutation(len(found))[:2 * len(rows)])]
+    codes = np.array([known.setdefault(w, len(known)) for _, words in rows for w in words] + [0] * WORDS, np.int64)
+    vocabulary = list(known) or [b""]
+    sizes = np.array([len(words) for _, words in rows], np.int64)
+    text, first, size = windows(sizes)
+    start = (np.cumsum(sizes) - sizes)[text] + first
+    label = np.array([label for label, _ in rows])[text]
+
+    def learn(chosen: np.ndarray, weights: np.ndarray, batch: int) -> None:
         order = rng.permutation(len(chosen))
-        for at in range(0, len(order), BATCH):
-            some = [chosen[i] for i in order[at:at + BATCH]]
-            code, sizes, by_size = pack([c for _, _, c in some])
-            own, inverse = np.unique(code, return_inverse=True)
-            trainer.step([vocabulary[i] for i in own], inverse.reshape(code.shape), sizes,
-                         np.array([label for _, label, _ in some], np.float32)[by_size])
+        for at in range(0, len(order), batch):
+            some = order[at:at + batch]
+            some = some[np.argsort(-size[chosen[some]], kind="stable")]          # the longest first
+            own = chosen[some]
+            met, inverse = np.unique(codes[start[own][:, None] + np.arange(WORDS)], return_inverse=True)
+            trainer.step([vocabulary[i] for i in met], inverse.reshape(len(own), WORDS), size[own],
+                         label[own].astype(np.float32), weights[some])
+
+    each = 1 / np.bincount(text)[text]
+    learn(np.arange(len(text)), each / each.mean(), FIRST_BATCH)
+    until = trainer.steps + steps
+    while trainer.steps < until:                                     # each document's highest windows
+        chosen = highest(text, _logits(trainer.p, _gates(trainer.p, vocabulary), codes, start, size), label)
+        learn(chosen, np.ones(len(chosen)), BATCH)
     return trainer.p
 
 
+def highest(text: np.ndarray, logits: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The windows to learn from: the highest of each toxic text, the CLEAN_WINDOWS highest of each clean one."""
+    order = np.lexsort((-logits, text))
+    counts = np.bincount(text)
+    rank = np.arange(len(text)) - (np.cumsum(counts) - counts)[text[order]]
+    return order[rank < np.where(label[order] > 0, 1, CLEAN_WINDOWS)]
+
+
 def _gates(p: dict, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     x, _ = embed(p, word_inputs(words))
     return x @ p["Wf"] + p["bf"], x @ p["Wb"] + p["bb"]
 
 
-def _logits(p: dict, vocabulary: list[bytes], codes: list[np.ndarray]) -> np.ndarray:
-    gates, out = _gates(p, vocabulary), np.empty(len(codes))
-    for at in range(0, len(codes), TOGETHER):
-        code, sizes, order = pack(codes[at:at + TOGETHER])
-        out[at + order] = forward(p, gates, code, sizes)
+def _logits(p: dict, gates: tuple[np.ndarray, np.ndarray], codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Logit of every window, TOGETHER of them at a time; ``codes`` has WORDS more at its end."""
+    out = np.empty(len(size))
+    order = np.argsort(-size, kind="stable")
+    for at in range(0, len(order), TOGETHER):
+        some = order[at:at + TOGETHER]
+        out[some] = forward(p, gates, codes[start[some][:, None] + np.arange(WORDS)[None, :]], size[some])
     return out
 
 
@@ -303,13 +300,8 @@ def score(p: dict, texts: list[str | None]) -> np.ndarray:
     codes = np.append(codes, np.zeros(WORDS, codes.dtype))           # windows may be padded past the end
     gates = _gates(p, list(known)) if flat else (np.zeros((1, 3 * HIDDEN), np.float32),) * 2
     text, first, size = windows(sizes)
-    start = (np.cumsum(sizes) - sizes)[text] + first
     best = np.full(len(texts), -np.inf)
-    order = np.argsort(-size, kind="stable")
-    for at in range(0, len(order), TOGETHER):
-        some = order[at:at + TOGETHER]
-        code = codes[start[some][:, None] + np.arange(WORDS)[None, :]]
-        np.maximum.at(best, text[some], forward(p, gates, code, size[some]))
+    np.maximum.at(best, text, _logits(p, gates, codes, (np.cumsum(sizes) - sizes)[text] + first, size))
     return sigmoid(best)
 
 

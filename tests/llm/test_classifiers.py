@@ -135,3 +135,23 @@ def test_text_scores_as_its_highest_window():
     _, first, size = t.windows(np.array([150]))
     each = t.score(p, [" ".join(words[a:a + n]) for a, n in zip(first, size)])
     assert np.isclose(t.score(p, ["x", " ".join(words), None])[1], each.max(), atol=1e-5)
+
+
+def test_training_reads_every_window(monkeypatch):
+    """A word in one place of a long text is learnt from in the first round, and is in reach of the later ones."""
+    met, scored = set(), set()
+    step, highest = t.Trainer.step, t.highest
+    monkeypatch.setattr(t.Trainer, "step", lambda self, words, *rest: (met.update(words), step(self, words, *rest))[1])
+    monkeypatch.setattr(t, "highest", lambda text, logits, label: (scored.add(len(logits)), highest(text, logits, label))[1], raising=False)
+    long = [f"w{i}".encode() for i in range(4000)]
+    t.train([(1, long), (0, [b"clean"] * 3)], steps=1)
+    assert met >= set(long)
+    assert scored == {len(t.windows(np.array([4000]))[0]) + 1}
+
+
+def test_highest_windows_of_each_text():
+    text, label = np.repeat([0, 1, 2], [100, 50, 1]), np.repeat([1, 0, 0], [100, 50, 1])
+    logits = np.random.default_rng(0).random(151)
+    got = t.highest(text, logits, label).tolist()
+    want = [np.argmax(logits[:100]), *(100 + np.argsort(-logits[100:150])[:t.CLEAN_WINDOWS]), 150]
+    assert sorted(got) == sorted(want)
