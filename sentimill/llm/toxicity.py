@@ -9,7 +9,8 @@ Training takes a bounded sample: of each label, the ``per_label`` labelled docum
 the held-out fold) with the smallest hash of their id, and every window of each.  The first
 round learns from all of them under the document's label, each document weighing the same; the later
 ones from a toxic document's highest window and a clean one's CLEAN_WINDOWS highest (a
-toxic text has toxic words in some window, a clean one in none), of all its windows.  It runs in one task and returns the weights (4 MB),
+toxic text has toxic words in some window, a clean one in none), of all its windows.  Both labels
+weigh the same in every round, however rare one is.  It runs in one task and returns the weights (4 MB),
 which go to every scoring task.  Scoring is one pass over the documents, without a shuffle.
 
 Null and empty texts are one empty window and score like any other text.  Null labels
@@ -37,6 +38,7 @@ WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 15
 GRAMS = (3, 5)
 PER_LABEL = 1500
 STEPS = 750                             # batches learnt from after the first round; a sample that is smaller is gone through more often
+PICKED = 94                             # batches at least from one choice of the highest windows to the next (a pass over a full sample)
 CLEAN_WINDOWS = 3
 BATCH, FIRST_BATCH = 64, 256            # windows of a batch; in the first round, which has all windows
 RATE, EMBED_RATE = 0.01, 0.05
@@ -259,15 +261,22 @@ def train(rows: list[tuple[int, list[bytes]]], steps: int = STEPS, seed: int = 0
             trainer.step([vocabulary[i] for i in met], inverse.reshape(len(own), WORDS), size[own],
                          label[own].astype(np.float32), weights[some])
 
-    each = 1 / np.bincount(text)[text]
-    learn(np.arange(len(text)), each / each.mean(), FIRST_BATCH)
+    learn(np.arange(len(text)), balanced(1 / np.bincount(text)[text], label), FIRST_BATCH)
     until = trainer.steps + steps
     while trainer.steps < until:                                     # each document's highest windows
         chosen = highest(text, _logits(trainer.p, _gates(trainer.p, vocabulary), codes, start, size), label)
-        learn(chosen, np.ones(len(chosen)), BATCH)
+        again = min(until, trainer.steps + PICKED)
+        while trainer.steps < again:
+            learn(chosen, balanced(np.ones(len(chosen)), label[chosen]), BATCH)
     return trainer.p
 
 
+def balanced(weights: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """``weights`` scaled so that either label has half of their sum, and their mean is 1."""
+    total = np.bincount(label, weights, minlength=2)
+    return weights * (len(weights) / (2 * total))[label]
+
+
 def highest(text: np.ndarray, logits: np.ndarray, label: np.ndarray) -> np.ndarray:
     """The windows to learn from: the highest of each toxic text, the CLEAN_WINDOWS highest of each clean one."""
     order = np.lexsort((-logits, text))

@@ -155,3 +155,23 @@ def test_highest_windows_of_each_text():
     got = t.highest(text, logits, label).tolist()
     want = [np.argmax(logits[:100]), *(100 + np.argsort(-logits[100:150])[:t.CLEAN_WINDOWS]), 150]
     assert sorted(got) == sorted(want)
+
+
+def test_both_labels_weigh_the_same():
+    label = np.array([1, 0, 0, 0, 0, 0])
+    got = t.balanced(np.array([3.0, 1, 1, 2, 1, 1]), label)
+    assert np.isclose(got[0], got[1:].sum()) and np.isclose(got.mean(), 1) and np.isclose(got[3], 2 * got[1])
+
+
+def test_loss_weights_scale_the_gradient():
+    words, code, sizes = [b"a", b"b"], np.array([[0], [1]]), np.array([1, 1])
+    one, two = t.Trainer(), t.Trainer()
+    one.step(words, code, sizes, np.array([1.0, 0.0]), np.array([2.0, 0.0]))
+    two.step(words[:1], code[:1], sizes[:1], np.array([1.0]))
+    assert np.allclose(one.m["o"], two.m["o"], atol=1e-7)
+
+
+def test_toxic_accuracy_where_toxic_labels_are_rare(spark, monkeypatch):
+    """sf0.01: 45 toxic documents to learn from, 6 held out."""
+    monkeypatch.setitem(SF, "toxic", "/root/testdata/sf0.01")
+    test_held_out_accuracy(spark, t, "toxic", 5, 0, 0.95)
