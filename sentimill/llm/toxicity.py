@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, fold, slices
 
-WORDS, STRIDE = 32, 24                  # words of a window, and from one window's start to the next
+WORDS, STRIDE = 32, 16                  # words of a window, and from one window's start to the next
 EMBED, HIDDEN, ATTEND = 16, 12, 8
 WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 15
 GRAMS = (3, 5)

@@ -175,3 +175,10 @@ def test_toxic_accuracy_where_toxic_labels_are_rare(spark, monkeypatch):
     """sf0.01: 45 toxic documents to learn from, 6 held out."""
     monkeypatch.setitem(SF, "toxic", "/root/testdata/sf0.01")
     test_held_out_accuracy(spark, t, "toxic", 5, 0, 0.95)
+
+
+def test_a_passage_of_half_a_window_lies_whole_in_one():
+    for n in (20, 33, 49, 100, 500):
+        _, first, size = t.windows(np.array([n]))
+        for at in range(n - t.WORDS // 2 + 1):
+            assert any(a <= at and at + t.WORDS // 2 <= a + k for a, k in zip(first, size))
