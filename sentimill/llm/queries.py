@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, toxicity, vafile, warc
+from . import alignment, exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, toxicity, vafile, warc
 from .common import read
 
 
@@ -48,9 +48,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op4_top_k, op5_mix_sources, op6_toxicity, op7_sentencepiece,
-    op8_warc, op9_quality, op10_exact_dedup)}
+    op8_warc, op9_quality, op10_exact_dedup, op13_token_alignment)}
 
 SQL = {
     "op10_exact_dedup": """
