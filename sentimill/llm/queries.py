@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, toxicity, vafile, warc
+from . import alignment, chat, exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, toxicity, vafile, warc
 from .common import read
 
 
@@ -48,13 +48,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.round_trip(rows.unionByName(chat.planted(spark, rows)))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op4_top_k, op5_mix_sources, op6_toxicity, op7_sentencepiece,
-    op8_warc, op9_quality, op10_exact_dedup, op13_token_alignment)}
+    op8_warc, op9_quality, op10_exact_dedup, op11_chat_format, op13_token_alignment)}
 
 SQL = {
     "op10_exact_dedup": """
@@ -76,6 +81,31 @@ SQL = {
         SELECT query_id, rank::INT AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
         WHERE rank <= 5""",
+    # the default template writes 18 characters around a user's text, 8 around an assistant's, 15 around a system's and
+    # 19 and the role around another's; a text gets a backslash more for each backslash and each control string, and at
+    # an end that could make one with its neighbours (roles are taken to need none)
+    "op11_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r)),
+        controls AS (
+            SELECT ['<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>', '[ROLE]', '[TEXT]', '[/TEXT]'] AS c),
+        marked AS (
+            SELECT *, length(text) + (length(text) - length(replace(text, '', '')))
+                + list_sum([(length(text) - length(replace(text, x, ''))) // length(x) FOR x IN c])
+                + (text <> '' AND (len([x FOR x IN c IF contains(x, text)]) > 0
+                    OR len([x FOR x IN c IF len([n FOR n IN range(1, length(x)) IF starts_with(text, substr(x, n + 1))]) > 0]) > 0))::INT
+                + (len([x FOR x IN c IF len([n FOR n IN range(1, length(x)) IF ends_with(text, substr(x, 1, n))]) > 0]) > 0)::INT
+                AS escaped
+            FROM turns, controls)
+        SELECT conv_id,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(escaped + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 8 WHEN 'system' THEN 15
+                                       ELSE 19 + length(role) END)::BIGINT AS formatted_chars
+        FROM marked GROUP BY conv_id""",
     # base32 of the 160 bits: 5-bit groups cut from pairs of hexadecimal digits
     "op8_warc": """
         WITH payloads AS (
