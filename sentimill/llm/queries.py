@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import alignment, chat, exact_dedup, mixing, pieces, quality, secrets_scan, simhash, token_counts, toxicity, vafile, warc
+from . import alignment, chat, exact_dedup, mixing, negatives, pieces, quality, secrets_scan, simhash, token_counts, toxicity, vafile, warc
 from .common import read
 
 
@@ -53,13 +54,20 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(rows.unionByName(chat.planted(spark, rows)))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_token_counts, op3_secret_scan, op4_top_k, op5_mix_sources, op6_toxicity, op7_sentencepiece,
-    op8_warc, op9_quality, op10_exact_dedup, op11_chat_format, op13_token_alignment)}
+    op8_warc, op9_quality, op10_exact_dedup, op11_chat_format, op12_hard_negatives,
+    op13_token_alignment)}
 
 SQL = {
     "op10_exact_dedup": """
@@ -81,6 +89,29 @@ SQL = {
         SELECT query_id, rank::INT AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
         WHERE rank <= 5""",
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same, list_inner_product(a.vec, c.vec)::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.vec) = len(c.vec)),
+        positives AS (
+            SELECT * FROM (
+                SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+                       row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+                FROM scores WHERE same)
+            WHERE nth <= 5),
+        negatives AS (
+            SELECT anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM positives JOIN scores s USING (anchor_id)
+            WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+        FROM negatives WHERE rank <= 3""",
     # the default template writes 18 characters around a user's text, 8 around an assistant's, 15 around a system's and
     # 19 and the role around another's; a text gets a backslash more for each backslash and each control string, and at
     # an end that could make one with its neighbours (roles are taken to need none)
