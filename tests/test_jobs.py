@@ -8,7 +8,7 @@ from sentimill.plans import catalog
 from sentimill.sources import messages
 from sentimill.streaming import scorer
 
-from conftest import SF_SMALL
+from tables_of_tests import SF_SMALL
 
 
 def _fixtures(spark, scratch):

@@ -8,7 +8,7 @@ from sentimill.operators import model
 from sentimill.plans import catalog
 from sentimill.sources import tables
 
-from conftest import SF_MID
+from tables_of_tests import SF_MID
 
 
 def _loss(spark, weights, labelled, reg):
@@ -67,7 +67,7 @@ def test_fit_is_no_worse_than_plain_sgd(spark):
 
 
 def test_registered_training_query(spark):
-    from conftest import SF_SMALL
+    from tables_of_tests import SF_SMALL
     df = catalog.q_train_sentiment(spark, SF_SMALL)
     assert df.columns == ["term", "idx", "better_than_zero"]
     assert df.count() == catalog.Views(spark, SF_SMALL).vocab.count()

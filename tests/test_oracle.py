@@ -5,7 +5,7 @@ import pytest
 from sentimill.plans import catalog, oracle
 from sentimill.plans.compare import compare
 
-from conftest import SF_MID, SF_SMALL
+from tables_of_tests import SF_MID, SF_SMALL
 
 NAMES = [n for n in catalog.QUERIES if n in oracle.SQL]
 

@@ -7,7 +7,7 @@ from sentimill.operators.position import with_row_index
 from sentimill.plans import catalog
 from sentimill.sources import tables
 
-from conftest import SF_MID, SF_SMALL
+from tables_of_tests import SF_MID, SF_SMALL
 
 
 def test_positive_plus_negative_is_volume(spark):

@@ -7,7 +7,7 @@ from sentimill import session
 from sentimill.operators import counts, model
 from sentimill.sources import lexicon, tables
 
-from conftest import SF_SMALL
+from tables_of_tests import SF_SMALL
 
 
 def _plan(df) -> str:

@@ -9,7 +9,7 @@ from sentimill.plans import catalog
 from sentimill.sources import messages, tables
 from sentimill.streaming import scorer
 
-from conftest import SF_SMALL
+from tables_of_tests import SF_SMALL
 
 
 def _order_files(root: str, pattern: str, key) -> None:
