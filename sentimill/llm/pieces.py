@@ -10,7 +10,9 @@ every batch.
 
 The lattice falls apart where no piece can cross: before white space that
 follows other text, and around control characters.  Each different part of a
-batch is filtered once, and all its occurrences are sampled at once.
+batch is filtered once, in groups of bounded size, and all occurrences of a group's parts are sampled at once.
+A part of over ``LONG`` bytes (text without white space) is filtered alone: it keeps a sum a byte and finds its
+edges again where it is sampled.
 
 Space becomes the piece sign and one is put in front, as the vocabulary expects; a
 piece sign in the text itself is kept as bytes.  So decoding gives back every text,
@@ -35,8 +37,10 @@ from .common import process_cache, slices
 MODEL = "piece_bpe_32k.model"
 ALPHA = 1.0              # 0: all segmentations alike; larger: frequent pieces and fewer of them
 SEED = 7
-SLICE = 4 << 20          # bytes of text segmented together
+SLICE = 2 << 20          # bytes of text segmented together
 RESCALE = 16             # bytes after which the sums are brought back into range
+GROUP = 1 << 17          # bytes of different parts filtered together
+LONG = 512               # bytes of a part that is filtered alone
 SIGN = "▁"
 #: Parts that no piece crosses: spaces with what follows, or one control character.
 PART = re.compile(rb" +[^ \x00-\x1f]*|[^ \x00-\x1f]+|[\x00-\x1f]")
@@ -174,8 +178,11 @@ class Codec:
                 count[at] += 1
             total[bound] = sums
             if depth % RESCALE == 0:                                   # only ratios matter: keep them in range
-                scale = np.where(sums > 0, sums, 1.0)
-                for back in range(min(depth, self.longest) + 1):
+                reach = min(depth, self.longest)
+                scale = total[bound].copy()                            # a sum inside a character is 0, the greatest is not
+                for back in range(1, reach + 1):
+                    np.maximum(scale, total[bound - back], out=scale)
+                for back in range(reach + 1):
                     total[bound - back] /= scale
         stop = np.cumsum(count, dtype=np.int64)
         offset = stop - count
@@ -186,6 +193,61 @@ class Codec:
             piece[to], back[to], before[to] = p, length, share
         return starts, sizes, stop - 1, piece, back, before
 
+    def _views(self) -> None:
+        """The tables as flat views, which Python reads faster one by one."""
+        if not hasattr(self, "_step"):
+            self._step, self._piece = memoryview(self.step.reshape(-1)), memoryview(self.piece)
+            self._likely, self._byte_id = self.likely.tolist(), self.byte_id.tolist()
+
+    def _edges(self, part: bytes, end: int, sums: memoryview, power: memoryview, now: int, covered: bytes) -> list[tuple[int, int, float]]:
+        """(piece, length, weight in units of 2^now) of the edges to ``end``, the shortest first."""
+        out, likely, step, piece_at = [], self._likely, self._step, self._piece
+        if not covered[end - 1]:
+            piece = self._byte_id[part[end - 1]]
+            out.append((piece, 1, sums[end - 1] * 2.0 ** (power[end - 1] - now) * likely[piece]))
+        node, at = 0, end
+        while at and node < self.inner:
+            at -= 1
+            node = step[node << 8 | part[at]]
+            if not node:
+                break
+            piece = piece_at[node]
+            if piece >= 0:
+                out.append((piece, end - at, sums[at] * 2.0 ** (power[at] - now) * likely[piece]))
+        return out
+
+    def _sample_long(self, part: bytes, bases: np.ndarray) -> list[np.ndarray]:
+        """Pieces of each occurrence (by its base) of one long part: 13 bytes a byte are held."""
+        self._views()
+        covered = self._covered(np.frombuffer(part, np.uint8)).tobytes()
+        sums, power = memoryview(np.zeros(len(part) + 1)), memoryview(np.zeros(len(part) + 1, np.int32))
+        sums[0], now = 1.0, 0                                          # a sum is sums[k] * 2^power[k]
+        for end in range(1, len(part) + 1):
+            value = sum([w for _, _, w in self._edges(part, end, sums, power, now, covered)])
+            if 0.0 < value < 2.0 ** -64:
+                now -= 64
+                value *= 2.0 ** 64
+            sums[end], power[end] = value, now
+        out = []
+        for base in bases:
+            drawn, at = [], len(part)
+            while at:
+                turns = np.arange(len(drawn), len(drawn) + 1024).astype(np.uint64) * np.uint64(TURN)
+                for u in _share(base + turns).tolist():
+                    edges = self._edges(part, at, sums, power, power[at], covered)
+                    value, before = sum([w for _, _, w in edges]), 0.0
+                    for k, (_, _, w) in enumerate(edges):              # the last edge whose shorter ones have no more than u
+                        if u < before / value:
+                            k -= 1
+                            break
+                        before += w
+                    drawn.append(edges[k][0])
+                    at -= edges[k][1]
+                    if not at:
+                        break
+            out.append(np.array(drawn[::-1], np.uint16))
+        return out
+
     # ---- backward sampling ------------------------------------------------------------
 
     def encode(self, texts: list[str], keys: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -199,39 +261,69 @@ class Codec:
         if not parts:
             return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
         code, known = pd.factorize(np.array(parts, dtype=object))
-        order = np.argsort([-len(x) for x in known], kind="stable")
-        place_of = np.empty(len(known), np.int64)
-        place_of[order] = np.arange(len(known))
-        low, size, last, piece, back, before = self._filter([known[i] for i in order])
-        code = place_of[code]
+        lengths = np.fromiter(map(len, known), np.int64, len(known))
+        order = np.argsort(-lengths, kind="stable")                    # the longest first
+        rank = np.empty(len(known), np.int64)
+        rank[order] = np.arange(len(known))
         text = np.repeat(np.arange(len(texts)), sizes)
         place = np.arange(len(parts)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         base = _mix(_mix(keys.view(np.uint64) + np.uint64(seed))[text] + place.astype(np.uint64))
+        del parts, place
+        by_part = np.argsort(rank[code], kind="stable")                # occurrences, those of a part together
+        ends_of = np.cumsum(np.bincount(rank[code], minlength=len(known)))
+        steps = np.zeros(len(code), np.int64)
+        drawn: list[tuple[np.ndarray, np.ndarray]] = []                # (occurrences, their pieces one after the other)
+        held = np.cumsum(lengths[order])
+        at = 0
+        while at < len(known):
+            if lengths[order[at]] > LONG:
+                end = at + 1
+            else:
+                end = max(at + 1, int(np.searchsorted(held, held[at] - lengths[order[at]] + GROUP, "right")))
+            who = by_part[ends_of[at - 1] if at else 0:ends_of[end - 1]]
+            group = [known[i] for i in order[at:end]]
+            if lengths[order[at]] > LONG:
+                found = self._sample_long(group[0], base[who])
+                steps[who] = [len(x) for x in found]
+                drawn.append((who, np.concatenate(found)))
+            else:
+                own, steps[who] = self._sample(group, rank[code[who]] - at, base[who])
+                drawn.append((who, own))
+            at = end
+        ends = np.cumsum(steps)
+        out = np.empty(int(ends[-1]), np.int32)
+        for who, own in drawn:
+            n = steps[who]
+            start = np.cumsum(n) - n
+            out[np.repeat(ends[who] - n - start, n) + np.arange(len(own))] = own
+        totals = np.bincount(text, weights=steps, minlength=len(texts)).astype(np.int64)
+        return out, np.cumsum(totals)
+
+    def _sample(self, parts: list[bytes], code: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces, number of pieces) of the occurrences of ``parts`` (longest first), one after the other."""
+        low, size, last, piece, back, before = self._filter(parts)
         low = low[code]
         at = low + size[code] - 1                                      # last byte still to be segmented
-        who = np.arange(len(parts))
-        drawn: list[tuple[np.ndarray, np.ndarray]] = []
-        steps = np.zeros(len(parts), np.int64)
-        turn = 0
+        who = np.arange(len(code))
+        turns: list[tuple[np.ndarray, np.ndarray]] = []
+        steps = np.zeros(len(code), np.int64)
         while len(who):
-            u = (_mix(base[who] + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(40)) * np.float32(2.0 ** -24)
+            u = _share(base[who] + np.uint64(len(turns) * TURN % (1 << 64)))
             edge = last[at]
             open_ = np.flatnonzero(u < before[edge])                   # the longest edge is not the one: shorter ones
             while len(open_):
                 edge[open_] -= 1
                 open_ = open_[u[open_] < before[edge[open_]]]
-            drawn.append((who, piece[edge]))
+            turns.append((who, piece[edge]))
             steps[who] += 1
             at = at - back[edge]
             more = np.flatnonzero(at >= low[who])
             who, at = who[more], at[more]
-            turn += 1
         ends = np.cumsum(steps)
-        out = np.empty(int(ends[-1]), np.int32)
-        for turn, (who, p) in enumerate(drawn):                        # drawn from the end
+        out = np.empty(int(ends[-1]), np.uint16)
+        for turn, (who, p) in enumerate(turns):                        # drawn from the end
             out[ends[who] - 1 - turn] = p
-        totals = np.bincount(text, weights=steps, minlength=len(texts)).astype(np.int64)
-        return out, np.cumsum(totals)
+        return out, steps
 
     def decode(self, ids: list[int]) -> str:
         """The text of a text's pieces: the space in front goes."""
@@ -239,6 +331,14 @@ class Codec:
         return b"".join([table[i] for i in ids])[1:].decode("utf-8", "replace")
 
 
+TURN = 0x9E3779B97F4A7C15
+
+
+def _share(x: np.ndarray) -> np.ndarray:
+    """A number in [0, 1) for each long."""
+    return (_mix(x) >> np.uint64(40)) * np.float32(2.0 ** -24)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)

@@ -16,7 +16,7 @@ def brute(counter, text):
     return len(counter.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-ODD = st.text(alphabet=st.sampled_from(list("aZ9!'. \n\t\r\x0b\x0c\x1c\x1f\x85\xa0 　​éß你🙂<|>") + ["<|endoftext|>", "'re", "  "]), max_size=60)
+ODD = st.lists(st.sampled_from(list("aZ9!'. \n\t\r\x0b\x0c\x1c\x1f\x85\xa0 　​éß你🙂<|>") + ["<|endoftext|>", "'re", "  "]), max_size=60).map("".join)
 
 
 @settings(max_examples=500, deadline=None)
