@@ -1,9 +1,10 @@
-"""The four programs as Spark jobs: train, score (stream), backfill, read.
+"""The four programs as Spark jobs: train, score (stream), backfill, read; and maintain.
 
     spark-submit -m sentimill.jobs train    --labels sample.csv --vocab words.txt --out model/
     spark-submit -m sentimill.jobs score    --messages dir/ --model model/ --out history/
     spark-submit -m sentimill.jobs backfill --tweets tweets.json --model model/ --out backfill/
     spark-submit -m sentimill.jobs read     --history history/ --out report/
+    spark-submit -m sentimill.jobs maintain --history history/ --retain 100
 
 Every job reads and writes through Spark (files in, Parquet out); nothing but
 bounded lists passes through the driver.
@@ -67,7 +68,9 @@ def backfill_job(spark: SparkSession, tweets_path: str, model_dir: str, out: str
     win = backfill.windowed(tweets, cuts)
     weights, _ = model.load_model(spark, model_dir)
     placed = backfill.positioned(tweets, cuts)
-    scores = model.with_sentiment(model.score(placed, ["window_id", "pos", "text"], weights))
+    # scored on small keys; the text comes back with one join, so it travels once
+    scores = model.with_sentiment(model.score(placed, ["window_id", "pos"], weights))
+    scores = placed.select("window_id", "pos", "text").join(scores.select("window_id", "pos", "sentiment"), ["window_id", "pos"])
     backfill.windows(win, tables.origin()).write.mode("overwrite").parquet(f"{out}/windows")
     backfill.window_word_counts(win, _stop(spark, stop_path, topic)) \
         .write.mode("overwrite").parquet(f"{out}/word_count")
@@ -76,16 +79,13 @@ def backfill_job(spark: SparkSession, tweets_path: str, model_dir: str, out: str
 
 def read_job(spark: SparkSession, history_dir: str, out: str | None = None,
              topic: str | None = None) -> dict[str, DataFrame]:
-    """The dashboard's read path over the stored history tables."""
-    words = scorer.read_history(spark, history_dir, scorer.WORDS_TABLE)
-    senti = scorer.read_history(spark, history_dir, scorer.SENTIMENT_TABLE)
-    last = scorer.read_history(spark, history_dir, scorer.LAST_TABLE)
-    batches = scorer.read_history(spark, history_dir, scorer.BATCHES_TABLE).persist()    # a row per batch
+    """The dashboard's read path over the stored history tables: of each the newest batches that have rows in it."""
+    short, long_ = history.SHORT_HISTORY, history.LONG_HISTORY
 
-    def part(table: DataFrame, n: int) -> DataFrame:
-        return history.newest_partitions(table, batches, n)          # only the partitions asked for
+    def part(table: str, n: int) -> DataFrame:
+        return scorer.read_history(spark, history_dir, table, newest=n)
 
-    short, long_ = history.SHORT_HISTORY, history.LONG_HISTORY
+    words, senti, last = scorer.WORDS_TABLE, scorer.SENTIMENT_TABLE, scorer.LAST_TABLE
     report = {
         "latest_words": part(words, 1).select("word", "n"),
         "long_term_words": history.long_term_words(part(words, history.WORD_HISTORY)),
@@ -106,6 +106,14 @@ def read_job(spark: SparkSession, history_dir: str, out: str | None = None,
     return report
 
 
+def maintain_job(spark: SparkSession, history_dir: str, retained: int | None = None) -> None:
+    """Retention in place, then compaction of what was written since the last time."""
+    if retained:
+        for table in scorer.HISTORY_SCHEMAS:
+            scorer.retain(spark, history_dir, table, retained)
+    scorer.compact_history(spark, history_dir)
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="sentimill.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -129,6 +137,9 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--stop")
     b.add_argument("--topic")
     b.add_argument("--out", required=True)
+    m = sub.add_parser("maintain")
+    m.add_argument("--history", required=True)
+    m.add_argument("--retain", type=int, help="batches of each table that stay")
     r = sub.add_parser("read")
     r.add_argument("--history", required=True)
     r.add_argument("--topic")
@@ -144,6 +155,8 @@ def main(argv: list[str] | None = None) -> int:
         q.awaitTermination()
     elif a.job == "backfill":
         backfill_job(spark, a.tweets, a.model, a.out, a.stop, a.topic)
+    elif a.job == "maintain":
+        maintain_job(spark, a.history, a.retain)
     else:
         read_job(spark, a.history, a.out, a.topic)
     return 0

@@ -4,10 +4,9 @@ One streaming query: message values → decode → English, non-empty texts →
 ``foreachBatch``.  Each micro-batch is persisted once and written three ways
 (top words, recent texts, sentiment counts) with the same batch functions the
 batch queries use, under one batch id and one batch time for all three
-tables.  Each table gets the micro-batch as its own
-``batch_date=<date>/batch_id=<epoch>`` folder, written in overwrite mode, and the
-index of batches keeps the time an epoch was given first, so a micro-batch replayed
-after a failure (or past midnight) replaces its earlier output.
+tables.  Each table gets the micro-batch as a folder of its own, and when all are written
+one record in the commit log (``commits``) makes them visible together.  A micro-batch replayed
+after that record is left alone; one replayed before it writes new folders.
 
 ``start_event_time_words`` and ``event_time_counts`` are the event-time twins:
 tumbling windows with a watermark, whose closed windows equal the batch answer
@@ -17,15 +16,20 @@ for any split of the input into micro-batches.
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import parse_twitter_date, words
 from ..operators import counts, history, model
-from ..sources import messages, tables
+from ..operators.position import row_index
+from ..session import written
+from ..sources import files, messages, tables
+from .commits import CommitLog
 
 BATCH_SECONDS = 1
 MESSAGE_SCHEMA = T.StructType([
@@ -37,7 +41,7 @@ WORDS_TABLE = "word_count"
 TEXTS_TABLE = "recent_texts"
 LAST_TABLE = "last_text"
 SENTIMENT_TABLE = "sentiment"
-BATCHES_TABLE = "batches"          # the index: one row per batch
+BATCHES_TABLE = "batches"          # from the commit log: one row per batch
 ARRIVAL = ("arrived", "part")      # what orders messages before their key, where the source has it
 
 
@@ -76,19 +80,13 @@ class HistorySink:
         self.top_k = top_k
         self.recent = recent
 
-    def _write(self, df: DataFrame, table: str, stamp: dt.datetime, epoch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.out_dir}/{table}/batch_date={stamp.date()}/batch_id={epoch_id}")
-
-    def _stamp(self, spark: SparkSession, epoch_id: int) -> dt.datetime:
-        """The batch time of an epoch: the one the index has, else now (and the index gets it)."""
-        path = f"{self.out_dir}/{BATCHES_TABLE}/batch_id={epoch_id}"
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        if target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target):
-            return spark.read.parquet(path).first()["batch_start"]
-        stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        (spark.range(1).select(F.lit(stamp).cast("timestamp_ntz").alias("batch_start"))
-         .write.mode("overwrite").parquet(path))
-        return stamp
+    def _write(self, df: DataFrame, table: str, stamp: dt.datetime, epoch_id: int) -> tuple[str, int]:
+        """(folder under the history, rows): counted while they are written."""
+        path = f"{table}/batch_date={stamp.date()}/batch_id={epoch_id}-{uuid.uuid4().hex}"
+        seen = Observation()
+        (df.withColumn("batch_date", F.lit(stamp.date())).observe(seen, F.count(F.lit(1)).alias("n"))
+         .write.parquet(f"{self.out_dir}/{path}"))
+        return path, seen.get["n"]
 
     def outputs(self, batch: DataFrame) -> dict[str, DataFrame]:
         """The per-batch results; ``batch`` carries ``batch_id`` and ``batch_start`` columns."""
@@ -104,15 +102,23 @@ class HistorySink:
         return {WORDS_TABLE: top, TEXTS_TABLE: recent, LAST_TABLE: last, SENTIMENT_TABLE: senti}
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
+        spark = batch_df.sparkSession
+        log = CommitLog(spark, self.out_dir)
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if log.committed(epoch_id, query):                             # replayed after its commit
+            return
         batch_df.persist()
         try:
             if batch_df.isEmpty():       # an empty micro-batch writes no rows
                 return
-            stamp = self._stamp(batch_df.sparkSession, epoch_id)       # one time for all tables
+            stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)     # one time for all tables
             batch = (batch_df.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
                      .withColumn("batch_start", F.lit(stamp).cast("timestamp_ntz")))
-            for table, df in self.outputs(batch).items():
-                self._write(df.drop("batch_id"), table, stamp, epoch_id)
+            parts = {table: self._write(df, table, stamp, epoch_id) for table, df in self.outputs(batch).items()}
+            for path, rows in parts.values():
+                if not rows:
+                    log.delete(f"{self.out_dir}/{path}")
+            log.commit(epoch_id, stamp, {t: p for t, p in parts.items() if p[1]}, query)
         finally:
             batch_df.unpersist()
 
@@ -142,35 +148,36 @@ HISTORY_SCHEMAS = {
     SENTIMENT_TABLE: "batch_start timestamp_ntz, positive bigint, negative bigint, volume bigint, "
                      "batch_date date, batch_id bigint",
 }
-BATCHES_SCHEMA = "batch_start timestamp_ntz, batch_id bigint"
 
 
 def reset_history(spark: SparkSession, out_dir: str) -> None:
-    """Drop and re-create the history tables: empty, with their fixed schemas."""
-    for table, schema in HISTORY_SCHEMAS.items():
-        (spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("batch_date", "batch_id")
-         .parquet(f"{out_dir.rstrip('/')}/{table}"))
-    (spark.createDataFrame([], BATCHES_SCHEMA).write.mode("overwrite").partitionBy("batch_id")
-     .parquet(f"{out_dir.rstrip('/')}/{BATCHES_TABLE}"))
+    """Drop and re-create the history: no batch is visible, then the tables' files go."""
+    log = CommitLog(spark, out_dir)
+    log.drop()
+    for table in HISTORY_SCHEMAS:
+        log.delete(f"{log.out_dir}/{table}")
 
 
-def read_history(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    """A history table, read with its fixed schema (so an empty table reads too)."""
-    schema = BATCHES_SCHEMA if table == BATCHES_TABLE else HISTORY_SCHEMAS[table]
-    return spark.read.schema(schema).parquet(f"{out_dir.rstrip('/')}/{table}")
+def read_history(spark: SparkSession, out_dir: str, table: str, newest: int | None = None) -> DataFrame:
+    """The committed rows of a history table, with its fixed schema (so an empty table reads too).
 
+    ``newest``: of the newest so many batches that have rows in this table; only their folders are read.
+    """
+    log = CommitLog(spark, out_dir)
+    if table == BATCHES_TABLE:
+        return log.batches()
+    return log.read(table, HISTORY_SCHEMAS[table], None if newest is None else log.newest(table, newest))
 
-def retain(spark: SparkSession, out_dir: str, table: str, dest_dir: str,
-           n: int = history.RETAINED_BATCHES) -> DataFrame:
-    """Retention: write the rows of the n newest batches of a history table to ``dest_dir``.
 
-    A table cannot be overwritten while it is read, so the retained copy goes to
-    a new folder (the caller swaps folders).  Returns the retained table.
-    """
-    batches = read_history(spark, out_dir, BATCHES_TABLE)
-    kept = history.newest_partitions(read_history(spark, out_dir, table), batches, n)
-    kept.write.mode("overwrite").partitionBy("batch_date", "batch_id").parquet(f"{dest_dir.rstrip('/')}/{table}")
-    return read_history(spark, dest_dir, table)
+def compact_history(spark: SparkSession, out_dir: str) -> int:
+    """Merge the batches written since the last time into one file set per table and day."""
+    return CommitLog(spark, out_dir).compact(HISTORY_SCHEMAS)
+
+
+def retain(spark: SparkSession, out_dir: str, table: str, n: int = history.RETAINED_BATCHES) -> None:
+    """Retention in place: the newest n batches of a table stay; older ones are hidden at once, and their
+    files go with the next retention, compaction or vacuum."""
+    CommitLog(spark, out_dir).retain(table, n)
 
 
 def console_predictions(values: DataFrame, weights: DataFrame, checkpoint: str, seq_col: str = "key",

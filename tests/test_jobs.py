@@ -60,7 +60,7 @@ def test_job_cli_parses(spark, scratch):
         jobs.main(["nonsense"])
 
 
-def test_history_point_get_prunes_partitions(spark, scratch):
+def test_history_point_get_reads_its_folder_only(spark, scratch):
     from sentimill.operators import history
     v = catalog.Views(spark, SF_SMALL)
     hist = f"{scratch}/h"
@@ -68,15 +68,28 @@ def test_history_point_get_prunes_partitions(spark, scratch):
     for epoch, b in enumerate(range(4)):
         sink(scorer.incoming_tweets(messages.encode_messages(v.tweets.filter(F.col("batch_id") == b))), epoch)
     words = scorer.read_history(spark, hist, scorer.WORDS_TABLE)
-    got = history.newest_partitions(words, scorer.read_history(spark, hist, scorer.BATCHES_TABLE), 1)
+    got = scorer.read_history(spark, hist, scorer.WORDS_TABLE, newest=1)
+    assert len({f.rsplit("/", 1)[0] for f in words.inputFiles()}) == 4
+    assert all("/batch_id=3-" in f for f in got.inputFiles())
+    want = history.latest(words)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_newest_partitions_prunes(spark, scratch):
+    """The same on any table partitioned by date and batch."""
     import re
+    from sentimill.operators import history
+    rows = spark.sql("SELECT id AS n, id div 3 AS batch_id, date'2024-01-01' AS batch_date FROM range(12)")
+    rows.write.partitionBy("batch_date", "batch_id").parquet(f"{scratch}/t")
+    table = spark.read.parquet(f"{scratch}/t")
+    index = spark.sql("SELECT id AS batch_id, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS batch_start FROM range(4)")
+    got = history.newest_partitions(table, index, 1)
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = got._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    assert filters and re.search(r"batch_date#\d+ = 2.*batch_id#\d+L = 3\)", filters[0]), filters   # only the newest partition
-    want = history.latest(words)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert filters and re.search(r"batch_date#\d+ = 2.*batch_id#\d+ = 3\)", filters[0]), filters
+    assert sorted(r["n"] for r in got.collect()) == [9, 10, 11]
 
 
 def _messages(spark, path, first, last):

@@ -75,7 +75,7 @@ def test_scorer_stream_equals_batch_queries(spark, scratch):
     assert stamps.count() == 0
 
 
-def test_replayed_epoch_overwrites_its_output(spark, scratch):
+def test_replayed_epoch_is_not_doubled(spark, scratch):
     v = catalog.Views(spark, SF_SMALL)
     sink = scorer.HistorySink(f"{scratch}/h", catalog.written(v.weights), v.stop)
     batch = scorer.incoming_tweets(messages.encode_messages(v.tweets.filter("batch_id = 3")))
@@ -120,7 +120,8 @@ def test_reset_and_retention(spark, scratch):
     sink = scorer.HistorySink(out, catalog.written(v.weights), v.stop)
     for epoch, b in enumerate([1, 2, 3, 4]):
         sink(scorer.incoming_tweets(messages.encode_messages(v.tweets.filter(F.col("batch_id") == b))), epoch)
-    kept = scorer.retain(spark, out, scorer.SENTIMENT_TABLE, f"{scratch}/kept", n=2)
+    scorer.retain(spark, out, scorer.SENTIMENT_TABLE, n=2)
+    kept = scorer.read_history(spark, out, scorer.SENTIMENT_TABLE)
     assert sorted(r[0] for r in kept.select("batch_id").collect()) == [2, 3]
     words = scorer.read_history(spark, out, scorer.WORDS_TABLE)
     assert set(words.columns) == {"batch_start", "word", "n", "rank", "batch_date", "batch_id"}
