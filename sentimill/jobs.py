@@ -1,7 +1,8 @@
-"""The four programs as Spark jobs: train, score (stream), backfill, read; and maintain.
+"""The four programs as Spark jobs: train, score (stream), backfill, read; capture and maintain.
 
     spark-submit -m sentimill.jobs train    --labels sample.csv --vocab words.txt --out model/
     spark-submit -m sentimill.jobs score    --messages dir/ --model model/ --out history/
+    spark-submit -m sentimill.jobs capture  --messages dir/ --subjects "one,two words" --count 100 --out captured/
     spark-submit -m sentimill.jobs backfill --tweets tweets.json --model model/ --out backfill/
     spark-submit -m sentimill.jobs read     --history history/ --out report/
     spark-submit -m sentimill.jobs maintain --history history/ --retain 100
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .operators import backfill, history, model
 from .session import checkpoint_dir, written
 from .sources import files, lexicon, messages, tables
-from .streaming import scorer
+from .streaming import replay, scorer
 
 
 def _stop(spark: SparkSession, path: str | None, topic: str | None = None) -> DataFrame:
@@ -29,22 +30,45 @@ def _stop(spark: SparkSession, path: str | None, topic: str | None = None) -> Da
 
 
 def train_job(spark: SparkSession, labels_csv: str, vocab_path: str, out: str,
-              stop_path: str | None = None, max_iter: int = 100) -> DataFrame:
-    """Labelled CSV + common-word list → model (weights by term, intercept) in ``out``."""
+              stop_path: str | None = None, max_iter: int = 100, json_out: str | None = None) -> DataFrame:
+    """Labelled CSV + common-word list → model (weights by term, intercept) in ``out``, and as JSON if asked."""
     labelled = files.read_labelled_csv(spark, labels_csv).withColumn(
         "doc_id", F.monotonically_increasing_id())   # row key only; never used for order
     common = lexicon.read_common_words(spark, vocab_path)
     vocab = lexicon.vocabulary(common, lexicon.stop_words_kept(spark, path=stop_path))
     weights, intercept = model.fit_logistic(model.training_rows(labelled), vocab, max_iter=max_iter)
     model.save_model(weights, intercept, out)
+    if json_out:
+        model.save_json_model(weights, intercept, json_out)
     return weights
 
 
+def load_any_model(spark: SparkSession, model_path: str, vocab_path: str | None = None, stop_path: str | None = None) -> DataFrame:
+    """Weights by term of a stored model; with a vocabulary file, of one in JSON, whose weights follow the vocabulary."""
+    if vocab_path is None:
+        return model.load_model(spark, model_path)[0]
+    common = lexicon.read_common_words(spark, vocab_path)
+    vocab = lexicon.vocabulary(common, lexicon.stop_words_kept(spark, path=stop_path))
+    return model.load_json_model(spark, model_path, vocab)[0]
+
+
+def capture_job(spark: SparkSession, out: str, n: int, messages_path: str | None = None, kafka: str | None = None,
+                topic: str | None = None, subjects: str | None = None, once: bool = False) -> int:
+    """Capture the first n messages (about any of the comma-separated subjects, all words of one), then stop."""
+    if kafka:
+        values = messages.kafka_values(messages.kafka_stream(spark, kafka, topic or "tweets"))
+    else:
+        values = scorer.replay_files(spark, messages_path)
+    if subjects:
+        values = messages.about(values, subjects)
+    return replay.capture(values, out, n, trigger={"availableNow": True} if once else None)
+
+
 def score_job(spark: SparkSession, messages_path: str, model_dir: str, out: str,
               stop_path: str | None = None, kafka: str | None = None, topic: str | None = None,
-              once: bool = False, checkpoint: str | None = None):
+              once: bool = False, checkpoint: str | None = None, vocab_path: str | None = None):
     """Start the live scorer on a Kafka topic or on a folder of message files."""
-    weights, _ = model.load_model(spark, model_dir)
+    weights = load_any_model(spark, model_dir, vocab_path, stop_path)
     if kafka:
         values = messages.kafka_values(messages.kafka_stream(spark, kafka, topic or "tweets"))
     else:
@@ -122,6 +146,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--vocab", required=True)
     t.add_argument("--stop")
     t.add_argument("--out", required=True)
+    t.add_argument("--json", help="also write the model as JSON here")
     s = sub.add_parser("score")
     s.add_argument("--messages")
     s.add_argument("--kafka")
@@ -131,6 +156,15 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--once", action="store_true")
     s.add_argument("--checkpoint")
+    s.add_argument("--vocab", help="the model is JSON, with weights in the order of this vocabulary")
+    c = sub.add_parser("capture")
+    c.add_argument("--messages")
+    c.add_argument("--kafka")
+    c.add_argument("--topic")
+    c.add_argument("--subjects")
+    c.add_argument("--count", type=int, default=100)
+    c.add_argument("--out", required=True)
+    c.add_argument("--once", action="store_true")
     b = sub.add_parser("backfill")
     b.add_argument("--tweets", required=True)
     b.add_argument("--model", required=True)
@@ -149,10 +183,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"sentimill-{a.job}").getOrCreate()
     checkpoint_dir(spark)
     if a.job == "train":
-        train_job(spark, a.labels, a.vocab, a.out, a.stop)
+        train_job(spark, a.labels, a.vocab, a.out, a.stop, json_out=a.json)
     elif a.job == "score":
-        q = score_job(spark, a.messages, a.model, a.out, a.stop, a.kafka, a.topic, a.once, a.checkpoint)
+        q = score_job(spark, a.messages, a.model, a.out, a.stop, a.kafka, a.topic, a.once, a.checkpoint, a.vocab)
         q.awaitTermination()
+    elif a.job == "capture":
+        capture_job(spark, a.out, a.count, a.messages, a.kafka, a.topic, a.subjects, a.once)
     elif a.job == "backfill":
         backfill_job(spark, a.tweets, a.model, a.out, a.stop, a.topic)
     elif a.job == "maintain":

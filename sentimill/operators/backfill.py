@@ -107,3 +107,20 @@ def tweet_rows(win_scored: DataFrame) -> DataFrame:
         "text",
         F.col("sentiment").alias("score"),
         (F.col("sentiment") > 0).cast("int").alias("label"))
+
+
+def window_cells(wins: DataFrame, word_rows: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row_key, qualifier, value) of the windows' wide rows: time, words and, for every tweet, text, score and label.
+
+    ``wins``: ``windows``; ``word_rows``: ``window_word_counts``; ``rows``: ``tweet_rows``.
+    """
+    key = F.col("window_id").cast("string").alias("row_key")
+    time = wins.select(key, F.lit("metadata:datetime").alias("qualifier"),
+                       F.date_format("window_time", "yyyy-MM-dd HH:mm:ss").alias("value"))
+    words_ = word_rows.select(key, F.concat(F.lit("word_count:"), "word").alias("qualifier"), F.col("n").cast("string").alias("value"))
+    tweets = rows.select(key, F.explode(F.array(
+        F.struct(F.concat(F.lit("tweet_text:"), "slot").alias("qualifier"), F.col("text").alias("value")),
+        F.struct(F.concat(F.lit("predictions:"), "slot", F.lit("_score")).alias("qualifier"), F.col("score").cast("string").alias("value")),
+        F.struct(F.concat(F.lit("predictions:"), "slot", F.lit("_label")).alias("qualifier"), F.col("label").cast("string").alias("value")),
+    )).alias("cell")).select("row_key", "cell.qualifier", "cell.value")
+    return time.unionByName(words_).unionByName(tweets)

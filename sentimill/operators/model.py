@@ -122,3 +122,29 @@ def load_model(spark, path: str):
     weights = spark.read.parquet(f"{path}/weights")
     intercept = spark.read.parquet(f"{path}/intercept").first()["intercept"]
     return weights, intercept
+
+
+JSON_MODEL = "weights array<double>, intercept double"
+
+
+def save_json_model(weights: DataFrame, intercept: float, path: str) -> None:
+    """One JSON object ``{"weights": [...], "intercept": x}``, the weights in the order of the vocabulary index.
+
+    A dense model is one row by its nature: a double per vocabulary term.
+    """
+    ordered = weights.agg(F.transform(F.sort_array(F.collect_list(F.struct("idx", "weight"))), lambda w: w["weight"]).alias("weights"))
+    ordered.select("weights", F.lit(float(intercept)).alias("intercept")).coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_json_model(spark, path: str, vocab: DataFrame) -> tuple[DataFrame, float]:
+    """(weights by term, intercept) of such a file: positions are joined with the vocabulary's index (term, idx).
+
+    The array never passes through the driver.  A model of another vocabulary size raises.
+    """
+    stored = spark.read.schema(JSON_MODEL).option("multiLine", True).json(path)
+    size, intercept = stored.select(F.size("weights"), "intercept").first()
+    terms = vocab.count()
+    if size != terms:
+        raise ValueError(f"the model has {size} weights and the vocabulary {terms} terms")
+    at = stored.select(F.posexplode("weights").alias("idx", "weight"))
+    return vocab.select("term", "idx").join(at, "idx").select("term", "idx", "weight"), float(intercept or 0.0)

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from ..functions import shape
 from ..functions.text import WORD_PATTERN, clean_text, tweet_tokens, words
-from ..operators import backfill, clouds, counts, history, model, sizing
+from ..operators import backfill, clouds, counts, history, model, sizing, wide
+from ..session import folder
 from ..session import written as stored
 from ..sources import lexicon, messages, tables
 
 # --- Parameters of the registered queries (stand-ins, see FIXTURES.md). -------
 TOPIC = "the"                 # word dropped from the clouds, added to the backfill stop list
 TRACK_SUBJECTS = "worthless,excellent,good,bad"
+TRACK_TERM_SETS = "the excellent,is worthless, Good  And ,awful,of not and"
 CAPTURE_N = 100
 EVENT_WINDOW = "1 second"     # the reference's micro-batch length
 COMMON_WORDS = 500            # stand-in for the common-word file: the most frequent tokens
@@ -229,6 +231,13 @@ def q_track_subjects(spark, sf_dir):
     return messages.track(with_tokens, TRACK_SUBJECTS).select("doc_id", "batch_id", "author")
 
 
+def q_track_term_sets(spark, sf_dir):
+    """Subjects of several words: which English tweet has all words of which subject."""
+    v = _v(spark, sf_dir)
+    docs = v.english.select("doc_id", tweet_tokens("text").alias("tokens"))
+    return messages.track_subjects(docs, messages.split_subjects(spark, TRACK_TERM_SETS))
+
+
 def q_capture_first_n(spark, sf_dir):
     v = _v(spark, sf_dir)
     return messages.encode_messages(messages.capture_first_n(v.tweets, CAPTURE_N))
@@ -270,6 +279,16 @@ def q_wide_word_rows(spark, sf_dir):
     return counts.cells(wide, "batch_id")
 
 
+def q_stored_word_rows(spark, sf_dir):
+    """Top words of every batch put as stored wide rows, read back as cells."""
+    v = _v(spark, sf_dir)
+    top = v.top_by_batch(v.stop)
+    path = folder(spark, "wide-words")
+    wide.put(top.select(F.col("batch_id").cast("string").alias("row_key"), F.concat(F.lit("word_count:"), "word").alias("qualifier"),
+                        F.col("n").cast("string").alias("value")), path)
+    return wide.read_cells(wide.read_table(spark, path))
+
+
 def q_latest_word_count(spark, sf_dir):
     v = _v(spark, sf_dir)
     return history.latest(v.recent_top(v.stop, 1)).select("batch_id", "word", "n", "rank")
@@ -427,6 +446,20 @@ def q_window_text(spark, sf_dir):
     return backfill.window_pieces(backfill.positioned(v.keyed, v.cuts))
 
 
+def q_backfill_wide_rows(spark, sf_dir):
+    """The windows' wide rows (time, words, text and label of every tweet), stored in shards and read back as cells."""
+    v = _v(spark, sf_dir)
+    stop = lexicon.stop_words(spark, topic=TOPIC)
+    win = backfill.windowed(v.keyed, v.cuts)
+    cells = backfill.window_cells(backfill.windows(win, tables.origin()), backfill.window_word_counts(win, stop),
+                                  q_backfill_tweet_rows(spark, sf_dir))
+    path = folder(spark, "wide-windows")
+    wide.put(cells, path)
+    found = wide.read_cells(wide.read_table(spark, path))
+    # doubles print unlike elsewhere (backfill_tweet_rows has them as numbers)
+    return found.filter(~(F.startswith("qualifier", F.lit("predictions:")) & F.endswith("qualifier", F.lit("_score"))))
+
+
 # ---- event-time batches --------------------------------------------------------------
 
 def q_events_tumbling(spark, sf_dir):
@@ -447,6 +480,9 @@ QUERIES = {
     "word_count_by_batch": q_word_count_by_batch,
     "top_words_by_batch": q_top_words_by_batch,
     "wide_word_rows": q_wide_word_rows,
+    "stored_word_rows": q_stored_word_rows,
+    "backfill_wide_rows": q_backfill_wide_rows,
+    "track_term_sets": q_track_term_sets,
     "latest_word_count": q_latest_word_count,
     "long_term_word_count": q_long_term_word_count,
     "retain_latest": q_retain_latest,

@@ -207,6 +207,8 @@ SQL: dict[str, str] = {
                                 "FROM top", ("top",)),
     "wide_word_rows": _with("SELECT batch_id, 'word_count:' || word AS qualifier, CAST(n AS VARCHAR) "
                             "AS value FROM top", ("top",)),
+    "stored_word_rows": _with("SELECT CAST(batch_id AS VARCHAR) AS row_key, 'word_count:' || word AS qualifier, "
+                              "CAST(n AS VARCHAR) AS value FROM top", ("top",)),
     "latest_word_count": _with("SELECT batch_id, word, n, CAST(rank AS INTEGER) AS rank FROM top "
                                "WHERE batch_id = (SELECT max(batch_id) FROM top)", ("top",)),
     "long_term_word_count": _with("SELECT word, n FROM long_top", ("long_top",)),
@@ -275,10 +277,27 @@ SQL: dict[str, str] = {
         "CASE WHEN s.n_tokens > 0 THEN s.score / s.n_tokens ELSE 0.0 END AS score, "
         "CAST(CASE WHEN s.n_tokens > 0 THEN s.score / s.n_tokens ELSE 0.0 END > 0 AS INTEGER) AS label "
         "FROM win w JOIN allscore s ON w.doc_id = s.doc_id", ("win", "allscore")),
+    "backfill_wide_rows": _with(
+        "SELECT CAST(window_id AS VARCHAR) AS row_key, qualifier, value FROM ("
+        "SELECT DISTINCT window_id, 'metadata:datetime' AS qualifier, strftime(" + ORIGIN + " + to_seconds(window_id * "
+        + str(backfill.WINDOW_SECONDS) + "), '%Y-%m-%d %H:%M:%S') AS value FROM win "
+        "UNION ALL SELECT window_id, 'word_count:' || word, CAST(n AS VARCHAR) FROM (SELECT window_id, word, n, "
+        "row_number() OVER (PARTITION BY window_id ORDER BY n DESC, word) AS rank FROM ("
+        "SELECT window_id, word, count(*) AS n FROM (SELECT window_id, unnest(" + _words("text")
+        + ") AS word FROM win) WHERE word NOT IN " + STOP_TOPIC + " GROUP BY window_id, word)) "
+        "WHERE rank <= " + str(counts.TOP_WORDS)
+        + " UNION ALL SELECT window_id, 'tweet_text:tweet_' || CAST(pos AS VARCHAR), text FROM win "
+        "UNION ALL SELECT w.window_id, 'predictions:tweet_' || CAST(w.pos AS VARCHAR) || '_label', "
+        "CAST(CAST(CASE WHEN s.n_tokens > 0 THEN s.score / s.n_tokens ELSE 0.0 END > 0 AS INTEGER) AS VARCHAR) "
+        "FROM win w JOIN allscore s ON w.doc_id = s.doc_id)", ("win", "allscore")),
     "window_text": _with("SELECT window_id, pos, ' ' || lower(text) AS piece FROM win", ("win",)),
     "track_subjects": _with("SELECT doc_id, batch_id, author FROM en WHERE list_has_any("
                             + _words(_clean("text")) + ", string_split(lower(" + _q(catalog.TRACK_SUBJECTS)
                             + "), ','))", ("en",)),
+    "track_term_sets": _with(
+        "SELECT DISTINCT doc_id, subject FROM (SELECT doc_id, " + _words(_clean("text")) + " AS tokens FROM en) JOIN ("
+        "SELECT lower(trim(unnest(string_split(" + _q(catalog.TRACK_TERM_SETS) + ", ',')))) AS subject) "
+        "ON list_has_all(tokens, regexp_split_to_array(subject, '\\s+'))", ("en",)),
     "capture_first_n": _with("SELECT doc_id AS key, " + _tweet_json("tw") + " AS value FROM tw "
                              "ORDER BY doc_id LIMIT " + str(catalog.CAPTURE_N), ("tw",)),
     "encode_messages": _with("SELECT doc_id AS key, " + _tweet_json("tw") + " AS value FROM tw", ("tw",)),

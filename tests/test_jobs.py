@@ -139,3 +139,18 @@ def test_read_cli_end_to_end(spark, scratch):
     assert jobs.main(["read", "--history", hist, "--out", f"{scratch}/r", "--topic", "the"]) == 0
     assert spark.read.parquet(f"{scratch}/r/history_short").count() == 3
     assert spark.read.parquet(f"{scratch}/r/latest_words").filter("word = 'the'").count() == 0
+
+
+def test_capture_and_json_model_cli(spark, scratch):
+    v, csv, vocab = _fixtures(spark, scratch)
+    assert jobs.main(["train", "--labels", csv, "--vocab", vocab, "--out", f"{scratch}/model", "--json", f"{scratch}/model.json"]) == 0
+    want = model.load_model(spark, f"{scratch}/model")[0].select("term", "weight")
+    got = jobs.load_any_model(spark, f"{scratch}/model.json", vocab).select("term", "weight")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    _messages(spark, f"{scratch}/m", 0, 9)
+    word = v.common.first()["term"]
+    assert jobs.main(["capture", "--messages", f"{scratch}/m", "--subjects", f"{word},no such words", "--count", "3", "--once",
+                      "--out", f"{scratch}/c"]) == 0
+    from sentimill.streaming import replay
+    rows = replay.read_capture(spark, f"{scratch}/c").collect()
+    assert len(rows) == 3 and all(word in r["value"].lower() for r in rows)
