@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,8 @@ from .common import HOT_SHARE, documents, forget, join_spread, process_cache, sl
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SIGN = "▁"
 SLICE = 2 << 20              # bytes of text aligned together
-KNOWN_BYTES = 48 << 20       # of units and their alignments that a worker remembers
+KNOWN = 250_000              # units that a worker remembers (the first ones it meets hold the frequent ones) ...
+KNOWN_CHARS = 64             # ... if they have at most so many characters
 ENCODED = 1 << 14            # different units encoded in one call
 MOST_PAIRS = 1 << 20         # pairs whose counts are broadcast
 HELD_PAIRS = 1 << 21         # different pairs that a task sums before it passes them on
@@ -61,24 +63,6 @@ def byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def align(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """Groups of the tokens of one text, cut wherever a token of either side ends; the bytes are equal."""
-    out = []
-    i = j = from_a = from_b = 0
-    ahead = 0                                              # bytes that A has spelt beyond B
-    while i < len(a) or j < len(b):
-        if ahead <= 0:
-            ahead += len(bytes_a[a[i]])
-            i += 1
-        else:
-            ahead -= len(bytes_b[b[j]])
-            j += 1
-        if ahead == 0:
-            out.append((a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-    return out
-
-
 class Aligner:
     """Both vocabularies, and what a worker has learnt about units."""
 
@@ -103,63 +87,89 @@ class Aligner:
             if re.search(f"[^{SIGN}]{SIGN}", piece):
                 raise ValueError(f"a piece crosses the start of a unit: {piece!r}")
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SIGN, " ").encode())
-        self.link = np.uint32 if len(self.bytes_a) * self.size_b < 1 << 32 else np.uint64
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}                   # of each unit, into the lists below
-        self.counts: list[tuple[int, int, int]] = []       # tokens of A, of B, links
+        self.size_a = len(self.bytes_a)
+        self.wide = self.size_a * self.size_b >= 1 << 32               # a link takes 8 bytes, not 4
+        self.names = [str(i) for i in range(max(self.size_a, self.size_b))]
+        self.lengths_a, self.lengths_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.number: dict[str, int] = {}                   # of each known unit, into the lists below
+        self.tokens_a: list[int] = []                      # how many
+        self.tokens_b: list[int] = []
         self.groups: list[bytes] = []
         self.links: list[bytes] = []
         self.wrong: set[int] = set()                       # units whose tokens spell other bytes
-        self.held = 0
 
     def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Tokens of texts that begin with a space, by A and by B."""
         return ([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)],
                 self.b.encode([t[1:] for t in texts], num_threads=1))
 
-    def _result(self, groups: list[tuple[list[int], list[int]]]) -> tuple[tuple[int, int, int], bytes, bytes]:
-        line = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups])
-        links = np.array([x[-1] * self.size_b + y[-1] for x, y in groups], self.link)
-        return (sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups)), line.encode(), links.tobytes()
+    def align(self, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
+        """(groups as text, links) of the tokens of one text, cut wherever a token of either side ends; the bytes are equal."""
+        names, lengths_a, lengths_b, size_b = self.names, self.lengths_a, self.lengths_b, self.size_b
+        groups, links = [], []
+        j = from_a = from_b = ahead = 0                    # bytes that A has spelt beyond B
+        for i, x in enumerate(a, 1):
+            ahead += lengths_a[x]
+            while ahead > 0:
+                ahead -= lengths_b[b[j]]
+                j += 1
+            if not ahead:
+                y = b[j - 1]
+                links.append(x * size_b + y)
+                if i - from_a == 1 and j - from_b == 1:
+                    groups.append(names[x] + "|" + names[y])
+                else:
+                    groups.append(",".join([names[k] for k in a[from_a:i]]) + "|" + ",".join([names[k] for k in b[from_b:j]]))
+                from_a, from_b = i, j
+        return ";".join(groups).encode(), array("Q" if self.wide else "I", links).tobytes()
 
     def _learn(self, units: list[str]) -> None:
+        """Append the units' alignments to the lists, and name them."""
+        bytes_a, bytes_b = self.bytes_a, self.bytes_b
         for at in range(0, len(units), ENCODED):
             some = units[at:at + ENCODED]
             for unit, a, b in zip(some, *self.tokens(some)):
-                data, no = unit.encode(), len(self.counts)
-                spelt = (b"".join([self.bytes_a[i] for i in a]), b"".join([self.bytes_b[i] for i in b]))
-                if spelt == (data, data):
-                    counts, groups, links = self._result(align(a, b, self.bytes_a, self.bytes_b))
+                data, no = unit.encode(), len(self.groups)
+                groups = links = b""
+                if b"".join([bytes_a[i] for i in a]) == data == b"".join([bytes_b[i] for i in b]):
+                    groups, links = self.align(a, b)
                 else:
-                    counts, groups, links = (0, 0, 0), b"", b""
                     self.wrong.add(no)
                 self.number[unit] = no
-                self.counts.append(counts)
+                self.tokens_a.append(len(a))
+                self.tokens_b.append(len(b))
                 self.groups.append(groups)
                 self.links.append(links)
-                self.held += len(data) + len(groups) + len(links) + 400
 
     def texts(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
         """(tokens of A, of B, groups, digest of the groups, links) of each text."""
-        if self.held > KNOWN_BYTES:
-            self._forget()
         units = [UNIT.findall(" " + t) if t else [] for t in texts]
         new = set().union(*units).difference(self.number)
-        self._learn(sorted(new))
-        counts = np.array(self.counts or [(0, 0, 0)], np.int64)
+        short = sorted(u for u in new if len(u) <= KNOWN_CHARS)
+        stay = max(0, KNOWN - len(self.number))
+        passing = [*short[stay:], *(u for u in new if len(u) > KNOWN_CHARS)]
+        self._learn(short[:stay])
+        known = len(self.groups)
+        self._learn(passing)
+        tokens = np.array([self.tokens_a, self.tokens_b], np.int64)
+        number, groups, links = self.number, self.groups, self.links
         out = []
         for text, own in zip(texts, units):
-            at = [self.number[u] for u in own]
+            at = [number[u] for u in own]
             if not at:
                 out.append((0, 0, 0, "", b""))
-            elif not self.wrong.isdisjoint(at):
+            elif self.wrong and not self.wrong.isdisjoint(at):
                 out.append(self._whole(" " + text))
             else:
-                n_a, n_b, n = counts[at].sum(axis=0).tolist()
-                line = b";".join([self.groups[i] for i in at])
-                out.append((n_a, n_b, n, hashlib.sha256(line).hexdigest(), b"".join([self.links[i] for i in at])))
+                n_a, n_b = tokens[:, at].sum(axis=1).tolist()
+                held = b"".join([links[i] for i in at])
+                digest = hashlib.sha256(b";".join([groups[i] for i in at])).hexdigest()
+                out.append((n_a, n_b, len(held) >> (3 if self.wide else 2), digest, held))
+        for unit in passing:                               # these are forgotten
+            del number[unit]
+        for values in (self.tokens_a, self.tokens_b, groups, links):
+            del values[known:]
+        self.wrong = {no for no in self.wrong if no < known}
         return out
 
     def _whole(self, text: str) -> tuple[int, int, int, str, bytes]:
@@ -168,8 +178,8 @@ class Aligner:
         data = text.encode()
         if b"".join([self.bytes_a[i] for i in a]) != data or b"".join([self.bytes_b[i] for i in b]) != data:
             return 0, 0, 0, "", b""
-        counts, line, links = self._result(align(a, b, self.bytes_a, self.bytes_b))
-        return *counts, hashlib.sha256(line).hexdigest(), links
+        groups, links = self.align(a, b)
+        return len(a), len(b), len(links) >> (3 if self.wide else 2), hashlib.sha256(groups).hexdigest(), links
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -298,7 +308,7 @@ def align_documents(docs: DataFrame, path_a: str | None = None, path_b: str | No
     """One row per document row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     path_a, path_b = path_a or model_path(MODEL_A), path_b or model_path(MODEL_B)
     vocabularies = aligner(path_a, path_b)
-    size_b, link = vocabularies.size_b, vocabularies.link
+    size_b, link = vocabularies.size_b, np.uint64 if vocabularies.wide else np.uint32
     aligned = written(align_texts(docs, path_a, path_b), "aligned")
     pairs = written(count_pairs(aligned, link), "pairs")
     found = aligned.select("sha", "times", "n_a", "n_b", "n_groups", "groups_sha256").join(

@@ -1,4 +1,5 @@
 import hashlib
+from array import array
 from bisect import bisect_right
 from collections import Counter
 
@@ -93,10 +94,17 @@ def test_texts_equal_the_whole_encoding(own, plain, texts):
         assert found[3] == (hashlib.sha256(line.encode()).hexdigest() if groups else "")
 
 
-def test_tokens_that_never_end_together_share_a_group(own):
-    assert al.align([0, 1], [0, 1], [b"ab", b"cd"], [b"abc", b"d"]) == [([0, 1], [0, 1])]
-    assert al.align([0, 0], [1, 0], [b"ab"], [b"b", b"aba"]) == [([0, 0], [1, 0])]
-    assert al.align([0, 1], [0, 1], [b"a", b"b"], [b"a", b"b"]) == [([0], [0]), ([1], [1])]
+def test_tokens_that_never_end_together_share_a_group(own, monkeypatch):
+    def groups(a, b, bytes_a, bytes_b):
+        monkeypatch.setattr(own, "lengths_a", list(map(len, bytes_a)))
+        monkeypatch.setattr(own, "lengths_b", list(map(len, bytes_b)))
+        line, links = own.align(a, b)
+        return line.decode(), [divmod(x, own.size_b) for x in array("I", links)]
+
+    assert groups([0, 1], [0, 1], [b"ab", b"cd"], [b"abc", b"d"]) == ("0,1|0,1", [(1, 1)])
+    assert groups([0, 0], [1, 0], [b"ab"], [b"aba", b"b"]) == ("0,0|1,0", [(0, 0)])
+    assert groups([0, 1], [0, 1], [b"a", b"b"], [b"a", b"b"]) == ("0|0;1|1", [(0, 0), (1, 1)])
+    assert groups([0], [0, 0, 1], [b"abc"], [b"a", b"c"]) == ("0|0,0,1", [(0, 1)])
 
 
 def got(df):
@@ -120,9 +128,9 @@ def test_no_documents(no_docs):
     assert al.align_documents(no_docs).collect() == []
 
 
-def test_a_worker_forgets(own, plain, monkeypatch):
-    monkeypatch.setattr(al, "KNOWN_BYTES", 2_000)
-    for k in range(20):
-        texts = [f"some words {k} and {k * j} more" for j in range(20)]
+def test_a_worker_remembers_so_much(own, plain, monkeypatch):
+    monkeypatch.setattr(al, "KNOWN", len(own.number) + 7)
+    for k in range(10):
+        texts = [f"some words {k} and {k * j} more ▁{j}" if j % 4 else "w" * 99 for j in range(20)]
         assert [f[2] for f in own.texts(texts)] == [len(plain.groups(t)) for t in texts]
-    assert own.held < 30_000
+    assert len(own.number) == al.KNOWN == len(own.groups) == len(own.links)
