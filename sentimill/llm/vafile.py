@@ -5,16 +5,17 @@ at quantiles of a bounded sample; the outer cells reach to the exact least and g
 value.  The approximation file, in the shared folder, holds one byte per dimension for
 every vector, in blocks.  Query blocks scan it: the cell a component lies in gives
 a lower and an upper bound of its part of the product, so four matrix products give
-both bounds for a block, and a vector whose upper bound is under the k-th lower
-bound is out.  The exact vectors of the others are read in the order of their
+both bounds for a block.  A first pass finds each query's k-th greatest lower bound over all
+blocks, of which only k numbers a query and block are passed on; a second pass returns the vectors whose upper bound
+reaches it.  Their exact vectors are read in the order of their
 bounds, in growing rounds, until a query's k-th score is above every bound unread.
 
 Of equal vectors only the k + 1 with the smallest ids can be among a query's k best
 (ties go to the smaller id, and the query itself may be one of them), so a vector
 that many rows share is scanned k + 1 times, whatever their number.
 
-Vectors that are null or hold a null or non-finite component take no part; vectors of
-different lengths don't meet.  Rows repeated as a whole count once.  A query
+Rows with a null vec_id take no part, and neither do vectors that are null or empty or hold a null or non-finite
+component; vectors of different lengths don't meet.  Rows repeated as a whole count once.  A query
 with fewer than k candidates gets them all; without any, no row.  Components are
 exact up to 2^31 / 256 and scores as long as they fit a long; bounds are widened by the
 rounding of doubles.
@@ -38,17 +39,18 @@ QUERY_EVERY = 50
 CELLS = 64               # per dimension
 SAMPLE = 4_000           # rows whose quantiles cut the cells
 BLOCK = 8192             # vectors in a row of the approximation file
-QUERIES = 1024           # queries that scan together
+QUERIES = 4096           # queries that scan together
 CHUNK = 1024             # vectors of a block that are bounded together
+TOGETHER = 256           # queries whose bounds are held at a time
 FIRST_READ = 4           # the first round reads so many times k exact vectors per query; each next one four times as many
 
 
 def integers(table: DataFrame) -> DataFrame:
     """(vec_id, vec, dim, vkey) of the rows that take part, repeated rows once."""
-    fine = F.col("embedding").isNotNull() & F.forall(
+    fine = F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     vec = F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double")).cast("long"))
-    return (table.filter(fine).select("vec_id", vec.alias("vec")).distinct()
+    return (table.filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & fine).select("vec_id", vec.alias("vec")).distinct()
             .withColumn("dim", F.size("vec")).withColumn("vkey", F.xxhash64("vec")))
 
 
@@ -108,24 +110,41 @@ def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     return least - slack, most + slack
 
 
-def scan_block(ids: np.ndarray, queries: np.ndarray, own: np.ndarray, codes: np.ndarray, low: np.ndarray, high: np.ndarray,
-               k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, lower, upper bound) of the vectors that may be among a query's k best of the block."""
+def _bounded(ids: np.ndarray, queries: np.ndarray, own: np.ndarray, codes: np.ndarray, low: np.ndarray,
+             high: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first vector, least, most) of CHUNK vectors at a time; -inf for a query's own row."""
     dims = np.arange(codes.shape[1])
-    found: list[tuple[np.ndarray, ...]] = []
-    best = np.full((len(queries), k), -np.inf)             # the k greatest lower bounds so far
     for at in range(0, len(codes), CHUNK):
         code = codes[at:at + CHUNK]
         least, most = bounds(queries, low[dims, code].astype(float), high[dims, code].astype(float))
         self_ = own[:, None] == ids[None, at:at + CHUNK]
         least[self_] = most[self_] = -np.inf
-        both = np.concatenate([best, least], axis=1)
-        best = -np.partition(-both, k - 1, axis=1)[:, :k]
-        q, v = np.nonzero((most >= best.min(axis=1)[:, None]) & ~self_)
-        found.append((q, v + at, least[q, v], most[q, v]))
-    q, v, least, most = (np.concatenate(x) for x in zip(*found))
-    still = most >= best.min(axis=1)[q]
-    return q[still], v[still], least[still], most[still]
+        yield at, least, most
+
+
+def greatest(best: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The greatest numbers of each row of both, as many as ``best`` has."""
+    both = np.concatenate([best, more], axis=1)
+    return -np.partition(-both, best.shape[1] - 1, axis=1)[:, :best.shape[1]]
+
+
+def lower_bounds(ids: np.ndarray, queries: np.ndarray, own: np.ndarray, codes: np.ndarray, low: np.ndarray, high: np.ndarray,
+                 k: int) -> np.ndarray:
+    """The k greatest lower bounds of each query in a block."""
+    best = np.full((len(queries), k), -np.inf)
+    for _, least, _ in _bounded(ids, queries, own, codes, low, high):
+        best = greatest(best, least)
+    return best
+
+
+def reaching(ids: np.ndarray, queries: np.ndarray, own: np.ndarray, codes: np.ndarray, low: np.ndarray, high: np.ndarray,
+             kth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, upper bound) of the vectors whose upper bound reaches the query's ``kth``."""
+    found = []
+    for at, _, most in _bounded(ids, queries, own, codes, low, high):
+        q, v = np.nonzero((most >= kth[:, None]) & (most > -np.inf))
+        found.append((q, v + at, most[q, v]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _blocks(rows: DataFrame, size: int, cells: dict | None) -> DataFrame:
@@ -169,45 +188,70 @@ def top_k(table: DataFrame, k: int = K, query_every: int = QUERY_EVERY, cells: i
     parts = max(1, -(-rows.count() // block))
     approximations = written(_blocks(rows.repartition(parts, "vec_id", "vkey"), block, cut), "approximations")
     groups = max(1, -(-asked.count() // queries))
-    asking = written(_blocks(asked.repartition(groups, "vec_id", "vkey"), queries, None)
-                     .withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups))), "query-blocks")
+    asking = (_blocks(asked.repartition(groups, "vec_id", "vkey"), queries, None)
+              .withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups))))
     candidates = written(_candidates(approximations, asking, groups, cut, k), "candidates")
     best = _read_exact(candidates, exact, asked, k)
     return best.select(F.col("query_id").cast("long").alias("query_id"), "rank", "vec_id", "score")
 
 
 def _candidates(approximations: DataFrame, asking: DataFrame, groups: int, cut: dict, k: int) -> DataFrame:
-    """Every block of vectors meets every block of queries of its length; what can't be ruled out remains."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every block of vectors meets every block of queries of its length, twice; what can't be ruled out remains."""
+    def arrays(row: tuple) -> tuple:
+        dim, ids, codes, own, body = row
+        return (np.frombuffer(ids, np.int64), np.frombuffer(codes, np.uint8).reshape(-1, dim), np.frombuffer(own, np.int64),
+                np.frombuffer(body, np.int64).reshape(-1, dim).astype(float), *cut[dim])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own_no, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, codes, own, vectors, low, high = arrays(row)
+                best = [lower_bounds(ids, vectors[a:a + TOGETHER], own[a:a + TOGETHER], codes, low, high, k) for a in range(0, len(own), TOGETHER)]
+                yield pa.RecordBatch.from_arrays([pa.array([own_no], pa.int64()), pa.array([np.concatenate(best).tobytes()], pa.binary())],
+                                                 names=["own_no", "best"])
+
+    def kth_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = None, None                          # rows of a block of queries follow one another
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([held.min(axis=1).tobytes()], pa.binary())],
+                                              names=["own_no", "kth"])
+
+        for batch in batches:
+            for own_no, best in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(best).reshape(-1, k)
+                if own_no == number:
+                    held = greatest(held, own)
+                    continue
+                if held is not None:
+                    yield row()
+                held, number = own, own_no
+        if held is not None:
+            yield row()
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dim, ids, keys, codes, own, own_keys, body in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, keys, own, own_keys = (np.frombuffer(x, np.int64) for x in (ids, keys, own, own_keys))
-                codes = np.frombuffer(codes, np.uint8).reshape(len(ids), dim)
-                vectors = np.frombuffer(body, np.int64).reshape(len(own), dim).astype(float)
-                low, high = cut[dim]
-                for a in range(0, len(own), 256):          # so many queries' bounds at a time
-                    q, v, least, most = scan_block(ids, vectors[a:a + 256], own[a:a + 256], codes, low, high, k)
+            for keys, own_keys, kth, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, codes, own, vectors, low, high = arrays(row)
+                keys, own_keys, kth = np.frombuffer(keys, np.int64), np.frombuffer(own_keys, np.int64), np.frombuffer(kth)
+                for a in range(0, len(own), TOGETHER):     # so many queries' bounds at a time
+                    q, v, most = reaching(ids, vectors[a:a + TOGETHER], own[a:a + TOGETHER], codes, low, high, kth[a:a + TOGETHER])
                     q += a
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[q]), pa.array(own_keys[q]), pa.array(ids[v]), pa.array(keys[v]), pa.array(least), pa.array(most)],
-                        names=["query_id", "query_key", "vec_id", "vkey", "least", "most"])
+                    yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(own_keys[q]), pa.array(ids[v]), pa.array(keys[v]), pa.array(most)],
+                                                     names=["query_id", "query_key", "vec_id", "vkey", "most"])
 
+    asking = written(asking.withColumn("own_no", F.monotonically_increasing_id()), "query-blocks")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
     left = approximations.select("dim", "ids", "vkeys", "body", every.alias("group"))
-    right = asking.select("dim", "group", F.col("ids").alias("own"), F.col("vkeys").alias("own_keys"),
-                          F.col("body").alias("vectors"))
-    met = left.join(right, ["dim", "group"]).select("dim", "ids", "vkeys", "body", "own", "own_keys", "vectors")
-    found = (met.repartition(F.xxhash64("ids", "own"))
-             .mapInArrow(run, "query_id long, query_key long, vec_id long, vkey long, least double, most double"))
-    found = written(found, "bounded")
-    by_least = Window.partitionBy("query_id", "query_key").orderBy(F.desc("least"))
-    kth = (found.withColumn("nth", F.row_number().over(by_least)).filter(F.col("nth") <= k)
-           .groupBy("query_id", "query_key").agg(F.min("least").alias("kth"), F.count(F.lit(1)).alias("n")))
+    right = asking.select("dim", "group", "own_no", F.col("ids").alias("own"), F.col("vkeys").alias("own_keys"), F.col("body").alias("vectors"))
+    met = left.join(right, ["dim", "group"]).repartition(F.xxhash64("ids", "own_no"))
+    best = met.select("own_no", "dim", "ids", "body", "own", "vectors").mapInArrow(first, "own_no long, best binary")
+    kth = written(best.repartition("own_no").sortWithinPartitions("own_no").mapInArrow(kth_of, "own_no long, kth binary"), "kth")
+    met = left.join(right.join(kth, "own_no"), ["dim", "group"]).repartition(F.xxhash64("ids", "own_no"))
+    found = (met.select("vkeys", "own_keys", "kth", "dim", "ids", "body", "own", "vectors")
+             .mapInArrow(second, "query_id long, query_key long, vec_id long, vkey long, most double"))
     by_most = Window.partitionBy("query_id", "query_key").orderBy(F.desc("most"), "vec_id")
-    return (found.join(kth, ["query_id", "query_key"])
-            .filter((F.col("most") >= F.col("kth")) | (F.col("n") < k))
-            .withColumn("place", F.row_number().over(by_most))
-            .select("query_id", "query_key", "vec_id", "vkey", "most", "place"))
+    return found.withColumn("place", F.row_number().over(by_most))
 
 
 def _read_exact(candidates: DataFrame, exact: DataFrame, asked: DataFrame, k: int) -> DataFrame:

@@ -40,6 +40,11 @@ def test_equals_brute_force(spark, options):
     assert run(spark, rows, **options) == brute(rows)
 
 
+def test_a_null_id_costs_no_row(spark):
+    rows = vectors(200, 4)
+    assert run(spark, [*rows[:99], (None, rows[0][1]), *rows[99:]]) == brute(rows)
+
+
 def test_ties_repeats_and_a_hot_vector(spark):
     rows = vectors(120, 3, scale=0.01)                     # few different integers: many ties
     rows += [(1000 + i, [0.25, 0.25, 0.25]) for i in range(300)] + rows[:7] + [(2000, [1e6, -1e6, 0.0])]
@@ -48,8 +53,8 @@ def test_ties_repeats_and_a_hot_vector(spark):
 
 def test_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (50, [0.5, -0.5]),
-            (100, [1.0, 1.0, 1.0]), (150, []), (5, [-1.0, 0.0])]
-    assert run(spark, rows) == brute([r for r in rows if r[1] != []])
+            (100, [1.0, 1.0, 1.0]), (150, []), (5, [-1.0, 0.0]), (None, [9.0, 9.0]), (200, []), (None, None)]
+    assert run(spark, rows) == brute([r for r in rows if r[0] is not None and r[1] != []])
     assert run(spark, []) == set() and run(spark, rows[1:5]) == set()
     assert run(spark, rows[:1]) == set()                   # a query without candidates
 
@@ -80,3 +85,12 @@ def test_few_exact_vectors_are_read(spark):
     asked = v._blocks(exact.filter("vec_id % 50 = 0").coalesce(1), v.QUERIES, None).withColumn("group", F.lit(0).cast("long"))
     per = v._candidates(blocks, asked, 1, cut, 5).groupBy("query_id").count().agg(F.avg("count")).first()[0]
     assert 5 <= per < 40
+
+
+def test_what_is_passed_on_grows_with_queries_not_with_blocks(spark):
+    """However many blocks there are, the candidates of a query stay those that reach the k-th bound over all."""
+    exact = v.integers(spark.createDataFrame([(i, e, 1, "a", "b", "c") for i, e in vectors(3000, 8)], SCHEMA))
+    cut = v.cut_cells(exact)
+    asked = v._blocks(exact.filter("vec_id % 50 = 0").coalesce(1), v.QUERIES, None).withColumn("group", F.lit(0).cast("long"))
+    counts = [v._candidates(v._blocks(exact.coalesce(1), size, cut), asked, 1, cut, 5).count() for size in (3000, 100)]
+    assert counts[0] == counts[1] < 60 * 40
