@@ -36,6 +36,7 @@ DATE = "2024-01-01T00:00:00Z"
 MOST_FILE = 1 << 30          # bytes after which a task starts another file
 GAP = 1 << 16                # unread bytes between two records that are read in one go all the same
 MOST_RANGE = 8 << 20         # bytes read in one go (one longer record: alone)
+TASK_BYTES = 16 << 20        # of archives read by one task
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 LEAST_BYTES = 0              # smaller payloads are all responses
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -86,7 +87,8 @@ def page_number(urn: str) -> int | None:
 
 def with_revisits(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """(page_id, url, html, refers_to, revisit)."""
-    sha = F.sha1(F.coalesce("html", F.lit("")))
+    # equal SHA-256 (and length): there are known pairs of payloads of one SHA-1 and one length
+    sha = F.sha2(F.coalesce("html", F.lit("")), 256)
     size = F.octet_length(F.coalesce("html", F.lit("")))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), sha.alias("sha"), size.alias("size"))
     counted = rows.filter(F.col("size") >= least_bytes).groupBy("sha", "size")
@@ -183,8 +185,10 @@ def read_records(index: DataFrame, at: str) -> DataFrame:
         if file is not None:
             file.close()
 
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES))                       # the index itself is too small to tell
     wanted = (index.select("page_id", "file", "offset", "length")
-              .repartitionByRange("file", "offset").sortWithinPartitions("file", "offset"))
+              .repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset"))
     return wanted.mapInArrow(run, "page_id long, payload binary, payload_bytes long, payload_digest string, "
                                   "record_type string, refers_to long")
 
