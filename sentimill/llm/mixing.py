@@ -1,7 +1,8 @@
 """Mixing sources to target weights, in fixed-length blocks of words.
 
 The words of a source, document after document in an order drawn by hash, form
-one stream that is packed into blocks of ``block_words`` words.  The output has
+one stream that is packed into blocks of equal length: ``block_words`` words, or fewer in a source that would
+have under ``LEAST_BLOCKS`` blocks of its size or target, so that whole blocks can meet the target of any source.  The output has
 ``shards`` shards; each shard draws from a multinomial how many of its slots go to
 each source, over what the sources have still to give, so that all shards together
 give each source the slots of its target.  A source's slots are numbered through;
@@ -36,10 +37,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)         # of the sources in code point order, repeating
 MOST_TIMES = 3              # a target stops at so many times the source's size
 BLOCK_WORDS = 64
+LEAST_BLOCKS = 256          # that a source's size and target make, if they have so many words
 SHARDS = 64
 SEED = 20240101
-CHUNK_ROWS = 50_000         # rows of a source numbered in one task
+CHUNK_ROWS = 8_192          # rows of a source numbered in one task
 RANGE_SLOTS = 1 << 18       # slots mapped to blocks in one go
+TASK_SLOTS = 1 << 17        # slots made by one task, about
 
 
 class Source(NamedTuple):
@@ -47,6 +50,7 @@ class Source(NamedTuple):
     source_no: int
     source_size: int
     target: float
+    block_words: int
     blocks: int
     slots: int
 
@@ -74,8 +78,9 @@ def plan_sources(sizes: list[tuple[str | None, int]], block_words: int = BLOCK_W
     weights = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(ordered))]
     out = []
     for no, ((name, size), target) in enumerate(zip(ordered, targets([n for _, n in ordered], weights))):
-        blocks = -(-size // block_words)
-        out.append(Source(name, no, size, target, blocks, round(target * blocks / size) if size else 0))
+        own = max(1, min(block_words, int(min(size, target)) // LEAST_BLOCKS))
+        blocks = -(-size // own)
+        out.append(Source(name, no, size, target, own, blocks, round(target * blocks / size) if size else 0))
     return out
 
 
@@ -130,9 +135,9 @@ def _numbered(docs: DataFrame, block_words: int) -> tuple[DataFrame, list[Source
     plan = plan_sources([(r["source"], r["size"]) for r in sums], block_words)
     spark = docs.sparkSession
     sources = spark.createDataFrame(
-        plan, "source string, source_no int, source_size long, target double, blocks long, slots long")
+        plan, "source string, source_no int, source_size long, target double, block_words int, blocks long, slots long")
     chunks = max(1, -(-rows.count() // CHUNK_ROWS))
-    known = F.broadcast(sources.select(F.col("source").alias("name"), "source_no"))      # one row per source
+    known = F.broadcast(sources.select(F.col("source").alias("name"), "source_no", "block_words"))      # one row per source
     rows = (rows.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name")
             .withColumn("draw", F.xxhash64("doc_id", "text_key"))
             .withColumn("chunk", F.pmod("draw", F.lit(chunks))))
@@ -146,7 +151,7 @@ def _numbered(docs: DataFrame, block_words: int) -> tuple[DataFrame, list[Source
             .join(starts, ["source_no", "chunk"])
             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
             .select("source_no", (F.col("start") + F.col("past") + F.col("copy") * F.col("size")).alias("at"),
-                    "doc_id", "size", "text_key", "copy", "times"))
+                    "doc_id", "size", "text_key", "copy", "times", "block_words"))
     return rows, plan, sources
 
 
@@ -176,7 +181,8 @@ def _slots(spark, plan: list[Source], shards: int, seed: int) -> DataFrame:
                     names=["source_no", "shard", "slot", "block"])
 
     made = spark.createDataFrame(ranges, "source_no int, shard int, at long, n long, blocks long")
-    return (made.repartition("source_no", "shard", "at")
+    tasks = max(1, sum(s.slots for s in plan) // TASK_SLOTS)     # the ranges themselves are too small to tell
+    return (made.repartition(tasks, "source_no", "shard", "at")
             .mapInArrow(run, "source_no int, shard int, slot long, block long"))
 
 
@@ -186,12 +192,13 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
     rows = written(rows, "rows")
     slots = _slots(docs.sparkSession, plan, shards, seed)
     taken = slots.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("taken"))
-    block = F.explode(F.sequence(F.expr(f"at div {block_words}"), F.expr(f"(at + size - 1) div {block_words}")))
-    pieces = (rows.filter("size > 0").select("source_no", "at", "size", block.alias("block"))
+    words = F.col("block_words")
+    block = F.explode(F.sequence(F.expr("at div block_words"), F.expr("(at + size - 1) div block_words")))
+    pieces = (rows.filter("size > 0").select("source_no", "at", "size", "block_words", block.alias("block"))
               .join(taken, ["source_no", "block"])
               .select("source_no", "at",
-                      F.greatest(F.col("block") * block_words - F.col("at"), F.lit(0)).alias("first"),
-                      F.least((F.col("block") + 1) * block_words - F.col("at"), F.col("size")).alias("end"), "taken"))
+                      F.greatest(F.col("block") * words - F.col("at"), F.lit(0)).alias("first"),
+                      F.least((F.col("block") + 1) * words - F.col("at"), F.col("size")).alias("end"), "taken"))
     return Mix(rows, sources, slots, pieces)
 
 
@@ -201,7 +208,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     words = m.pieces.groupBy("source_no", "at").agg(F.sum((F.col("end") - F.col("first")) * F.col("taken")).alias("words"))
     filled = m.rows.filter("size > 0").join(words, ["source_no", "at"], "left")
     empty = m.rows.filter("size = 0").withColumn("words", F.lit(0).cast("long"))
-    return (filled.unionByName(empty).join(F.broadcast(m.sources.drop("source")), "source_no")
+    return (filled.unionByName(empty).join(F.broadcast(m.sources.select("source_no", "source_size", "target")), "source_no")
             .select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken")))
 
 
@@ -257,8 +264,9 @@ def taken_texts(text: str, size: int, parts: list[dict]) -> list[str]:
 
 
 def _taken_texts():
-    @F.udf("array<string>", useArrow=True)
-    def run(text, size, parts):
-        return taken_texts(text, size, [p.asDict() if hasattr(p, "asDict") else p for p in parts])
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array, sizes: pa.Array, parts: pa.Array) -> pa.Array:
+        rows = (taken_texts(t.as_py(), n.as_py(), p.as_py()) for t, n, p in zip(texts, sizes, parts))      # a row at a time
+        return pa.array(rows, pa.list_(pa.string()))
 
     return run

@@ -53,7 +53,7 @@ def check(docs, near):
         taken[r.source_size, round(r.target, 6)] += r.taken
     for (n, target), words in taken.items():
         times = key[n, target]
-        assert abs(words - times * target) <= times * (near * target + m.BLOCK_WORDS)
+        assert abs(words - times * target) <= times * (near * target + 1)
     return report
 
 
@@ -76,13 +76,71 @@ def test_hot_source(spark):
 
 
 def test_documents_carry_the_words_taken(spark, odd_docs):
-    for docs in (spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), odd_docs.filter("doc_id is not null")):
+    count = lambda t: len(re.findall(m.WORD, t or ""))
+    for docs in (spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), odd_docs):
         out = m.mixed_documents(docs)
         assert out.columns == docs.columns
-        words = out.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(m.WORD))).alias("words"))
-        taken = m.mix_report(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken"))
-        assert taken.join(words, "doc_id", "left").filter("coalesce(words, 0) <> taken").count() == 0
-        assert out.filter("n_chars <> length(text)").count() == 0
+        words, taken = Counter(), Counter()
+        for r in out.collect():
+            words[r.doc_id] += count(r.text)
+            assert r.n_chars is None or r.n_chars == len(r.text)
+        for r in m.mix_report(docs).collect():
+            taken[r.doc_id] += r.taken
+        assert +words == +taken
+
+
+def test_small_sources_meet_their_targets(spark):
+    docs = spark.createDataFrame([(i, "w " * 20, f"s{i % 3}") for i in range(9)] + [(100, "one", "t"), (101, "two words", None)],
+                                 "doc_id long, text string, source string")
+    report = check(docs, 0.0)
+    for own in ({r.doc_id: r.taken for r in report if r.doc_id % 3 == k and r.doc_id < 100} for k in range(3)):
+        assert sum(own.values()) > 0
+    three = docs.filter("doc_id < 100")
+    got = defaultdict(int)
+    for r in m.mix_report(three).collect():
+        got[r.doc_id % 3] += r.taken
+    assert dict(got) == {0: 30, 1: 60, 2: 90}
+
+
+def image(index, n, key):
+    """The permutation, one index at a time, in plain integers."""
+    half, mask = max(1, ((max(n, 2) - 1).bit_length() + 1) // 2), (1 << 64) - 1
+    while True:
+        left, right = index >> half, index & ((1 << half) - 1)
+        for turn in range(6):
+            x = (right + (key * 6 + turn) * 0x9E3779B97F4A7C15) & mask
+            x ^= x >> 30
+            x = x * 0xBF58476D1CE4E5B9 & mask
+            x ^= x >> 27
+            x = x * 0x94D049BB133111EB & mask
+            x ^= x >> 31
+            left, right = right, left ^ x & ((1 << half) - 1)
+        index = left << half | right
+        if index < n:
+            return index
+
+
+def test_taken_equals_a_plain_loop_over_slots(spark, odd_docs):
+    """Word by word: every slot of every source, its block, and the document that each word of the block is in."""
+    some = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source")
+    for docs in (some, odd_docs.select("doc_id", "text", "source")):
+        mix = m.mix(docs)
+        rows, want = mix.rows.collect(), Counter()
+        for s in mix.sources.collect():
+            stream, at = [], 0
+            for r in sorted((r for r in rows if r.source_no == s.source_no and r["size"]), key=lambda r: r["at"]):
+                assert r["at"] == at                       # documents follow one another without a gap
+                stream += [(r.doc_id, r["at"])] * r["size"]
+                at += r["size"]
+            assert len(stream) == s.source_size
+            for slot in range(s.slots):
+                block = image(slot % s.blocks, s.blocks, m.SEED + 1000 * s.source_no + slot // s.blocks)
+                for doc_id, _ in stream[block * s.block_words:(block + 1) * s.block_words]:
+                    want[doc_id] += 1
+        got = Counter()
+        for r in m.mix_report(docs).collect():
+            got[r.doc_id] += r.taken
+        assert +got == +want
 
 
 def test_slots_are_blocks_by_permutation(spark):
