@@ -2,10 +2,11 @@
 
 Texts are hashed to 64-bit keys.  A directory maps the leading bits of a key to
 a bucket; it doubles while a bucket holds too many keys, and only overfull
-buckets split.  The index is written to shared files bucket by bucket, each
-bucket by one owner task that also numbers the chain of a key whose texts
-differ.  Equality is decided on bytes: texts are grouped by key *and* text, with
-a partial aggregation before the shuffle, so a hot text travels once per task.
+buckets split.  Texts whose key is shared are sent to their bucket: first each task's equal texts are made one row
+(in ``SHARES`` shares, so that a text with any share of the rows is spread), then the directory routes these to the
+bucket's owner task, which compares bytes (it groups by key *and* text), and chains the different texts of
+one key in the order of their bytes.  The index is written to shared files bucket by bucket, and everything
+that is returned is read from it: a document finds its entry by key and, in the key's chain, by its text's digest.
 
 Nulls count as empty texts.  Repeated rows (same doc_id and text) are reported
 row by row, and one of them stays.  A group whose doc_ids are all null has a
@@ -23,12 +24,15 @@ from pyspark.sql import functions as F
 from .common import HOT_SHARE, documents, join_spread, seen_in, without_rows, written
 
 BUCKET_KEYS = 4_096      # keys a bucket may hold before it splits ...
+SHARES = 8               # of a text's rows before they meet in their bucket
+BUCKETS_A_TASK = 4       # that one owner task has, about
 MOST_BUCKETS = 10_000    # ... or, beyond this many buckets, so many that the directory stays this small
 
 
 class Directory(NamedTuple):
     bits: int           # leading bits of a key that name a cell
     rows: DataFrame     # cell, bucket, depth (the bucket's local depth)
+    buckets: int
 
 
 def directory(entries: DataFrame, bucket_keys: int = BUCKET_KEYS) -> Directory:
@@ -57,7 +61,8 @@ def directory(entries: DataFrame, bucket_keys: int = BUCKET_KEYS) -> Directory:
                     buckets[depth, half] = halves.get(half, 0)
     rows = [(cell, no, d) for no, (d, prefix) in enumerate(sorted(buckets, key=lambda b: b[1] << (bits - b[0])))
             for cell in range(prefix << (bits - d), (prefix + 1) << (bits - d))]
-    return Directory(bits, entries.sparkSession.createDataFrame(rows, "cell long, bucket int, depth int"))
+    return Directory(bits, entries.sparkSession.createDataFrame(rows, "cell long, bucket int, depth int"),
+                     len(buckets))
 
 
 def text_key(text: Column) -> Column:
@@ -73,20 +78,30 @@ def build_index(rows: DataFrame, own: DataFrame, bucket_keys: int = BUCKET_KEYS)
     rows that may share their key are shuffled with their texts.
     """
     keys = written(own.groupBy("key").agg(F.sum("times").alias("rows"), F.max("doc_id").alias("keep_id")), "keys")
+    table = directory(keys, bucket_keys)
+    owners = max(1, table.buckets // BUCKETS_A_TASK)
+    routes = F.broadcast(table.rows)                       # 8 * MOST_BUCKETS rows at most
+
+    def routed(entries: DataFrame) -> DataFrame:
+        cell = F.shiftrightunsigned("key", 64 - table.bits)
+        return entries.withColumn("cell", cell).join(routes, "cell").drop("cell")
+
     shared = keys.filter("rows > 1").select("key")
-    texts = (seen_in(rows, F.col("key"), shared).filter("__sm_seen")
-             .groupBy("key", "text")                       # this compares the bytes
-             .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-             .select("key", F.sha2("text", 256).alias("sha"), "keep_id", "group_size")
-             .join(shared, "key", "left_semi"))
-    alone = keys.filter("rows = 1").select("key", F.lit(None).cast("string").alias("sha"), "keep_id",
-                                           F.col("rows").alias("group_size"))
-    entries = written(texts.unionByName(alone), "entries")
-    table = directory(entries, bucket_keys)
-    cell = F.shiftrightunsigned("key", 64 - table.bits)
-    chain = Window.partitionBy("bucket", "key").orderBy("sha")
-    return written(entries.withColumn("cell", cell).join(F.broadcast(table.rows), "cell").drop("cell")
-                   .repartition("bucket").withColumn("link", F.row_number().over(chain)), "index")
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(SHARES))
+    some = (seen_in(rows, F.col("key"), shared).filter("__sm_seen")
+            .groupBy("key", "text", share.alias("share"))  # a partial step in every task
+            .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    texts = (routed(some).repartition(owners, "bucket")
+             .groupBy("bucket", "depth", "key", "text")    # the owner compares the bytes
+             .agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
+    chain = Window.partitionBy("bucket", "key").orderBy("text")
+    chained = (texts.withColumn("link", F.row_number().over(chain))
+               .select("bucket", "depth", "key", "link", F.sha2("text", 256).alias("sha"), "keep_id", "group_size"))
+    alone = routed(keys.filter("rows = 1")).select(
+        "bucket", "depth", "key", F.lit(1).alias("link"), F.lit(None).cast("string").alias("sha"), "keep_id",
+        F.col("rows").alias("group_size")).repartition(owners, "bucket")
+    # (a bitmap may have seen texts whose key one row has: these are in ``alone``)
+    return written(chained.join(shared, "key", "left_semi").select(*alone.columns).unionByName(alone), "index")
 
 
 def digests(rows: DataFrame) -> DataFrame:
