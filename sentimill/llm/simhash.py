@@ -9,9 +9,11 @@ fingerprints agree in at least one.  So each different fingerprint is dealt out
 once per group of bits, keyed by the bits it has there, and both ends of every
 link meet under some key.  A key with over ``MOST_LEAVES`` fingerprints is dealt
 again over the bits not used yet (the same argument holds for those) if that at
-least halves the pairs under it; if not, as in a large group of near copies, its
-fingerprints are split into shares, and each task searches the key's whole
-tree for one share.  No link is lost either way.
+least halves the pairs under it; if not, as in a large group of near copies, its Gray-sorted
+fingerprints are cut into subtrees of ``MOST_LEAVES``, and a fingerprint visits only the later subtrees whose shared
+bits it comes within ``max_bits`` of; a subtree's visitors come in shares of ``TURNS`` times that size, so
+what a task holds is bounded.  (In a dense crowd, whose fingerprints differ by little more than links do, most
+subtrees are near most fingerprints, and rows still grow with the square over the size of a subtree.)  No link is lost either way.
 
 Under each key the fingerprints form a tree: sorted by Gray rank, so that
 neighbours share bits; a node factors out the bits on which all its leaves agree
@@ -42,7 +44,9 @@ from .common import HOT_SHARE, components, documents, hot_keys, join_spread, wit
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
-MOST_LEAVES = 4096       # fingerprints under one key before it is dealt again or split into shares
+MOST_LEAVES = 4096       # fingerprints under one key before it is dealt again or cut into subtrees
+TURNS = 16               # visitors of a subtree at a time, for each of its leaves, about
+VISITORS = 1 << 16       # fingerprints of a key that are compared with its subtrees in one task, about
 DEALS = 4                # times a fingerprint is dealt at most
 FAN_OUT = 8              # children of a node
 PAIRS = 1 << 21          # (fingerprint, node) pairs looked at together
@@ -227,12 +231,40 @@ def _deal(rows: DataFrame, used: dict[int, int], parts: int) -> tuple[DataFrame,
     return out.select("path", F.xxhash64("path", bits).alias("key"), "fp", "parent"), masks
 
 
-def _shares(rows: DataFrame, share: int) -> DataFrame:
-    """(key, fp, asks) of (key, fp, n): a key's fingerprints in each of its shares, where one share asks."""
-    shares = F.ceil(F.col("n") / share)
-    out = rows.withColumn("shares", shares).withColumn("share", F.explode(F.sequence(F.lit(1).cast("long"), "shares")))
-    return out.select(F.xxhash64("key", "share").alias("key"), "fp",
-                      (F.pmod(F.xxhash64("fp"), "shares") + 1 == F.col("share")).alias("asks"))
+def gray_order(fp: str) -> Column:
+    """The Gray rank, as a long that sorts like the unsigned rank."""
+    rank = F.col(fp)
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank = rank.bitwiseXOR(F.shiftrightunsigned(rank, shift))
+    return rank.bitwiseXOR(F.lit(-1 << 63))
+
+
+def _subtrees(rows: DataFrame, most: int, max_bits: int) -> DataFrame:
+    """(key, fp, asks) of (key, fp, n): new keys, under each of which one subtree's fingerprints and a share of its visitors meet.
+
+    Ranges of (key, Gray rank) are sorted and cut every ``most`` rows, so no key need fit a task.
+    """
+    ranked = (rows.withColumn("rank", gray_order("fp")).repartitionByRange("key", "rank").sortWithinPartitions("key", "rank")
+              .withColumn("nth", F.monotonically_increasing_id()))      # ascending over the ranges, from 2^33 times the range on
+    low = F.col("nth").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = written(ranked.select("key", "fp", "n", (F.col("nth") - F.pmod(low, F.lit(most))).alias("tree")), "ranked")
+    trees = placed.groupBy("key", "tree").agg(F.bit_and("fp").alias("both"), F.bit_or("fp").alias("any"), F.max("n").alias("n"))
+    salts = F.ceil(F.col("n") / VISITORS)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt")
+    agree = F.col("both").bitwiseOR(F.bitwise_not("any"))
+    subtrees = trees.select("key", F.col("tree").alias("visited"), F.col("both").alias("pattern"), agree.alias("agree"), every)
+    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("pattern")).bitwiseAND(F.col("agree")))
+    visits = written(placed.withColumn("salt", F.pmod(F.xxhash64("fp"), salts)).join(subtrees, ["key", "salt"])
+                     .filter((F.col("visited") > F.col("tree")) & (apart <= max_bits)).select("key", "visited", "fp"), "visits")
+    shares = (visits.groupBy("key", "visited").agg(F.ceil(F.count(F.lit(1)) / (TURNS * most)).alias("shares"))
+              .withColumnRenamed("visited", "tree"))
+    shares = written(shares, "shares")
+    at_home = placed.select(F.xxhash64("key", "tree").alias("key"), "fp", F.lit(True).alias("asks"))
+    visiting = (visits.withColumnRenamed("visited", "tree").join(shares, ["key", "tree"])
+                .select(F.xxhash64("key", "tree", F.pmod(F.xxhash64("fp"), "shares")).alias("key"), "fp", F.lit(True).alias("asks")))
+    leaves = (placed.join(shares, ["key", "tree"]).withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+              .select(F.xxhash64("key", "tree", "share").alias("key"), "fp", F.lit(False).alias("asks")))
+    return at_home.union(visiting).union(leaves)
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, most_leaves: int = MOST_LEAVES) -> DataFrame:
@@ -259,7 +291,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, most_leaves: int = MOST_LEAV
                 .select("parent", F.lit(True).alias("pays")))
         pays = written(pays, "pays")
         kept = join_spread(crowd, pays.withColumnRenamed("parent", "key"), "key", hot)
-        leaves.append(_shares(kept.filter("pays is null"), most_leaves))
+        stuck = kept.filter("pays is null").select("key", "fp", "n")
+        if not stuck.isEmpty():
+            leaves.append(_subtrees(stuck, most_leaves, max_bits))
         dealt = written(join_spread(dealt, pays, "parent", hot.withColumnRenamed("key", "parent")).filter("pays").drop("pays"), "dealt")
     leaves.append(dealt.select("key", "fp", F.lit(True).alias("asks")))
     rows = reduce(DataFrame.union, leaves).repartition("key").sortWithinPartitions("key")

@@ -96,8 +96,8 @@ def test_links_lose_nothing(spark, most_leaves):
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
-def test_a_crowd_of_near_copies_is_split_into_shares(spark):
-    """Dealing a tight cluster again would multiply it: its queries are split instead."""
+def test_a_crowd_of_near_copies_is_cut_into_subtrees(spark):
+    """Dealing a tight cluster again would multiply it: it is cut instead."""
     rng = np.random.default_rng(5)
     center = np.uint64(0x123456789ABCDEF1)
     codes = np.unique(np.concatenate([[center], [center ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 2).astype(np.uint64))
@@ -111,6 +111,47 @@ def test_a_crowd_of_near_copies_is_split_into_shares(spark):
     assert linked == {int(x) for x, b in zip(codes.view(np.int64), best) if sizes[b] > 1}
 
 
+def crowd(n, flips, seed=7):
+    rng = np.random.default_rng(seed)
+    bits = rng.integers(0, 64, (n, flips)).astype(np.uint64)
+    codes = np.full(n, 0x123456789ABCDEF1, np.uint64)
+    for k in range(flips):
+        codes ^= np.where(rng.random(n) < 0.8, np.uint64(1) << bits[:, k], np.uint64(0))
+    return np.unique(codes)
+
+
+def test_rows_and_leaves_of_a_crowd_are_bounded(spark):
+    """50,000 codes under one key: no task has more than its subtree and a share of its visitors, whatever the crowd."""
+    found = []
+    for flips in (2, 8):
+        codes = crowd(50_000, flips)
+        rows = spark.createDataFrame([(1, int(x), len(codes)) for x in codes.view(np.int64)], "key long, fp long, n long")
+        sizes = s._subtrees(rows, 64, 4).groupBy("key").count().collect()
+        assert max(r["count"] for r in sizes) <= 64 + 1.3 * s.TURNS * 64
+        found.append(sum(r["count"] for r in sizes) / len(codes) / (len(codes) / 64))
+    assert found[1] < 0.5                                  # rows of a code, of the subtrees there are (dense: about half)
+
+
+def test_a_cut_crowd_loses_no_link(spark):
+    codes = crowd(5000, 6)
+    rows = spark.createDataFrame([(1, int(x), len(codes)) for x in codes.view(np.int64)], "key long, fp long, n long")
+    dealt = s._subtrees(rows, 64, 4).repartition("key").sortWithinPartitions("key")
+    links = dealt.mapInArrow(s._link_groups(4), "root long, member long").distinct().collect()
+    par = {int(x): int(x) for x in codes.view(np.int64)}
+
+    def find(x):
+        while par[x] != x:
+            par[x] = par[par[x]]
+            x = par[x]
+        return x
+
+    for r in links:
+        par[find(r.root)] = find(r.member)
+    want = brute_classes(codes, 4)
+    pairs = {(want[i], find(int(x))) for i, x in enumerate(codes.view(np.int64))}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
 def test_masks_cover_all_bits():
     for used in (0, (1 << 13) - 1, 0xFF00FF00FF00FF00):
         masks = s.deal_masks(used, 5)
