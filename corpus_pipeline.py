@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sentimill.llm import exact_dedup, mixing, pieces, quality, simhash
-from sentimill.llm.common import read, written
+from sentimill.llm.common import forget, read, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,7 @@ ORACLE_SQL = None    # hashes, models and sampled segmentations have no DuckDB f
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        out = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        forget(docs)                       # a stage's input goes when its output is written (``documents`` stays)
+        docs = out
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -46,10 +46,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we read that.  Where none is set
-    (as in tests), a folder of the warehouse serves, which all executors share.
+    A cluster names it in ``spark.checkpoint.dir``; we read that.  Where none is set, a local session
+    (as in tests) uses a folder of the warehouse; on a cluster that folder may be one machine's own, so we raise.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/sentimill-checkpoints"
 
 
