@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
@@ -41,6 +41,17 @@ def test_stages_one_by_one(spark):
     assert rows(whole) == rows(out)                         # the chain gives the same, and so does a rerun
 
 
+def test_odd_and_empty_documents_go_through_all_stages(spark, odd_docs, no_docs, tmp_path):
+    labels = "doc_id long, quality int, toxic int"
+    for name, docs, marks in (("odd", odd_docs, [(0, 1, 0), (3, 1, 0), (5, 0, 0), (None, 1, None), (7, None, 1), (3, 1, 0)]), ("none", no_docs, [])):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(marks, labels).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        rows = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert all(r.lossless for r in rows) and {r.doc_id for r in rows} <= {r.doc_id for r in docs.select("doc_id").collect()}
+        assert bool(rows) == (name == "odd")
+    assert spark.read.parquet(f"{tmp_path}/odd/documents.parquet").count() == odd_docs.count()       # what came from outside stays
+
+
 def test_bitmap_never_misses(spark):
     keys = spark.range(0, 3000, 3).select(F.xxhash64("id").alias("key"))
     seen = common.seen_in(spark.range(3000), F.xxhash64("id"), keys).collect()
