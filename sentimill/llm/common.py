@@ -154,6 +154,30 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             yield batch.slice(start)
 
 
+def word_sections(text: str | None, most: int = 1 << 20, lower: bool = False) -> Iterator[list[bytes]]:
+    """The words (without ASCII white space) of ``text`` in UTF-8, of about ``most`` characters at a time.
+
+    What a caller holds is then bounded however long the text is.  A word that goes
+    on past a section's end comes whole in a later one.  ``lower``: A-Z in lower case.
+    """
+    text = text or ""
+    open_word: list[bytes] = []
+    for at in range(0, max(1, len(text)), most):
+        part = text[at:at + most].encode("utf-8", "surrogatepass")
+        words = (part.lower() if lower else part).split()
+        ends = part[-1:].isspace() or at + most >= len(text)
+        if open_word:
+            if words and not part[:1].isspace():
+                open_word.append(words.pop(0))
+                if not words and not ends:               # the word goes on
+                    continue
+            words.insert(0, b"".join(open_word))
+            open_word = []
+        if words and not ends:
+            open_word = [words.pop()]
+        yield words
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts`` (a null id counts as empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts))

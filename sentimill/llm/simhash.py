@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, components, documents, hot_keys, join_spread, without_rows, written
+from .common import HOT_SHARE, components, documents, hot_keys, join_spread, without_rows, word_sections, written
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -51,6 +51,7 @@ DEALS = 4                # times a fingerprint is dealt at most
 FAN_OUT = 8              # children of a node
 PAIRS = 1 << 21          # (fingerprint, node) pairs looked at together
 HASHES = 1 << 16         # shingles hashed together
+SECTION = 1 << 20        # characters of a text whose words are held together
 
 
 # ---- fingerprints ---------------------------------------------------------------
@@ -60,13 +61,23 @@ BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitor
 
 def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     """Unsigned 64-bit fingerprint of a text; 0 for one without words."""
-    parts = text.encode("utf-8", "surrogatepass").lower().split()     # ASCII letters and white space only
-    if not parts:
-        return 0
+    counts, total, parts = np.zeros(64, np.int64), 0, []
+    for section in word_sections(text, SECTION, lower=True):
+        parts = parts[max(0, len(parts) - words + 1):] + section       # a shingle may begin in an earlier section
+        if len(parts) >= words:
+            counts += bit_counts(parts, words)
+            total += len(parts) - words + 1
+    if parts and not total:                                            # fewer words: the whole sequence
+        counts, total = bit_counts(parts, len(parts)), 1
+    return int(((2 * counts > total).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum())
+
+
+def bit_counts(parts: list[bytes], words: int) -> np.ndarray:
+    """How many hashes of the shingles of ``parts`` (``words`` of them at least) have each bit set."""
     line = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    ends = ends[min(words, len(parts)) - 1:]
+    ends = ends[words - 1:]
     counts = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, len(ends), HASHES):
@@ -78,7 +89,7 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
         else:
             for k in range(8):
                 counts[8 * k:8 * k + 8] += np.bincount(octets[:, k], minlength=256) @ BYTE_BITS
-    return int(((2 * counts > len(ends)).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum())
+    return counts
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
