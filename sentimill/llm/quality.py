@@ -5,7 +5,7 @@ Features of a text: its words, word pairs, and n-grams (1 to 3) of word shapes
 (runs of lower-case letters, capitals and digits become one sign each; a word
 equal to the one before is a repeat), hashed into 2^BITS places.  A place's value is
 its share of the text's words, so long texts weigh no more than short ones and
-whole texts are read.  A score is the sigmoid of the sparse dot product with the weights.
+whole texts are read (longer ones by sections, so a task's memory doesn't grow with a text's words).  A score is the sigmoid of the sparse dot product with the weights.
 
 Training takes a bounded sample: of each label, the ``per_label`` labelled
 documents (not of the held-out fold) with the smallest hash of their id.  It runs
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import documents, fold, slices
+from .common import documents, fold, slices, word_sections
 
 BITS = 20
 PER_LABEL = 3000
@@ -39,6 +39,7 @@ SCALE = 16.0                                        # a feature's value is SCALE
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.001         # FTRL: rate, its start, and the two penalties
 FOLDS, HELD_OUT = 3, 1                              # held out: crc32(doc_id as text) mod 3 is 1
 SLICE = 1 << 20                                     # bytes of text whose features are held at once
+CONTEXT = 3                                         # words that a section's first features look back on
 KNOWN_WORDS = 200_000                               # words whose hashes a worker remembers
 
 SIGNS = bytes((ord("a") if 97 <= c <= 122 or c >= 128 else ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57 else c)
@@ -53,9 +54,21 @@ def word_hashes(word: bytes) -> tuple[int, int]:
     return xxh64_intdigest(word.lower()), xxh64_intdigest(RUNS.sub(rb"\1", word.translate(SIGNS)))
 
 
-def features(texts: list[str | None], known: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, text index, value) of every feature occurrence of the texts."""
-    words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+def portions(texts: list[str | None]) -> Iterator[tuple[list[int], list[list[bytes]], int]]:
+    """(texts' numbers, their words, how many of these were there before): all texts of up to
+    SLICE characters together, then each longer one by sections, led by the CONTEXT words before."""
+    short = [i for i, t in enumerate(texts) if len(t or "") <= SLICE]
+    yield short, [(texts[i] or "").encode("utf-8", "surrogatepass").split() for i in short], 0
+    for i, t in enumerate(texts):
+        if len(t or "") > SLICE:
+            before: list[bytes] = []
+            for section in word_sections(t, SLICE):
+                yield [i], [before + section], len(before)
+                before = (before + section)[-CONTEXT:]
+
+
+def features(words: list[list[bytes]], known: dict, before: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(place, index in ``words``) of every feature occurrence that ends after the first ``before`` words (of one text)."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     total = int(sizes.sum())
     if len(known) > KNOWN_WORDS:
@@ -68,22 +81,21 @@ def features(texts: list[str | None], known: dict) -> tuple[np.ndarray, np.ndarr
         if w:
             hashes[at:at + len(w)] = [known[x] for x in w]
         at += len(w)
-    text = np.repeat(np.arange(len(texts)), sizes)
+    text = np.repeat(np.arange(len(words)), sizes)
     word, shape = hashes[:, 0], hashes[:, 1].copy()
     same = (text[1:] == text[:-1])
     shape[1:][same & (word[1:] == word[:-1])] = REPEAT
     same2 = same[1:] & same[:-1]
-    m = MIX
+    m, one, two, three = MIX, before, max(0, before - 1), max(0, before - 2)
     grams = [
-        (word * m[0], text),
-        ((word[:-1] * m[1] + word[1:])[same] * m[1], text[1:][same]),
-        (shape * m[2], text),
-        ((shape[:-1] * m[3] + shape[1:])[same] * m[3], text[1:][same]),
-        (((shape[:-2] * m[4] + shape[1:-1]) * m[4] + shape[2:])[same2] * m[4], text[2:][same2]),
+        ((word * m[0])[one:], text[one:]),
+        (((word[:-1] * m[1] + word[1:])[same] * m[1])[two:], text[1:][same][two:]),
+        ((shape * m[2])[one:], text[one:]),
+        (((shape[:-1] * m[3] + shape[1:])[same] * m[3])[two:], text[1:][same][two:]),
+        ((((shape[:-2] * m[4] + shape[1:-1]) * m[4] + shape[2:])[same2] * m[4])[three:], text[2:][same2][three:]),
     ]
     place = np.concatenate([g >> np.uint64(64 - BITS) for g, _ in grams]).astype(np.int64)
-    owner = np.concatenate([t for _, t in grams])
-    return place, owner, SCALE / np.maximum(sizes, 1)[owner]
+    return place, np.concatenate([t for _, t in grams])
 
 
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
@@ -110,10 +122,13 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS)
 
 
 def training_row(label: int, text: str, known: dict) -> tuple[int, np.ndarray, np.ndarray]:
-    place, _, value = features([text], known)
-    places, inverse = np.unique(place, return_inverse=True)
-    values = np.bincount(inverse, weights=value, minlength=len(places))
-    return label, np.append(places, 1 << BITS), np.append(values, 1.0)
+    found, size = [], 0
+    for _, words, before in portions([text]):
+        found.append(np.unique(features(words, known, before)[0], return_counts=True))
+        size += sum(map(len, words)) - before
+    places, inverse = np.unique(np.concatenate([p for p, _ in found]), return_inverse=True)
+    counts = np.bincount(inverse, weights=np.concatenate([n for _, n in found]), minlength=len(places))
+    return label, np.append(places, 1 << BITS), np.append(counts * (SCALE / max(size, 1)), 1.0)
 
 
 class Model(NamedTuple):
@@ -126,10 +141,13 @@ class Model(NamedTuple):
         if dense is None:
             dense = np.zeros(1 << BITS)
             dense[self.places] = self.weights
-        place, owner, value = features(texts, known.setdefault("words", {}))
         known["weights"] = dense
-        total = np.bincount(owner, weights=value * dense[place], minlength=len(texts))
-        return 1.0 / (1.0 + np.exp(-np.clip(total + self.bias, -30, 30)))
+        total, size = np.zeros(len(texts)), np.zeros(len(texts))
+        for own, words, before in portions(texts):
+            place, owner = features(words, known.setdefault("words", {}), before)
+            total[own] += np.bincount(owner, weights=dense[place], minlength=len(own))
+            size[own] += np.fromiter(map(len, words), np.int64, len(words)) - before
+        return 1.0 / (1.0 + np.exp(-np.clip(total * (SCALE / np.maximum(size, 1)) + self.bias, -30, 30)))
 
 
 # ---- Spark ---------------------------------------------------------------------
