@@ -22,7 +22,7 @@ scored row by row; an empty table gives none.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, fold, slices
+from .common import documents, fold, slices, word_sections
 
 WORDS, STRIDE = 32, 16                  # words of a window, and from one window's start to the next
 EMBED, HIDDEN, ATTEND = 16, 12, 8
@@ -44,13 +44,26 @@ BATCH, FIRST_BATCH = 64, 256            # windows of a batch; in the first round
 RATE, EMBED_RATE = 0.01, 0.05
 FOLDS, HELD_OUT = 5, 0                  # held out: crc32(doc_id as text) mod 5 is 0
 TOGETHER = 2048                         # windows scored together
-SLICE = 4 << 20
+EMBEDDED = 1 << 16                      # words embedded together
+SLICE = 4 << 20                         # characters of text whose words are held together
 
 
 # ---- words ------------------------------------------------------------------------
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words_of(text: str | None) -> Iterator[bytes]:
+    return (word for section in word_sections(text, lower=True) for word in section)
+
+
+def passages(text: str | None) -> Iterator[list[bytes]]:
+    """The words of a text, a long one's in overlapping passages that together have the windows of the whole."""
+    held: list[bytes] = []
+    for section in word_sections(text, SLICE, lower=True):
+        if len(held) > WORDS:                            # a section more: what is held ends with a window in its place
+            end = len(held) - (len(held) - WORDS) % STRIDE
+            yield held[:end]
+            held = held[end - WORDS:]
+        held = held + section
+    yield held
 
 
 def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,18 +251,22 @@ class Trainer:
         return float(np.mean(np.logaddexp(0, np.where(labels > 0, -logits, logits))))
 
 
-def train(rows: list[tuple[int, list[bytes]]], steps: int = STEPS, seed: int = 0) -> dict[str, np.ndarray]:
-    """Weights from (label, words of the text)."""
+def train(rows: Iterable[tuple[int, Iterable[bytes]]], steps: int = STEPS, seed: int = 0) -> dict[str, np.ndarray]:
+    """Weights from (label, words of the text); of a text its words' numbers are held, not the words."""
     trainer, rng = Trainer(seed), np.random.default_rng(seed)
-    if len({label for label, _ in rows}) < 2:
-        return trainer.p
     known: dict[bytes, int] = {}
-    codes = np.array([known.setdefault(w, len(known)) for _, words in rows for w in words] + [0] * WORDS, np.int64)
+    labels, numbers = [], []
+    for label, words in rows:
+        labels.append(label)
+        numbers.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32))
+    if len(set(labels)) < 2:
+        return trainer.p
+    codes = np.concatenate([*numbers, np.zeros(WORDS, np.int32)])
     vocabulary = list(known) or [b""]
-    sizes = np.array([len(words) for _, words in rows], np.int64)
+    sizes = np.array([len(own) for own in numbers], np.int64)
     text, first, size = windows(sizes)
     start = (np.cumsum(sizes) - sizes)[text] + first
-    label = np.array([label for label, _ in rows])[text]
+    label = np.array(labels)[text]
 
     def learn(chosen: np.ndarray, weights: np.ndarray, batch: int) -> None:
         order = rng.permutation(len(chosen))
@@ -286,7 +303,9 @@ def highest(text: np.ndarray, logits: np.ndarray, label: np.ndarray) -> np.ndarr
 
 
 def _gates(p: dict, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    x, _ = embed(p, word_inputs(words))
+    """Each word's part of the gates of both directions, from EMBEDDED words at a time."""
+    found = [embed(p, word_inputs(words[at:at + EMBEDDED]))[0] for at in range(0, len(words), EMBEDDED)]
+    x = np.concatenate(found)
     return x @ p["Wf"] + p["bf"], x @ p["Wb"] + p["bb"]
 
 
@@ -302,16 +321,32 @@ def _logits(p: dict, gates: tuple[np.ndarray, np.ndarray], codes: np.ndarray, st
 
 def score(p: dict, texts: list[str | None]) -> np.ndarray:
     """Probability of each text: its highest window's."""
-    words = [words_of(t) for t in texts]
+    best = np.full(len(texts), -np.inf)
+    together: list[tuple[int, list[bytes]]] = []
+    held = 0
+    for i, t in enumerate(texts):
+        size = min(len(t or ""), SLICE)
+        for words in passages(t):
+            if together and held + size > SLICE:
+                _raise_to(best, p, together)
+                together, held = [], 0
+            together.append((i, words))
+            held += size
+    if together:
+        _raise_to(best, p, together)
+    return sigmoid(best)
+
+
+def _raise_to(best: np.ndarray, p: dict, together: list[tuple[int, list[bytes]]]) -> None:
+    """Raise ``best`` of each text to the highest logit of the windows of its words."""
+    owner, words = np.array([i for i, _ in together]), [w for _, w in together]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     flat = [w for own in words for w in own]
     codes, known = pd.factorize(np.array(flat, dtype=object)) if flat else (np.zeros(0, np.int64), [])
     codes = np.append(codes, np.zeros(WORDS, codes.dtype))           # windows may be padded past the end
     gates = _gates(p, list(known)) if flat else (np.zeros((1, 3 * HIDDEN), np.float32),) * 2
     text, first, size = windows(sizes)
-    best = np.full(len(texts), -np.inf)
-    np.maximum.at(best, text, _logits(p, gates, codes, (np.cumsum(sizes) - sizes)[text] + first, size))
-    return sigmoid(best)
+    np.maximum.at(best, owner[text], _logits(p, gates, codes, (np.cumsum(sizes) - sizes)[text] + first, size))
 
 
 # ---- Spark ---------------------------------------------------------------------
@@ -333,8 +368,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataF
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> dict[str, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(label, words_of(text.as_py())) for batch in batches
-                for label, text in zip(batch.column(0).to_pylist(), batch.column(1))]
+        rows = ((label, words_of(text.as_py())) for batch in batches
+                for label, text in zip(batch.column(0).to_pylist(), batch.column(1)))
         held = io.BytesIO()
         np.savez(held, **train(rows))
         yield pa.RecordBatch.from_arrays([pa.array([held.getvalue()], pa.binary())], names=["weights"])
