@@ -30,13 +30,17 @@ def _stop(spark: SparkSession, path: str | None, topic: str | None = None) -> Da
 
 
 def train_job(spark: SparkSession, labels_csv: str, vocab_path: str, out: str,
-              stop_path: str | None = None, max_iter: int = 100, json_out: str | None = None) -> DataFrame:
-    """Labelled CSV + common-word list → model (weights by term, intercept) in ``out``, and as JSON if asked."""
+              stop_path: str | None = None, max_iter: int = 100, json_out: str | None = None,
+              partitions: int | None = None) -> DataFrame:
+    """Labelled CSV + common-word list → model (weights by term, intercept) in ``out``, and as JSON if asked.
+
+    ``partitions``: spread the rows anew for training (else they stay as the files give them).
+    """
     labelled = files.read_labelled_csv(spark, labels_csv).withColumn(
         "doc_id", F.monotonically_increasing_id())   # row key only; never used for order
     common = lexicon.read_common_words(spark, vocab_path)
     vocab = lexicon.vocabulary(common, lexicon.stop_words_kept(spark, path=stop_path))
-    weights, intercept = model.fit_logistic(model.training_rows(labelled), vocab, max_iter=max_iter)
+    weights, intercept = model.fit_logistic(model.training_rows(labelled), vocab, max_iter=max_iter, partitions=partitions)
     model.save_model(weights, intercept, out)
     if json_out:
         model.save_json_model(weights, intercept, json_out)
@@ -147,6 +151,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--stop")
     t.add_argument("--out", required=True)
     t.add_argument("--json", help="also write the model as JSON here")
+    t.add_argument("--partitions", type=int, help="partitions of the training rows (the files' own, if not given)")
     s = sub.add_parser("score")
     s.add_argument("--messages")
     s.add_argument("--kafka")
@@ -183,7 +188,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"sentimill-{a.job}").getOrCreate()
     checkpoint_dir(spark)
     if a.job == "train":
-        train_job(spark, a.labels, a.vocab, a.out, a.stop, json_out=a.json)
+        train_job(spark, a.labels, a.vocab, a.out, a.stop, json_out=a.json, partitions=a.partitions)
     elif a.job == "score":
         q = score_job(spark, a.messages, a.model, a.out, a.stop, a.kafka, a.topic, a.once, a.checkpoint, a.vocab)
         q.awaitTermination()

@@ -30,6 +30,7 @@ EVENT_WINDOW = "1 second"     # the reference's micro-batch length
 COMMON_WORDS = 500            # stand-in for the common-word file: the most frequent tokens
 LONG_HISTORY = 30             # batches of the long history and the totals (the job's own default is 60)
 RETAINED = 20                 # batches that retention keeps (the job's own default is 100)
+TRAIN_ROWS = 100_000          # labelled rows of a partition in training: each iteration is a task over each partition
 WORD_CHAR = WORD_PATTERN.replace("+", "")   # one word character: the text has a word
 # ------------------------------------------------------------------------------
 
@@ -333,7 +334,8 @@ def q_train_sentiment(spark, sf_dir):
     """Terms and indices of the fitted model, and whether its loss is below the zero model's."""
     v = _v(spark, sf_dir)
     labelled = tables.labelled_texts(spark, sf_dir)
-    weights, _ = model.fit_logistic(model.training_rows(labelled), written(v.vocab))
+    partitions = math.ceil(v.table("labels", spread_rows=False).count() / TRAIN_ROWS) or 1    # counted in the files' footers
+    weights, _ = model.fit_logistic(model.training_rows(labelled), written(v.vocab), partitions=partitions)
     margin = model.score(labelled.withColumn("target", model.label_from_rating("sentiment")), ["target"], weights)
     sign = F.when(F.col("target") == 1, F.col("score")).otherwise(-F.col("score"))
     loss = margin.agg(F.avg(F.log1p(F.exp(-sign)))).first()[0]

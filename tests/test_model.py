@@ -66,6 +66,28 @@ def test_fit_is_no_worse_than_plain_sgd(spark):
     assert ours <= theirs + 1e-9, (ours, theirs)
 
 
+def test_partitions_change_the_plan_and_not_the_model(spark):
+    from tables_of_tests import SF_SMALL
+    v = catalog.Views(spark, SF_SMALL)
+    rows = model.training_rows(tables.labelled_texts(spark, SF_SMALL))
+    fitted = [{(r.term, r.idx): r.weight for r in model.fit_logistic(rows, v.vocab, partitions=n)[0].collect()}
+              for n in (None, 1, 3)]
+    assert fitted[0].keys() == fitted[1].keys() == fitted[2].keys()
+    for other in fitted[1:]:
+        assert max(abs(other[k] - w) for k, w in fitted[0].items()) < 1e-3
+
+
+def test_training_partitions_follow_the_rows(spark, monkeypatch):
+    from tables_of_tests import SF_SMALL
+    taken = []
+    fit = model.fit_logistic
+    monkeypatch.setattr(model, "fit_logistic", lambda *a, partitions, **k: taken.append(partitions) or fit(*a, partitions=partitions, **k))
+    rows = spark.read.parquet(f"{SF_SMALL}/labels.parquet").count()
+    monkeypatch.setattr(catalog, "TRAIN_ROWS", rows // 2)
+    assert catalog.q_train_sentiment(spark, SF_SMALL).filter("better_than_zero").count() > 0
+    assert taken == [-(-rows // (rows // 2))]
+
+
 def test_registered_training_query(spark):
     from tables_of_tests import SF_SMALL
     df = catalog.q_train_sentiment(spark, SF_SMALL)
