@@ -91,8 +91,8 @@ class Views:
 
     # word counts per batch --------------------------------------------------------
     def batch_words(self, stop: DataFrame | None) -> DataFrame:
-        exploded = counts.explode_words(self.english, words("text"), ["batch_id"])
-        return counts.drop_words(counts.word_counts(exploded, ["batch_id"]), stop)
+        english = tables.keep_english(tables.tweet_view(self.table("documents", spread_rows=False)))
+        return counts.word_counts_by_group(english, "batch_id", words("text"), stop)
 
     def top_by_batch(self, stop: DataFrame | None) -> DataFrame:
         top = counts.top_words_per_group(self.batch_words(stop), ["batch_id"])

@@ -1,10 +1,14 @@
 """Broadcast only behind a size bound; spread only when the caller says so."""
 
+from collections import Counter
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sentimill import session
+from sentimill.functions.text import words
 from sentimill.operators import counts, model
+from sentimill.plans import catalog
 from sentimill.sources import lexicon, tables
 
 from tables_of_tests import SF_SMALL
@@ -48,3 +52,22 @@ def test_spread_only_where_asked(spark):
             spark.conf.set(session.SCAN_PARTITIONS, held)
     spread = tables.spread(docs, 5, "doc_id")
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in _plan(spread.filter("lang = 'en'").select("text"))
+
+
+def test_words_are_counted_where_a_group_s_texts_meet(spark):
+    """No count of single words is shuffled or held for more than a partition's texts, and hot groups are spread."""
+    rows = [(i, f"w{i % 7} the w{i} w{i}") for i in range(0, 400, 5)] + [(7, f"hot w{i % 3}") for i in range(300)]
+    rows += [(None, f"nobody w{i % 2}") for i in range(300)] + [(7, None), (8, ""), (9, "the")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id div 20 as batch_id", "text")
+    stop = lexicon.stop_words(spark)
+    want = counts.drop_words(counts.word_counts(counts.explode_words(docs, words("text"), ["batch_id"]), ["batch_id"]), stop)
+    for part_bytes in (1 << 20, 1000, 100):                        # no hot group; two; most
+        got = counts.word_counts_by_group(docs, "batch_id", words("text"), stop, part_bytes=part_bytes)
+        assert Counter(got.collect()) == Counter(want.collect())
+    few = counts.word_counts_by_group(docs.filter("batch_id > 0"), "batch_id", words("text"), stop, part_bytes=1000)
+    assert _plan(few).count("Exchange hashpartitioning(batch_id") == 1                 # the texts, once
+    for df in (few, catalog.q_word_count_by_batch(spark, SF_SMALL)):
+        assert not any("hashpartitioning" in line and "word" in line for line in _plan(df).splitlines())
+    assert few.rdd.getNumPartitions() > 1
+    none = counts.word_counts_by_group(docs.limit(0), "batch_id", words("text"), stop)
+    assert none.columns == ["batch_id", "word", "n"] and none.isEmpty()
