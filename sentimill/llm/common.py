@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -140,6 +141,14 @@ def process_cache() -> dict:
     return sys.modules.setdefault("_sentimill_worker", types.ModuleType("_sentimill_worker")).__dict__
 
 
+def release_memory() -> None:
+    """Give back to the system what a task has freed: a worker is used again and would hold it meanwhile."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # of glibc
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of ``column`` (one longer row: alone)."""
     for batch in batches:

@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import process_cache, slices
+from .common import process_cache, release_memory, slices
 
 MODEL = "piece_bpe_32k.model"
 ALPHA = 1.0              # 0: all segmentations alike; larger: frequent pieces and fewer of them
 SEED = 7
-SLICE = 2 << 20          # bytes of text segmented together
+SLICE = 1 << 19          # bytes of text segmented together
 RESCALE = 16             # bytes after which the sums are brought back into range
 GROUP = 1 << 17          # bytes of different parts filtered together
 LONG = 512               # bytes of a part that is filtered alone
@@ -376,6 +376,7 @@ def encode(docs: DataFrame, path: str | None = None, alpha: float = ALPHA, seed:
                 [batch.column("doc_id"),
                  pa.ListArray.from_arrays(pa.array(starts, mask=np.append(null, False)), pa.array(pieces.astype(np.int32))),
                  pa.array(same)], names=["doc_id", "pieces", "lossless"])
+        release_memory()
 
     kind = dict(docs.dtypes)["doc_id"]
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key"))

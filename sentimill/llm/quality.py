@@ -21,7 +21,8 @@ are scored row by row; an empty table gives none.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import documents, fold, slices, word_sections
+from .common import documents, fold, release_memory, slices, word_sections
 
 BITS = 20
 PER_LABEL = 3000
@@ -38,9 +39,10 @@ EPOCHS = 4
 SCALE = 16.0                                        # a feature's value is SCALE times its share of the words
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.001         # FTRL: rate, its start, and the two penalties
 FOLDS, HELD_OUT = 3, 1                              # held out: crc32(doc_id as text) mod 3 is 1
-SLICE = 1 << 20                                     # bytes of text whose features are held at once
+SLICE = 1 << 20                                     # bytes of a long text whose features are held at once
+TOGETHER = 1 << 18                                  # bytes of shorter texts whose features are held at once
 CONTEXT = 3                                         # words that a section's first features look back on
-KNOWN_WORDS = 200_000                               # words whose hashes a worker remembers
+KNOWN_WORDS = 100_000                               # words whose hashes a worker remembers
 
 SIGNS = bytes((ord("a") if 97 <= c <= 122 or c >= 128 else ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57 else c)
               for c in range(256))
@@ -50,8 +52,9 @@ REPEAT = np.uint64(xxh64_intdigest(b"the word before"))
 MIX = [np.uint64(xxh64_intdigest(b"kind %d" % k) | 1) for k in range(5)]
 
 
-def word_hashes(word: bytes) -> tuple[int, int]:
-    return xxh64_intdigest(word.lower()), xxh64_intdigest(RUNS.sub(rb"\1", word.translate(SIGNS)))
+def word_hashes(word: bytes) -> bytes:
+    """The hashes of the word and of its shape, as 16 bytes."""
+    return struct.pack("=QQ", xxh64_intdigest(word.lower()), xxh64_intdigest(RUNS.sub(rb"\1", word.translate(SIGNS))))
 
 
 def portions(texts: list[str | None]) -> Iterator[tuple[list[int], list[list[bytes]], int]]:
@@ -79,7 +82,7 @@ def features(words: list[list[bytes]], known: dict, before: int = 0) -> tuple[np
         for word in {*w}.difference(known):
             known[word] = word_hashes(word)
         if w:
-            hashes[at:at + len(w)] = [known[x] for x in w]
+            hashes[at:at + len(w)] = np.frombuffer(b"".join([known[x] for x in w]), np.uint64).reshape(-1, 2)
         at += len(w)
     text = np.repeat(np.arange(len(words)), sizes)
     word, shape = hashes[:, 0], hashes[:, 1].copy()
@@ -98,7 +101,7 @@ def features(words: list[list[bytes]], known: dict, before: int = 0) -> tuple[np
     return place, np.concatenate([t for _, t in grams])
 
 
-def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+def train(rows: Sequence[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """FTRL-proximal over (label, places, values), shuffled by a fixed seed; returns (weights, bias)."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)     # the last place is the bias
 
@@ -117,18 +120,40 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS)
             g2 = g * g
             z[places] += g - (np.sqrt(n[places] + g2) - np.sqrt(n[places])) / ALPHA * w
             n[places] += g2
-    w = weights(np.arange(len(z)))
+    used = np.flatnonzero(np.abs(z) > L1)                           # the other weights are 0
+    w = np.zeros(len(z))
+    w[used] = weights(used)
     return w[:-1], float(w[-1])
 
 
 def training_row(label: int, text: str, known: dict) -> tuple[int, np.ndarray, np.ndarray]:
-    found, size = [], 0
-    for _, words, before in portions([text]):
-        found.append(np.unique(features(words, known, before)[0], return_counts=True))
-        size += sum(map(len, words)) - before
-    places, inverse = np.unique(np.concatenate([p for p, _ in found]), return_inverse=True)
-    counts = np.bincount(inverse, weights=np.concatenate([n for _, n in found]), minlength=len(places))
-    return label, np.append(places, 1 << BITS), np.append(counts * (SCALE / max(size, 1)), 1.0)
+    rows = CompactRows()
+    rows.add(label, text, known)
+    return rows[0]
+
+
+class CompactRows(Sequence):
+    """Rows of ``train``, which are all held at once, in 5 bytes a feature (6 in texts that hold one over 255 times, 8 over 65535)."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[int, np.ndarray, np.ndarray, float]] = []
+
+    def add(self, label: int, text: str, known: dict) -> None:
+        found, size = [], 0
+        for _, words, before in portions([text]):
+            found.append(np.unique(features(words, known, before)[0], return_counts=True))
+            size += sum(map(len, words)) - before
+        places, inverse = np.unique(np.concatenate([p for p, _ in found]), return_inverse=True)
+        counts = np.bincount(inverse, weights=np.concatenate([n for _, n in found]), minlength=len(places))
+        few = np.min_scalar_type(int(counts.max(initial=0)))
+        self.rows.append((label, places.astype(np.int32), counts.astype(few), SCALE / max(size, 1)))
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, at: int) -> tuple[int, np.ndarray, np.ndarray]:
+        label, places, counts, value = self.rows[at]
+        return label, np.append(places.astype(np.int64), 1 << BITS), np.append(counts.astype(np.float64) * value, 1.0)
 
 
 class Model(NamedTuple):
@@ -170,11 +195,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataF
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
     """Train in one task on the bounded sample; only the weights that aren't 0 come back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, known = [], {}
+        rows, known = CompactRows(), {}
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows.append(training_row(label, text.as_py(), known))
+                rows.add(label, text.as_py(), known)
+        known.clear()
         weights, bias = train(rows)
+        del rows
+        release_memory()
         places = np.append(np.flatnonzero(weights), 1 << BITS)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(np.append(weights, bias)[places].astype(np.float64))],
                                          names=["place", "weight"])
@@ -192,8 +220,10 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         known: dict = {}
         for column in texts:
             batch = pa.RecordBatch.from_arrays([column], names=["text"])
-            parts = [model.score(some.column(0).to_pylist(), known) for some in slices([batch], "text", SLICE)]
+            parts = [model.score(some.column(0).to_pylist(), known) for some in slices([batch], "text", TOGETHER)]
             yield pa.array(np.concatenate(parts) if parts else np.empty(0))
+        known.clear()
+        release_memory()
 
     return docs.withColumn("__sm_score", run(F.col(text)))
 

@@ -91,6 +91,22 @@ def test_score_is_the_sparse_product():
         assert np.isclose(got, 1 / (1 + np.exp(-(weights[places[:-1]] @ values[:-1] + 0.3))))
 
 
+def test_rows_held_in_training_are_small():
+    texts = ["Good words here", "", "a " * 300, " ".join(f"w{i}" for i in range(5000))]
+    rows = q.CompactRows()
+    for k, text in enumerate(texts):
+        rows.add(k % 2, text, {})
+    held = sum(places.nbytes + counts.nbytes for _, places, counts, _ in rows.rows)
+    assert held <= 6 * sum(len(places) for _, places, _, _ in rows.rows) + 100      # 16 bytes a feature before
+    for k, text in enumerate(texts):
+        (label, places, values), (again, same_places, same_values) = rows[k], q.training_row(k % 2, text, {})
+        assert label == again and (places == same_places).all() and (values == same_values).all()
+        place, _ = q.features([text.encode().split()], {})
+        found, n = np.unique(place, return_counts=True)
+        assert (places == np.append(found, 1 << q.BITS)).all()
+        assert (values == np.append(n.astype(float) * (q.SCALE / max(len(text.split()), 1)), 1.0)).all()
+
+
 def test_windows_cover_all_words():
     for n in [0, 1, t.WORDS - 1, t.WORDS, t.WORDS + 1, t.WORDS + t.STRIDE, 500]:
         _, first, size = t.windows(np.array([n]))
